@@ -48,7 +48,8 @@ def compare(spark_df, con, sql: str) -> tuple[bool, str]:
     if sorted(names) != sorted(spark_df.columns):
         return False, f"columns {sorted(spark_df.columns)} vs {sorted(names)}"
     a, b = _bag(spark_df.columns, got), _bag(names, want)
-    kinds = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE", "boolean": "BOOLEAN"}
+    kinds = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE", "boolean": "BOOLEAN",
+             "date": "DATE", "timestamp": "TIMESTAMP"}
     odd = [f"{n}:{t}/{types[n]}" for n, t in spark_df.dtypes if kinds.get(t, t) != types[n]]
     note = f" types {odd}" if odd else ""
     if a == b:

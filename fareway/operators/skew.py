@@ -55,13 +55,13 @@ def lookup_join(
     spread = spread or left.columns
     slot = F.pmod(F.xxhash64(*spread), F.lit(salts))
     missing = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in on])
-    salted = marked.withColumn("_salt", F.when(F.col("_hot") | missing, slot).otherwise(0)).drop("_hot")
+    salted = marked.withColumn("_salt", F.when(F.col("_hot") | missing, slot).otherwise(F.lit(0).cast("long"))).drop("_hot")
 
     hot = F.broadcast(hot_keys(left, on, share, min_rows).withColumn("_found", F.lit(True)))
-    slots = F.when(F.col("_found"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    slots = F.when(F.col("_found"), F.expr(f"sequence(0L, {salts - 1}L)")).otherwise(F.expr("array(0L)"))
     repeated = (
         right.join(hot, same_key(right, hot, on, "_k_"), "left")
-        .withColumn("_salt", F.explode(slots).cast("long"))
+        .withColumn("_salt", F.explode(slots))
         .drop("_found", *["_k_" + k for k in on])
     )
     return salted.join(repeated, on + ["_salt"], how).drop("_salt")

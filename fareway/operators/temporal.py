@@ -6,6 +6,8 @@ over both sides, window counts are differences of running counts.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .ordered import CHUNK, Running, Split, running, split_hot
@@ -18,46 +20,69 @@ def _seconds(n: float) -> Column:
     return F.expr(f"make_dt_interval(0, 0, 0, {n})")
 
 
-def asof(
-    left: DataFrame, right: DataFrame, by, left_ts: str, right_ts: str, values: dict[str, Column],
-    direction: str = "backward", strict: bool = False, tie: str | None = None, split: Split = Split(),
+@dataclass(frozen=True)
+class Source:
+    """Right-hand events of an as-of join.
+
+    `values` maps output names to expressions over `df`; each is taken from the nearest row in
+    which it is not NULL. `strict` leaves out rows at the very same time. `tie` is a column that
+    decides between rows of equal time (the largest wins backward, the smallest forward).
+    """
+
+    df: DataFrame
+    ts: str
+    values: dict[str, Column]
+    strict: bool = False
+    tie: str | None = None
+
+
+def asof_many(
+    left: DataFrame, sources: list[Source], by, left_ts: str, direction: str = "backward",
+    split: Split = Split(),
 ) -> DataFrame:
-    """For each left row the nearest right row of the same key, before or after it.
+    """For each left row the nearest event of each source with the same key, before or after it.
 
-    `values` maps output names to expressions over `right`; each is taken from the nearest row in
-    which it is not NULL. `strict` leaves out rows at the very same time. `tie` is a right column
-    that decides between rows of equal time (the largest wins backward, the smallest forward).
-    Left rows are all kept; those with a NULL key or time match nothing.
+    All sides meet in one ordered pass. Left rows are all kept; those with a NULL key or time
+    match nothing.
     """
     by = [by] if isinstance(by, str) else list(by)
     forward = direction == "forward"
-    # At equal times the right row must come first unless strict; forward runs the order backwards.
-    right_side = 1 if forward != strict else 0
-    tie_type = right.schema[tie].dataType.simpleString() if tie else "string"
-    lefts = left.select(
-        *by, F.col(left_ts).alias("_t"), F.lit(1 - right_side).alias("_side"),
-        F.lit(None).cast(tie_type).alias("_tie"),
-        F.struct(*left.columns).alias("_left"),
-        *[F.lit(None).cast(_type_of(right, e)).alias(n) for n, e in values.items()],
-    )
-    rights = right.filter(F.col(right_ts).isNotNull()).select(
-        *by, F.col(right_ts).alias("_t"), F.lit(right_side).alias("_side"),
-        (F.col(tie) if tie else F.lit(None).cast("string")).alias("_tie"),
-        F.lit(None).cast(left.select(F.struct(*left.columns)).schema[0].dataType).alias("_left"),
-        *[e.alias(n) for n, e in values.items()],
+    left_type = left.select(F.struct(*left.columns)).schema[0].dataType
+    types = {n: _type_of(s.df, e) for s in sources for n, e in s.values.items()}
+    blank = lambda names: [F.lit(None).cast(types[n]).alias(n) for n in names]
+    rows = left.select(
+        *by, F.col(left_ts).alias("_t"), F.lit(1).alias("_side"), F.lit(None).cast("string").alias("_tie"),
+        F.struct(*left.columns).alias("_left"), *blank(types),
     )
+    for s in sources:
+        # at equal times the scan must reach the source before the left row, unless strict
+        side = 2 if forward != s.strict else 0
+        rows = rows.unionByName(s.df.filter(F.col(s.ts).isNotNull()).select(
+            *by, F.col(s.ts).alias("_t"), F.lit(side).alias("_side"),
+            (F.col(s.tie).cast("string") if s.tie else F.lit(None).cast("string")).alias("_tie"),
+            F.lit(None).cast(left_type).alias("_left"),
+            *[e.alias(n) for n, e in s.values.items()], *blank(n for n in types if n not in s.values),
+        ))
     done = running(
-        lefts.unionByName(rights), by, ["_t", "_side", "_tie"],
-        Running(fills={"_f_" + n: F.col(n) for n in values}), descending=forward, split=split,
+        rows, by, ["_t", "_side", "_tie"], Running(fills={"_f_" + n: F.col(n) for n in types}),
+        descending=forward, split=split,
     )
     usable = F.col("_t").isNotNull()
     for k in by:
         usable = usable & F.col(k).isNotNull()
     return done.filter(F.col("_left").isNotNull()).select(
-        "_left.*", *[F.when(usable, F.col("_f_" + n)).alias(n) for n in values]
+        "_left.*", *[F.when(usable, F.col("_f_" + n)).alias(n) for n in types]
     )
 
 
+def asof(
+    left: DataFrame, right: DataFrame, by, left_ts: str, right_ts: str, values: dict[str, Column],
+    direction: str = "backward", strict: bool = False, tie: str | None = None, split: Split = Split(),
+) -> DataFrame:
+    """`asof_many` with one source."""
+    return asof_many(left, [Source(right, right_ts, values, strict, tie)], by, left_ts, direction, split)
+
+
 def _type_of(df: DataFrame, e: Column):
     return df.select(e.alias("x")).schema[0].dataType
 
@@ -201,6 +226,8 @@ def active_within(
 
     Each active day is handed to the Mondays whose window holds it.
     """
+    if days < 7:
+        raise ValueError("a window under a week may hold no Monday")
     active = facts.select(by, day).distinct()
     first = F.date_trunc("week", F.date_add(day, -days + 6)).cast("date")
     last = F.date_trunc("week", F.date_add(day, -1)).cast("date")

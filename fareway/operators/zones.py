@@ -36,7 +36,7 @@ def zone_join(
     cells = zone_cells(zones, ring, name, cell).select(
         "_cx", "_cy", "_edges", "_area", F.col(name).alias("_zone"),
         *[F.col(c).alias(out) for out, c in carried.items()],
-    ).withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).cast("long"))
+    ).withColumn("_salt", F.explode(F.expr(f"sequence(0L, {salts - 1}L)")))
     placed = points.withColumns({
         "_cx": F.floor(F.col(lon) / cell).cast("long"), "_cy": F.floor(F.col(lat) / cell).cast("long"),
         "_salt": F.pmod(F.xxhash64(point_id), F.lit(salts)).cast("long"),
