@@ -226,6 +226,6 @@ def with_frames(names: str, body: str, recursive: bool = False) -> str:
 
     for name in names.split():
         add(name)
-    ctes = ",\n".join(f"{n} AS ({FRAMES[n].strip()})" for n in order)
+    ctes = ",\n".join(f"{n} AS MATERIALIZED ({FRAMES[n].strip()})" for n in order)
     start = "WITH RECURSIVE " if recursive else "WITH "
     return start + ctes + "\n" + body.strip()

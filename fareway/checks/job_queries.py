@@ -29,7 +29,8 @@ def portable(df: DataFrame, digits: int = 6) -> DataFrame:
         elif isinstance(f.dataType, T.TimestampType):
             c = F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS")
         elif isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            c = F.round(c, digits) + F.lit(0.0)
+            # the inner rounding takes off noise in the last bits, so that ties fall alike
+            c = F.round(F.round(c, 9), digits) + F.lit(0.0)
         elif isinstance(f.dataType, (T.IntegerType, T.ShortType, T.ByteType)):
             c = c.cast("bigint")
         out.append(c.alias(f.name))

@@ -67,5 +67,5 @@ def ring_area(edges) -> Column:
 def ring_bounds(ring) -> tuple[Column, Column, Column, Column]:
     """(min lon, max lon, min lat, max lat)."""
     ring = col(ring)
-    lons, lats = (F.transform(ring, lambda p, k=k: p[k]) for k in ("lon", "lat"))
+    lons, lats = F.transform(ring, lambda p: p["lon"]), F.transform(ring, lambda p: p["lat"])
     return F.array_min(lons), F.array_max(lons), F.array_min(lats), F.array_max(lats)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.scalars import col, safe_ratio
 from .ordered import Running, Split, running
+from .skew import find_hot, lookup_join
 
 
 def count_if(cond: Column) -> Column:
@@ -70,11 +71,11 @@ def exact_percentile(df: DataFrame, by: str, value: str, p: float, out: str, spl
     two values that surround the wanted position. NULL values are left out.
     """
     counts = df.filter(F.col(value).isNotNull()).groupBy(by, value).agg(F.count(F.lit(1)).alias("_n"))
-    placed = running(counts, by, [value], Running(sums={"_upto": F.col("_n")}), split=split)
+    # the rows bound the number of values from above, so the hot keys of `df` are enough
+    hot = find_hot(df, by, split.share, split.min_rows)
+    placed = running(counts, by, [value], Running(sums={"_upto": F.col("_n")}), split=split, hot=hot)
     totals = df.filter(F.col(value).isNotNull()).groupBy(by).agg(F.count(F.lit(1)).alias("_all"))
-    from .skew import lookup_join
-
-    near = lookup_join(placed, totals, by, "inner", spread=[by, value])
+    near = lookup_join(placed, totals, by, "inner", hot, spread=[by, value])
     at = F.lit(p) * (F.col("_all") - 1)
     holds = lambda pos: (F.col("_upto") - F.col("_n") <= pos) & (pos < F.col("_upto"))
     ends = near.withColumn("_at", at).groupBy(by).agg(

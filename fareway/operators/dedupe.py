@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from .ordered import _sorting
-from .skew import lookup_join
+from .skew import Hot, lookup_join
 
 
 def top_k(df: DataFrame, by, order, k: int, out: str | None = None) -> DataFrame:
@@ -27,7 +27,7 @@ def keep_first(df: DataFrame, by, order) -> DataFrame:
     return top_k(df, by, order, 1)
 
 
-def with_group_values(df: DataFrame, by, aggs: dict) -> DataFrame:
+def with_group_values(df: DataFrame, by, aggs: dict, hot: Hot | None = None) -> DataFrame:
     """Add aggregates of the key to each row.
 
     The aggregate is combined on the map side and looked up with hot keys spread, where a window
@@ -35,18 +35,18 @@ def with_group_values(df: DataFrame, by, aggs: dict) -> DataFrame:
     """
     by = [by] if isinstance(by, str) else list(by)
     values = df.groupBy(*by).agg(*[e.alias(n) for n, e in aggs.items()])
-    return lookup_join(df, values, by, "left").select(*df.columns, *aggs)
+    return lookup_join(df, values, by, "left", hot).select(*df.columns, *aggs)
 
 
-def keep_max(df: DataFrame, by, c: str) -> DataFrame:
+def keep_max(df: DataFrame, by, c: str, hot: Hot | None = None) -> DataFrame:
     """All rows that hold the largest value of `c` in their key; ties stay."""
-    return with_group_values(df, by, {"_max": F.max(c)}).filter(F.col(c) == F.col("_max")).drop("_max")
+    return with_group_values(df, by, {"_max": F.max(c)}, hot).filter(F.col(c) == F.col("_max")).drop("_max")
 
 
-def minmax_score(df: DataFrame, by, c: str, out: str, invert: bool = False) -> DataFrame:
+def minmax_score(df: DataFrame, by, c: str, out: str, invert: bool = False, hot: Hot | None = None) -> DataFrame:
     """Scale `c` to 0..1 within the key; 1 when the key has one value only. `invert` ranks small first."""
     scored = with_group_values(
-        df.withColumn("_v", F.col(c).cast("double")), by, {"_low": F.min("_v"), "_high": F.max("_v")}
+        df.withColumn("_v", F.col(c).cast("double")), by, {"_low": F.min("_v"), "_high": F.max("_v")}, hot
     )
     span = F.col("_high") - F.col("_low")
     part = (F.col("_high") - F.col("_v")) if invert else (F.col("_v") - F.col("_low"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .skew import lookup_join
+from .skew import Hot, lookup_join
 
 
 def filter_in(df: DataFrame, c: str, ref: DataFrame, ref_c: str | None = None) -> DataFrame:
@@ -13,10 +13,10 @@ def filter_in(df: DataFrame, c: str, ref: DataFrame, ref_c: str | None = None) -
     return df.join(keys, c, "left_semi")
 
 
-def classify_member(df: DataFrame, c: str, ref: DataFrame, ref_c: str, out: str) -> DataFrame:
+def classify_member(df: DataFrame, c: str, ref: DataFrame, ref_c: str, out: str, hot: Hot | None = None) -> DataFrame:
     """Boolean column: does the key occur in `ref`? Keys are made unique first, so no row is repeated."""
     keys = ref.select(F.col(ref_c).alias(c)).filter(F.col(c).isNotNull()).distinct().withColumn("_in", F.lit(True))
-    return lookup_join(df, keys, c, "left").withColumn(out, F.coalesce("_in", F.lit(False))).drop("_in")
+    return lookup_join(df, keys, c, "left", hot).withColumn(out, F.coalesce("_in", F.lit(False))).drop("_in")
 
 
 def with_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
@@ -25,8 +25,8 @@ def with_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
 
 
 def parent_compare(
-    rows: DataFrame, id_c: str, parent_c: str, carried: dict[str, Column]
+    rows: DataFrame, id_c: str, parent_c: str, carried: dict[str, Column], hot: Hot | None = None
 ) -> DataFrame:
     """Each row with values of its parent row; rows without a parent row are dropped."""
     parents = rows.select(F.col(id_c).alias(parent_c), *[e.alias(n) for n, e in carried.items()])
-    return lookup_join(rows.filter(F.col(parent_c).isNotNull()), parents, parent_c, "inner")
+    return lookup_join(rows.filter(F.col(parent_c).isNotNull()), parents, parent_c, "inner", hot)

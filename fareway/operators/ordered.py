@@ -1,6 +1,7 @@
 """Running values along an ordered key, exact also when one key holds most of the rows.
 
-Ordinary keys are one window partition. The rows of a hot key are cut into chunks of the order
+Without hot keys this is one window over the key. Otherwise ordinary keys stay one window
+partition and the rows of a hot key are cut into chunks of the order
 column; each chunk is its own window partition, and the values that cross a chunk border are
 carried by a table with one row per hot key and chunk.
 """
@@ -11,7 +12,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from .skew import HOT_ROWS, HOT_SHARE, mark_hot, same_key
+from .skew import HOT_ROWS, HOT_SHARE, Hot, find_hot, mark_hot, same_key
 
 CHUNK = "_chunk"
 HOUR = 3600.0
@@ -52,14 +53,14 @@ def _position(df: DataFrame, order: str) -> Column:
     return F.col(order).cast("double")
 
 
-def split_hot(df: DataFrame, by, order: str, split: Split = Split()) -> DataFrame:
+def split_hot(df: DataFrame, by, order: str, hot: Hot, split: Split = Split()) -> DataFrame:
     """Add `_chunk`: NULL for ordinary keys, the number of the order interval for hot keys.
 
     A NULL order value counts as the largest.
     """
     last = F.lit(2**62)
     chunk = F.coalesce(F.floor(_position(df, order) / split.width).cast("long"), last)
-    marked = mark_hot(df, by, split.share, split.min_rows)
+    marked = mark_hot(df, by, hot)
     return marked.withColumn(CHUNK, F.when(F.col("_hot"), chunk)).drop("_hot")
 
 
@@ -72,19 +73,21 @@ def _sorting(order, descending: bool):
 
 
 def running(
-    df: DataFrame, by, order, values: Running, descending: bool = False, split: Split | None = Split(),
+    df: DataFrame, by, order, values: Running, descending: bool = False, split: Split = Split(),
+    hot: Hot | None = None,
 ) -> DataFrame:
     """Add the running values of `df` along `order` within `by`.
 
     `order` lists column names, each with an optional leading `-` for descending; NULL sorts as
     the largest value. The order should end in a unique column, otherwise ties are arbitrary.
-    `split=None` is for inputs whose keys are known to be small.
+    `hot` are the hot keys, if they are known already.
     """
     by = [by] if isinstance(by, str) else list(by)
     order = [order] if isinstance(order, str) else list(order)
     first_desc = order[0].startswith("-") != descending
-    cut = split is not None
-    parts = split_hot(df, by, order[0].lstrip("-"), split) if cut else df
+    hot = hot or find_hot(df, by, split.share, split.min_rows)
+    cut = hot.keys is not None
+    parts = split_hot(df, by, order[0].lstrip("-"), hot, split) if cut else df
     keys = by + [CHUNK] if cut else by
 
     rows = Window.partitionBy(*keys).orderBy(*_sorting(order, descending))
@@ -153,21 +156,23 @@ def _null_last(name: str):
     return F.when(value.isNull(), 1).otherwise(0).alias("n_" + name), value.alias("v_" + name)
 
 
-def seq_num(df: DataFrame, by, order, out: str = "seq", split: Split | None = Split()) -> DataFrame:
+def seq_num(df: DataFrame, by, order, out: str = "seq", split: Split = Split(), hot: Hot | None = None) -> DataFrame:
     """Row number within the key, from 1."""
-    return running(df, by, order, Running(sums={out: F.lit(1).cast("long")}), split=split)
+    return running(df, by, order, Running(sums={out: F.lit(1).cast("long")}), split=split, hot=hot)
 
 
-def prior_count(df: DataFrame, by, order, out: str = "prior", split: Split | None = Split()) -> DataFrame:
+def prior_count(df: DataFrame, by, order, out: str = "prior", split: Split = Split(), hot: Hot | None = None) -> DataFrame:
     """Number of earlier rows of the key."""
-    return seq_num(df, by, order, out, split).withColumn(out, F.col(out) - 1)
+    return seq_num(df, by, order, out, split, hot).withColumn(out, F.col(out) - 1)
 
 
-def cumulative(df: DataFrame, by, order, exprs: dict, split: Split | None = Split()) -> DataFrame:
+def cumulative(df: DataFrame, by, order, exprs: dict, split: Split = Split(), hot: Hot | None = None) -> DataFrame:
     """Running totals up to and with each row."""
-    return running(df, by, order, Running(sums=exprs), split=split)
+    return running(df, by, order, Running(sums=exprs), split=split, hot=hot)
 
 
-def neighbours(df: DataFrame, by, order, lags=None, leads=None, split: Split | None = Split()) -> DataFrame:
+def neighbours(
+    df: DataFrame, by, order, lags=None, leads=None, split: Split = Split(), hot: Hot | None = None
+) -> DataFrame:
     """Values of the previous and the next row of the key."""
-    return running(df, by, order, Running(lags=lags or {}, leads=leads or {}), split=split)
+    return running(df, by, order, Running(lags=lags or {}, leads=leads or {}), split=split, hot=hot)

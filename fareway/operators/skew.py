@@ -1,4 +1,4 @@
-"""Keys that hold a large share of the rows, and joins and windows that survive them.
+"""Keys that hold a large share of the rows, and joins that survive them.
 
 A key is hot when it holds more than `share` of all rows, and at least `min_rows`. At most
 `1 / share` keys can do so, which bounds every broadcast made here.
@@ -6,62 +6,80 @@ A key is hot when it holds more than `share` of all rows, and at least `min_rows
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..session import cut_lineage
+
 HOT_SHARE = 1e-5
 HOT_ROWS = 1_000_000
 SALTS = 64
 
 
+@dataclass(frozen=True)
+class Hot:
+    """The hot values of the key columns `by`; `keys` is None when there are none."""
+
+    by: tuple[str, ...]
+    keys: DataFrame | None
+
+
+def find_hot(frames, by, share: float = HOT_SHARE, min_rows: int = HOT_ROWS) -> Hot:
+    """Count the keys of one or more frames and keep the hot ones.
+
+    This runs one job that reads the key columns only and combines on the map side. Its small
+    result is written to the shared folder, so that the frames are not counted again by every
+    step that asks. Mostly there is no hot key, and the steps then take their plain form. Pass
+    frames close to the scan, and pass the result on to all steps that use the same key.
+    """
+    by = [by] if isinstance(by, str) else list(by)
+    frames = frames if isinstance(frames, (list, tuple)) else [frames]
+    keys = reduce(lambda a, b: a.unionByName(b), [f.select(*by) for f in frames])
+    counts = keys.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > min_rows)
+    if share > 0:
+        # one row, because it is an aggregate without keys
+        total = keys.agg((F.count(F.lit(1)) * F.lit(share)).alias("_least"))
+        counts = counts.crossJoin(F.broadcast(total)).filter(F.col("_n") > F.col("_least"))
+    found = cut_lineage(counts.select(*[F.col(k).alias("_k_" + k) for k in by]))
+    return Hot(tuple(by), None if found.isEmpty() else found)
+
+
 def same_key(left: DataFrame, right: DataFrame, keys, prefix: str = "") -> Column:
     """Equality on all keys in which NULL equals NULL."""
     return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[prefix + k]) for k in keys])
 
 
-def hot_keys(df: DataFrame, by, share: float = HOT_SHARE, min_rows: int = HOT_ROWS) -> DataFrame:
-    """The hot keys of `df`, columns prefixed `_k_`; counted with map-side combine."""
-    counts = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
-    # one row, because it is an aggregate without keys
-    total = counts.agg(F.sum("_n").alias("_total"))
-    limit = F.greatest(F.col("_total") * share, F.lit(float(min_rows)))
-    return counts.crossJoin(F.broadcast(total)).filter(F.col("_n") > limit).select(
-        *[F.col(k).alias("_k_" + k) for k in by]
-    )
-
-
-def mark_hot(df: DataFrame, by, share: float = HOT_SHARE, min_rows: int = HOT_ROWS) -> DataFrame:
+def mark_hot(df: DataFrame, by, hot: Hot) -> DataFrame:
     """`df` with a boolean `_hot`. The broadcast side has at most `1 / share` rows."""
-    hot = F.broadcast(hot_keys(df, by, share, min_rows).withColumn("_found", F.lit(True)))
-    marked = df.join(hot, same_key(df, hot, by, "_k_"), "left")
+    if hot.keys is None:
+        return df.withColumn("_hot", F.lit(False))
+    keys = hot.keys.select(*[F.col("_k_" + k).alias("_h_" + k) for k in by], F.lit(True).alias("_found"))
+    marked = df.join(F.broadcast(keys), same_key(df, keys, by, "_h_"), "left")
     return marked.withColumn("_hot", F.coalesce("_found", F.lit(False))).drop(
-        "_found", *["_k_" + k for k in by]
+        "_found", *["_h_" + k for k in by]
     )
 
 
 def lookup_join(
-    left: DataFrame, right: DataFrame, on, how: str = "left", spread=None,
-    salts: int = SALTS, share: float = HOT_SHARE, min_rows: int = HOT_ROWS,
+    left: DataFrame, right: DataFrame, on, how: str = "left", hot: Hot | None = None, spread=None,
+    salts: int = SALTS,
 ) -> DataFrame:
     """Equi join in which hot keys of `left` are spread over `salts` tasks.
 
     The rows of `right` that meet a hot key are repeated once per salt. `spread` names the left
-    columns that decide the salt (all of them by default), so a re-run task salts alike. Left
-    rows with a NULL key match nothing and are spread too.
+    columns that decide the salt (all of them by default), so a re-run task salts alike. A hot
+    NULL key matches nothing and is spread too. Without hot keys it is a plain join.
     """
     on = [on] if isinstance(on, str) else list(on)
-    marked = mark_hot(left, on, share, min_rows)
-    spread = spread or left.columns
-    slot = F.pmod(F.xxhash64(*spread), F.lit(salts))
-    missing = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in on])
-    salted = marked.withColumn("_salt", F.when(F.col("_hot") | missing, slot).otherwise(F.lit(0).cast("long"))).drop("_hot")
-
-    hot = F.broadcast(hot_keys(left, on, share, min_rows).withColumn("_found", F.lit(True)))
-    slots = F.when(F.col("_found"), F.expr(f"sequence(0L, {salts - 1}L)")).otherwise(F.expr("array(0L)"))
-    repeated = (
-        right.join(hot, same_key(right, hot, on, "_k_"), "left")
-        .withColumn("_salt", F.explode(slots))
-        .drop("_found", *["_k_" + k for k in on])
-    )
+    hot = hot or find_hot(left, on)
+    if hot.keys is None:
+        return left.join(right, on, how)
+    slot = F.pmod(F.xxhash64(*(spread or left.columns)), F.lit(salts))
+    salted = mark_hot(left, on, hot).withColumn(
+        "_salt", F.when(F.col("_hot"), slot).otherwise(F.lit(0).cast("long"))
+    ).drop("_hot")
+    slots = F.when(F.col("_hot"), F.expr(f"sequence(0L, {salts - 1}L)")).otherwise(F.expr("array(0L)"))
+    repeated = mark_hot(right, on, hot).withColumn("_salt", F.explode(slots)).drop("_hot")
     return salted.join(repeated, on + ["_salt"], how).drop("_salt")

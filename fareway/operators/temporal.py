@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .ordered import CHUNK, Running, Split, running, split_hot
-from .skew import lookup_join
+from .skew import Hot, find_hot, lookup_join
 
 DAY = 86400
 
@@ -38,15 +38,16 @@ class Source:
 
 def asof_many(
     left: DataFrame, sources: list[Source], by, left_ts: str, direction: str = "backward",
-    split: Split = Split(),
+    split: Split = Split(), hot: Hot | None = None,
 ) -> DataFrame:
     """For each left row the nearest event of each source with the same key, before or after it.
 
     All sides meet in one ordered pass. Left rows are all kept; those with a NULL key or time
-    match nothing.
+    match nothing. `hot` are the keys that are hot in all sides together, if known already.
     """
     by = [by] if isinstance(by, str) else list(by)
     forward = direction == "forward"
+    hot = hot or find_hot([left, *[s.df for s in sources]], by, split.share, split.min_rows)
     left_type = left.select(F.struct(*left.columns)).schema[0].dataType
     types = {n: _type_of(s.df, e) for s in sources for n, e in s.values.items()}
     blank = lambda names: [F.lit(None).cast(types[n]).alias(n) for n in names]
@@ -65,7 +66,7 @@ def asof_many(
         ))
     done = running(
         rows, by, ["_t", "_side", "_tie"], Running(fills={"_f_" + n: F.col(n) for n in types}),
-        descending=forward, split=split,
+        descending=forward, split=split, hot=hot,
     )
     usable = F.col("_t").isNotNull()
     for k in by:
@@ -78,9 +79,10 @@ def asof_many(
 def asof(
     left: DataFrame, right: DataFrame, by, left_ts: str, right_ts: str, values: dict[str, Column],
     direction: str = "backward", strict: bool = False, tie: str | None = None, split: Split = Split(),
+    hot: Hot | None = None,
 ) -> DataFrame:
     """`asof_many` with one source."""
-    return asof_many(left, [Source(right, right_ts, values, strict, tie)], by, left_ts, direction, split)
+    return asof_many(left, [Source(right, right_ts, values, strict, tie)], by, left_ts, direction, split, hot)
 
 
 def _type_of(df: DataFrame, e: Column):
@@ -90,6 +92,7 @@ def _type_of(df: DataFrame, e: Column):
 def asof_within(
     left, right, by, left_ts, right_ts, values: dict[str, Column], seconds: float | None = None,
     direction: str = "backward", strict: bool = False, tie: str | None = None, split: Split = Split(),
+    hot: Hot | None = None,
 ) -> DataFrame:
     """`asof` on whole right rows: all values come from the one nearest row, if it is close enough.
 
@@ -97,7 +100,7 @@ def asof_within(
     """
     row = F.struct(F.col(right_ts).alias("matched_at"), *[e.alias(n) for n, e in values.items()])
     found = asof(
-        left, right, by, left_ts, right_ts, {"_match": row}, direction, strict, tie, split
+        left, right, by, left_ts, right_ts, {"_match": row}, direction, strict, tie, split, hot
     )
     ok = F.lit(True)
     if seconds is not None:
@@ -156,7 +159,7 @@ def next_activity(
 
 
 def count_within(
-    df: DataFrame, by, ts: str, seconds: int, out: str, split: Split = Split()
+    df: DataFrame, by, ts: str, seconds: int, out: str, split: Split = Split(), hot: Hot | None = None
 ) -> DataFrame:
     """Number of rows of the same key in (t, t + seconds].
 
@@ -165,15 +168,20 @@ def count_within(
     into it. Rows with a NULL key or time count 0.
     """
     by = [by] if isinstance(by, str) else list(by)
-    parts = split_hot(df, by, ts, Split(float(seconds), split.share, split.min_rows))
-    lent = parts.withColumn(
-        "_at", F.explode(F.when(F.col(CHUNK).isNotNull(), F.array(F.col(CHUNK), F.col(CHUNK) - 1))
-                         .otherwise(F.array(F.lit(None).cast("long")))),
-    ).withColumn("_us", F.unix_micros(ts))
-    line = Window.partitionBy(*by, "_at").orderBy("_us")
+    hot = hot or find_hot(df, by, split.share, split.min_rows)
+    if hot.keys is None:
+        lent, keys, own = df, by, F.lit(True)
+    else:
+        parts = split_hot(df, by, ts, hot, Split(float(seconds)))
+        lent = parts.withColumn(
+            "_at", F.explode(F.when(F.col(CHUNK).isNotNull(), F.array(F.col(CHUNK), F.col(CHUNK) - 1))
+                             .otherwise(F.array(F.lit(None).cast("long")))),
+        )
+        keys, own = by + ["_at"], F.col("_at").eqNullSafe(F.col(CHUNK))
+    lent = lent.withColumn("_us", F.unix_micros(ts))
+    line = Window.partitionBy(*keys).orderBy("_us")
     upto = lambda us: F.count("_us").over(line.rangeBetween(Window.unboundedPreceding, us))
     counted = lent.withColumn("_n", upto(int(seconds * 1_000_000)) - upto(0))
-    own = F.col("_at").eqNullSafe(F.col(CHUNK))
     usable = F.col("_us").isNotNull()
     for k in by:
         usable = usable & F.col(k).isNotNull()
@@ -182,14 +190,14 @@ def count_within(
 
 def before_after(
     events: DataFrame, facts: DataFrame, by: str, event_ts: str, fact_ts: str, fact_id: str,
-    before: dict[str, Column], after: dict[str, Column], carry=(),
+    before: dict[str, Column], after: dict[str, Column], carry=(), hot: Hot | None = None,
 ) -> DataFrame:
     """Per event (one per key) the distinct facts strictly before and strictly after it.
 
     `before` and `after` map output names to conditions on a fact. Keys without facts get 0.
     Facts are reduced to one row per id first, then summed with map-side combine.
     """
-    marked = lookup_join(facts, events.select(by, F.col(event_ts).alias("_event")), by, "inner")
+    marked = lookup_join(facts, events.select(by, F.col(event_ts).alias("_event")), by, "inner", hot)
     flags = {n: (F.col(fact_ts) < F.col("_event")) & c for n, c in before.items()}
     flags |= {n: (F.col(fact_ts) > F.col("_event")) & c for n, c in after.items()}
     per_fact = marked.groupBy(by, fact_id).agg(

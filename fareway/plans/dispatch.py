@@ -12,7 +12,7 @@ from ..functions.time import filter_local_day
 from ..operators.aggregates import count_distinct_if, distinct_sums
 from ..operators.dedupe import keep_max, minmax_score
 from ..operators.ordered import Split, seq_num
-from ..operators.skew import lookup_join
+from ..operators.skew import find_hot, lookup_join
 from ..sources.sinks import snapshot_asof
 from .trips import completed
 
@@ -36,13 +36,17 @@ def blended_offers(
         (F.col("timestamp") >= F.lit(start).cast("timestamp")) & (F.col("timestamp") <= F.lit(end).cast("timestamp"))
         & F.col("estimate_eta").isNotNull()
     ).distinct()
-    final = keep_max(base, "journey_id", "attempt")
+    hot = find_hot(offers, "journey_id")
+    final = keep_max(base, "journey_id", "attempt", hot)
     picked = snapshot_asof(scores, score_date, ["ref_driver_id", "final_score"]).withColumnRenamed("ref_driver_id", "driver_id")
-    scored = minmax_score(lookup_join(final, picked, "driver_id"), "journey_id", "estimate_eta", "eta_score", invert=True)
+    scored = minmax_score(
+        lookup_join(final, picked, "driver_id", hot=find_hot(offers, "driver_id")), "journey_id", "estimate_eta",
+        "eta_score", invert=True, hot=hot,
+    )
     blend = sum((F.lit(w) * F.col(c) for c, w in weights.items()), F.lit(0.0))
-    taxi_offers = lookup_join(scored, taxis, "journey_id", "inner").withColumn("dispatch_score", blend)
-    by_eta = seq_num(taxi_offers, "journey_id", ["estimate_eta", "estimate_distance", *TIE], "eta_rank", Split(1.0))
-    return seq_num(by_eta, "journey_id", ["-dispatch_score", "estimate_eta", *TIE], "dispatch_rank", Split(0.01))
+    taxi_offers = lookup_join(scored, taxis, "journey_id", "inner", hot).withColumn("dispatch_score", blend)
+    by_eta = seq_num(taxi_offers, "journey_id", ["estimate_eta", "estimate_distance", *TIE], "eta_rank", Split(1.0), hot)
+    return seq_num(by_eta, "journey_id", ["-dispatch_score", "estimate_eta", *TIE], "dispatch_rank", Split(0.01), hot)
 
 
 def assigned(blended: DataFrame) -> DataFrame:

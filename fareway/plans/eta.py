@@ -11,7 +11,7 @@ from ..functions.geo import sphere_distance
 from ..functions.scalars import digits, in_codes, json_text, safe_ratio
 from ..functions.time import filter_local_day, seconds_between
 from ..operators.dedupe import keep_first, keep_max, top_k
-from ..operators.skew import lookup_join
+from ..operators.skew import find_hot, lookup_join
 from ..operators.temporal import asof_within
 from .trips import with_local_time, with_trip_times
 
@@ -64,8 +64,9 @@ def eta_distance_agreement(
         in_codes("ref_vehicle_category_id", V.TAXI_CATEGORIES)
     ).select("journey_id", "pickup_latitude", "pickup_longitude")
     final = filter_local_day(offers, "timestamp", start, offer_end or end).filter(F.col("estimate_eta").isNotNull())
-    final = keep_max(final.distinct(), "journey_id", "attempt")
-    joined = lookup_join(final, taxis, "journey_id", "inner").withColumn(
+    hot = find_hot(offers, "journey_id")
+    final = keep_max(final.distinct(), "journey_id", "attempt", hot)
+    joined = lookup_join(final, taxis, "journey_id", "inner", hot).withColumn(
         "gap_m", sphere_distance("pickup_longitude", "pickup_latitude", "longitude", "latitude")
     )
     best = keep_first(joined, "journey_id", ["estimate_eta", "estimate_distance", "driver_id"]).select(

@@ -11,6 +11,7 @@ from ..functions.geo import sphere_distance
 from ..functions.scalars import bucketize
 from ..functions.time import filter_local_day, local_ts
 from ..operators.ordered import prior_count
+from ..operators.skew import find_hot
 from ..operators.temporal import Source, asof_many
 from .trips import complaints, completed, rating_per_journey
 
@@ -29,7 +30,9 @@ def mispriced_trips(
         "estimate_drop_off_longitude", "estimate_drop_off_latitude", "actual_drop_off_longitude", "actual_drop_off_latitude",
         "estimate_total_fee", "actual_total_fee",
     )
-    trips = prior_count(history, "ref_customer_id", ["journey_created_at", "journey_id"], "prior_completed_trips")
+    said = complaints(tickets, users)
+    hot = find_hot([journeys, said], "ref_customer_id")
+    trips = prior_count(history, "ref_customer_id", ["journey_created_at", "journey_id"], "prior_completed_trips", hot=hot)
     trips = filter_local_day(trips, "journey_created_at", start, end).withColumns({
         "local_ts": local_ts("journey_created_at"),
         "drop_dist_m": sphere_distance(
@@ -43,9 +46,9 @@ def mispriced_trips(
     )
     near = asof_many(
         trips,
-        [Source(complaints(tickets, users), "complaint_ts", {"_complaint": F.col("complaint_ts")}),
+        [Source(said, "complaint_ts", {"_complaint": F.col("complaint_ts")}),
          Source(later, "_trip_at", {"_next_trip": F.col("_trip_at")}, strict=True)],
-        "ref_customer_id", "local_ts", "forward",
+        "ref_customer_id", "local_ts", "forward", hot=hot,
     )
     rated = near.join(rating_per_journey(ratings, ratings_per_journey), "ref_journey_id", "left")
     within = lambda c, hours: F.when(F.col(c) <= F.col("local_ts") + F.make_dt_interval(hours=F.lit(hours)), 1).otherwise(0)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import fixed_values as V
 from ..functions.time import filter_prev_week, local_ts, minutes_between
-from ..operators.skew import lookup_join
+from ..operators.skew import find_hot, lookup_join
 
 VAT = 0.05
 
@@ -26,7 +26,7 @@ def settlement_base(journeys: DataFrame, users: DataFrame, adjustments: DataFram
     trips = filter_prev_week(journeys.filter(F.col("ref_driver_id").isNotNull()), "updated_at", as_of)
     contacts = users.select(F.col("useruid").alias("driver_id"), "mobilenumber", "meterid", "countrycode").distinct()
     instruments = fare_metrics.select("journey_id", "actual_payment_instrument").distinct()
-    rows = lookup_join(trips, contacts, "driver_id", spread=["journey_id"])
+    rows = lookup_join(trips, contacts, "driver_id", hot=find_hot(journeys, "driver_id"), spread=["journey_id"])
     return rows.join(adjustment_totals(adjustments, as_of), "journey_id", "left").join(instruments, "journey_id", "left")
 
 

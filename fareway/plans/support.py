@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions import fixed_values as V
 from ..functions.scalars import bucketize, safe_ratio
 from ..functions.time import filter_local_day, local_ts
+from ..operators.skew import find_hot
 from ..operators.temporal import before_after
 from .trips import completed, customer_tickets
 
@@ -31,6 +32,7 @@ def ticket_behaviour(tickets: DataFrame, users: DataFrame, journeys: DataFrame,
         first, trips, "ref_customer_id", "initiated_date", "local_ts", "journey_id",
         before={"completed_before": completed(), "total_before": F.lit(True)},
         after={"trips_after": F.lit(True), "completed_after": completed(), "completed_after_promo": promo},
+        hot=find_hot(journeys, "ref_customer_id"),
     )
 
 

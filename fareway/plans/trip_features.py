@@ -11,6 +11,7 @@ from ..functions.geo import sphere_distance
 from ..functions.scalars import bucketize, safe_ratio, shift_label, status_flag
 from ..functions.time import days_between, filter_local_day, local_ts, minutes_between
 from ..operators.ordered import Running, running
+from ..operators.skew import Hot, find_hot
 from ..operators.temporal import Source, asof_many, count_within
 from ..operators.zones import zone_join
 from .trips import complaints, rating_per_journey, with_local_time
@@ -22,7 +23,7 @@ OUTCOMES = {
 }
 
 
-def customer_history(journeys: DataFrame) -> DataFrame:
+def customer_history(journeys: DataFrame, hot: Hot | None = None) -> DataFrame:
     """Each request with its number, the running outcome counts and the request before it; one ordered pass."""
     flagged = journeys.select(
         "journey_id", "ref_journey_id", CUSTOMER, "ref_vehicle_category_id", "journey_status", "journey_created_at",
@@ -35,7 +36,7 @@ def customer_history(journeys: DataFrame) -> DataFrame:
     one = F.lit(1).cast("long")
     sums = {"request_seq_num": one} | {f"cum_{n}": F.col(n).cast("long") for n in OUTCOMES}
     last = F.struct("journey_created_at", "ref_promo_applied", *OUTCOMES)
-    return running(flagged, CUSTOMER, ["journey_created_at", "journey_id"], Running(sums=sums, lags={"_prev": last}))
+    return running(flagged, CUSTOMER, ["journey_created_at", "journey_id"], Running(sums=sums, lags={"_prev": last}), hot=hot)
 
 
 def trip_features(
@@ -46,7 +47,9 @@ def trip_features(
 
     Counts run over the whole history; the previous request and the label only look inside the range.
     """
-    base = filter_local_day(customer_history(journeys), "journey_created_at", start, end)
+    said = complaints(tickets, users)
+    hot = find_hot([journeys, said], CUSTOMER)
+    base = filter_local_day(customer_history(journeys, hot), "journey_created_at", start, end)
     base = with_local_time(base)
     first_local = F.lit(start).cast("timestamp")
     inside = local_ts(F.col("_prev.journey_created_at")) >= first_local
@@ -57,11 +60,11 @@ def trip_features(
     )
     timed = asof_many(
         base,
-        [Source(complaints(tickets, users), "complaint_ts", {"_complaint": F.col("complaint_ts")}),
+        [Source(said, "complaint_ts", {"_complaint": F.col("complaint_ts")}),
          Source(requests, "_trip_at", {"_next_trip": F.col("_trip_at")}, strict=True)],
-        CUSTOMER, "local_ts", "forward",
+        CUSTOMER, "local_ts", "forward", hot=hot,
     )
-    counted = count_within(timed, CUSTOMER, "local_ts", 30 * 60, "trips_in_next_30min")
+    counted = count_within(timed, CUSTOMER, "local_ts", 30 * 60, "trips_in_next_30min", hot=hot)
     placed = zone_join(
         counted, zones, "journey_id", "pickup_longitude", "pickup_latitude", "geom", "name",
         {"pickup_hood": "name", "pickup_zone": "zone_name"},
