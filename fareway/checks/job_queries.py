@@ -87,24 +87,12 @@ def _scores(s, r, variant, offers=False):
 
 def _own_share(s, r):
     meter = kpi.meter_trips(A.meter_events(s, r), A.journeys(s, r), AS_OF)
-    weekly = kpi.own_share(meter, "booking_week").withColumn("period", F.date_format("booking_week", "yyyy-MM-dd"))
-    inside = kpi.filter_day_column(meter, "eventdatetime", AS_OF.replace(day=1), AS_OF)
-    return weekly.select("period", "own_share").unionByName(kpi.own_share(inside).withColumn("period", F.lit("MTD")))
+    return kpi.own_share(kpi.by_period(meter, "eventdatetime", AS_OF), "period")
 
 
 def _user_rollup(s, r):
-    trips, first = _kpi_trips(s, r), kpi.first_completed_day(A.journeys(s, r), AS_OF)
-    weekly = kpi.weekly_users(trips, first).withColumn("period", F.date_format("period_start", "yyyy-MM-dd"))
-    mtd = kpi.mtd_users(trips, first, AS_OF).withColumn("period", F.lit("MTD"))
-    return weekly.unionByName(mtd).drop("period_start")
-
-
-def _sessions(s, r):
-    daily = A.session_daily(s, r)
-    week = kpi.week_start("local_event_dt").alias("week")
-    weekly = kpi.session_conversion(daily, AS_OF - kpi.days(60), AS_OF, week).withColumn("period", F.date_format("week", "yyyy-MM-dd"))
-    mtd = kpi.session_conversion(daily, AS_OF.replace(day=1), AS_OF).withColumn("period", F.lit("MTD"))
-    return weekly.drop("week").unionByName(mtd)
+    trips = kpi.by_period(kpi.kpi_base(A.journeys(s, r), AS_OF), "local_date", AS_OF)
+    return kpi.user_rollup(trips, kpi.first_completed_day(A.journeys(s, r), AS_OF))
 
 
 JOBS = {
@@ -113,7 +101,7 @@ JOBS = {
     "kpi_weekly_funnel": lambda s, r: kpi.funnel(_kpi_trips(s, r), "booking_week"),
     "kpi_own_platform_share": _own_share,
     "kpi_user_rollup": _user_rollup,
-    "kpi_session_conversion": _sessions,
+    "kpi_session_conversion": lambda s, r: kpi.session_conversion(A.session_daily(s, r), AS_OF),
     "driver_score_first": lambda s, r: _scores(s, r, "first"),
     "driver_score_scheduled": lambda s, r: _scores(s, r, "scheduled"),
     "driver_score_acceptance": lambda s, r: _scores(s, r, "scheduled", offers=True),

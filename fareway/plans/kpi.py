@@ -11,7 +11,7 @@ from ..functions.geo import cosine_distance_km
 from ..functions.scalars import composite_id, in_codes, no_bad_badges, safe_ratio, trip_revenue
 from ..functions.time import days, filter_day_column, filter_local_day, local_date, week_start
 from ..operators.aggregates import avg_if, count_if, distinct_sums
-from ..operators.joins import classify_member, with_scalars
+from ..operators.joins import classify_member
 from ..operators.reshape import literal_rows, union_all, unpivot_metrics
 from .trips import completed, rating_per_journey, with_local_time, with_trip_times
 
@@ -22,20 +22,24 @@ USERS = ("new_users", "existing_users", "trip_frequency")
 SESSIONS = ("sessions", "session_conversion")
 
 
-def kpi_trips(journeys: DataFrame, ratings: DataFrame, badges: DataFrame, as_of: dt.date) -> DataFrame:
-    """Trips of the last 60 local days with times, revenue, rating and whether a bad badge was given.
-
-    Badges are reduced to one flag per journey; their text is not needed.
-    """
+def kpi_base(journeys: DataFrame, as_of: dt.date) -> DataFrame:
+    """Trips of the last 60 local days with times and revenue."""
     base = filter_local_day(journeys, "journey_created_at", as_of - days(WINDOW_DAYS), as_of)
     base = with_local_time(base).withColumn("eta_sec", F.coalesce("dispatch_eta_sec", "first_eta"))
     fees = ("actual_base_fee", "actual_total_distance_fee", "actual_total_time_fee")
-    timed = with_trip_times(base).withColumns({
+    return with_trip_times(base).withColumns({
         "revenue": trip_revenue("journey_status", F.col("vehicle_cat"), "weekday", "local_hour", fees),
         "pickup_km": cosine_distance_km(
             "driver_pickup_longitude", "driver_pickup_latitude", "dispatch_longitude", "dispatch_latitude"
         ),
     })
+
+
+def kpi_trips(journeys: DataFrame, ratings: DataFrame, badges: DataFrame, as_of: dt.date) -> DataFrame:
+    """`kpi_base` with the rating and whether the badges are clean.
+
+    Badges are reduced to one flag per journey; their text is not needed.
+    """
     # a journey counts as clean if the badges of one of its drivers are
     clean = badges.groupBy("ref_journey_id", "ref_driver_id").agg(
         F.min(no_bad_badges("badge_name").cast("int")).alias("_clean")
@@ -43,7 +47,23 @@ def kpi_trips(journeys: DataFrame, ratings: DataFrame, badges: DataFrame, as_of:
     rated = rating_per_journey(ratings).join(clean, "ref_journey_id", "left").withColumn(
         "clean_badges", F.coalesce(F.col("_clean") == 1, F.lit(True))
     ).drop("_clean")
-    return timed.join(rated, "ref_journey_id", "left")
+    return kpi_base(journeys, as_of).join(rated, "ref_journey_id", "left")
+
+
+def by_period(df: DataFrame, day: str, as_of: dt.date) -> DataFrame:
+    """Each row once for its week and, if it lies in [first of the month, as_of), once for `MTD`.
+
+    One pass then serves both; the repeated rows meet the map-side combine before any shuffle.
+    """
+    month = as_of.replace(day=1)
+    local = F.to_date(F.col(day))
+    line = lambda name, start, end: F.struct(name.alias("period"), start.alias("period_start"), end.alias("period_end"))
+    week = week_start(local)
+    weekly = line(F.date_format(week, "yyyy-MM-dd"), week, F.date_add(week, 7))
+    mtd = line(F.lit("MTD"), F.lit(month), F.add_months(F.lit(month), 1))
+    inside = (local >= F.lit(month)) & (local < F.lit(as_of))
+    lines = F.when(inside, F.array(weekly, mtd)).otherwise(F.array(weekly))
+    return df.withColumn("_period", F.explode(lines)).select(*df.columns, "_period.*")
 
 
 def funnel(trips: DataFrame, *keys) -> DataFrame:
@@ -109,25 +129,18 @@ def first_completed_day(journeys: DataFrame, as_of: dt.date) -> DataFrame:
     return done.groupBy("ref_customer_id").agg(F.min(local_date("journey_created_at")).alias("first_day"))
 
 
-def weekly_users(trips: DataFrame, first_days: DataFrame) -> DataFrame:
-    return _users(trips.withColumn("period_start", F.col("booking_week")), first_days, F.date_add("period_start", 7))
-
-
-def mtd_users(trips: DataFrame, first_days: DataFrame, as_of: dt.date) -> DataFrame:
-    month = as_of.replace(day=1)
-    inside = filter_day_column(trips, "local_date", month, as_of).withColumn("period_start", F.lit(month))
-    return _users(inside, first_days, F.add_months("period_start", 1))
-
+def user_rollup(trips: DataFrame, first_days: DataFrame) -> DataFrame:
+    """Active, new and existing users per period, and trips per user; `trips` come from `by_period`.
 
-def _users(trips: DataFrame, first_days: DataFrame, period_end: Column) -> DataFrame:
-    """Users per period: each has one row per period after the first aggregate, so counts are distinct."""
-    per_user = trips.filter(completed()).groupBy("period_start", "ref_customer_id").agg(
+    A user has one row per period after the first aggregate, so counts are distinct counts.
+    """
+    per_user = trips.filter(completed()).groupBy("period", "period_start", "period_end", "ref_customer_id").agg(
         F.count("journey_id").alias("trips")
     ).join(first_days, "ref_customer_id", "left")
-    new = (F.col("first_day") >= F.col("period_start")) & (F.col("first_day") < period_end)
+    new = (F.col("first_day") >= F.col("period_start")) & (F.col("first_day") < F.col("period_end"))
     old = F.col("first_day") < F.col("period_start")
     user = F.col("ref_customer_id")
-    return per_user.groupBy("period_start").agg(
+    return per_user.groupBy("period").agg(
         F.count(user).alias("active_users"),
         F.count(F.when(new, user)).alias("new_users"), F.count(F.when(old, user)).alias("existing_users"),
         F.round(F.avg("trips"), 1).alias("trip_frequency"),
@@ -136,9 +149,10 @@ def _users(trips: DataFrame, first_days: DataFrame, period_end: Column) -> DataF
     )
 
 
-def session_conversion(sessions: DataFrame, start: dt.date, end: dt.date, *keys) -> DataFrame:
-    """Sessions and the percentage of them with a booking, over local days [start, end)."""
-    return filter_day_column(sessions, "local_event_dt", start, end).groupBy(*keys).agg(
+def session_conversion(sessions: DataFrame, as_of: dt.date) -> DataFrame:
+    """Sessions and the percentage of them with a booking, per week of the last 60 days and MTD."""
+    recent = filter_day_column(sessions, "local_event_dt", as_of - days(WINDOW_DAYS), as_of)
+    return by_period(recent, "local_event_dt", as_of).groupBy("period").agg(
         F.sum("total_page_view_session_cnt").alias("sessions"), F.sum("total_booked_session").alias("booked_sessions")
     ).withColumn("session_conversion", safe_ratio("booked_sessions", "sessions", 100.0))
 
@@ -157,28 +171,23 @@ def kpi_sheet(
     as_of: dt.date,
 ) -> DataFrame:
     """Rows `(period, metric, value, metric_order)`; the period is a Monday, `MTD` or `Monthly Target`."""
-    trips = kpi_trips(journeys, ratings, badges, as_of)
-    raw = filter_local_day(journeys, "journey_created_at", as_of - days(WINDOW_DAYS), as_of)
-    meter = meter_trips(meter_events, raw, as_of)
-    first = first_completed_day(journeys, as_of)
-    month = as_of.replace(day=1)
-    weekly_name = lambda c: F.date_format(c, "yyyy-MM-dd").alias("period")
-    mtd_name = F.lit("MTD").alias("period")
-
-    weekly = funnel(trips, "booking_week").join(own_share(meter, "booking_week"), "booking_week", "left")
-    mtd = with_scalars(
-        funnel(filter_day_column(trips, "local_date", month, as_of)),
-        own_share(filter_day_column(meter, "eventdatetime", month, as_of)),
-    )
-    by_week = week_start("local_event_dt").alias("week")
+    trips = by_period(kpi_trips(journeys, ratings, badges, as_of), "local_date", as_of)
+    own_jobs = filter_local_day(journeys, "journey_created_at", as_of - days(WINDOW_DAYS), as_of)
+    meter = by_period(meter_trips(meter_events, own_jobs, as_of), "eventdatetime", as_of)
+    users = user_rollup(by_period(kpi_base(journeys, as_of), "local_date", as_of), first_completed_day(journeys, as_of))
     lines = union_all(
-        _lines(weekly.select(weekly_name("booking_week"), *FUNNEL), FUNNEL),
-        _lines(weekly_users(trips, first).select(weekly_name("period_start"), *USERS), USERS),
-        _lines(session_conversion(sessions, as_of - days(WINDOW_DAYS), as_of, by_week).select(weekly_name("week"), *SESSIONS), SESSIONS),
-        _lines(mtd.select(mtd_name, *FUNNEL), FUNNEL),
-        _lines(mtd_users(trips, first, as_of).select(mtd_name, *USERS), USERS),
-        _lines(session_conversion(sessions, month, as_of).select(mtd_name, *SESSIONS), SESSIONS),
+        _lines(funnel(trips, "period").join(own_share(meter, "period"), "period", "left"), FUNNEL),
+        _lines(users, USERS),
+        _lines(session_conversion(sessions, as_of), SESSIONS),
     )
-    ranked = lines.groupBy("period", "metric").agg(F.sum("value").alias("value"), F.min("metric_order").alias("metric_order"))
     targets = target_rows(journeys.sparkSession)
+    # on the first of a month nothing lies in MTD: its counts are 0 and its other values NULL
+    empty = [
+        ("MTD", V.KPI_METRICS[n][1], 0.0 if n in ("requests", "completed") else None, V.KPI_METRICS[n][0])
+        for n in FUNNEL + SESSIONS
+    ]
+    floor = literal_rows(journeys.sparkSession, empty, "period string, metric string, value double, metric_order int")
+    ranked = union_all(lines.select(targets.columns), floor).groupBy("period", "metric").agg(
+        F.sum("value").alias("value"), F.min("metric_order").alias("metric_order")
+    )
     return union_all(ranked.select(targets.columns), targets).orderBy("period", "metric_order")
