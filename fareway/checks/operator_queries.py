@@ -605,8 +605,8 @@ _project("date_text", {"at": t("strptime(initiated_at, '%m/%d/%Y %H:%M')"), "day
          lambda: {"at": TM.parse_ticket_time(F.col("initiated_at")), "day": F.date_format(TM.parse_ticket_time(F.col("initiated_at")), "yyyy-MM-dd")},
          "tickets", "tickets", A.tickets, "user_properties_phone_number")
 _project("as_of_parameter", {"idle": "date_diff('day', ld, DATE '2024-01-25')"}, lambda: {"idle": TM.days_between("local_date", F.lit(AS_OF))})
-_project("arithmetic", {"a": r("round(abs(actual_total_fee - estimate_total_fee), 3)"), "e": r("exp(actual_tip_amount)"), "g": r("greatest(actual_total_fee, actual_discount_amount)"), "l": r("least(actual_total_fee, actual_discount_amount)")},
-         lambda: {"a": F.round(F.abs(F.col("actual_total_fee") - F.col(fee)), 3), "e": F.exp("actual_tip_amount"), "g": F.greatest("actual_total_fee", "actual_discount_amount"), "l": F.least("actual_total_fee", "actual_discount_amount")})
+_project("arithmetic", {"a": r("round(abs(actual_distance - 20) / 7, 3)"), "e": r("exp(actual_tip_amount)"), "g": r("greatest(actual_total_fee, actual_discount_amount)"), "l": r("least(actual_total_fee, actual_discount_amount)")},
+         lambda: {"a": F.round(F.abs(F.col("actual_distance") - 20) / 7, 3), "e": F.exp("actual_tip_amount"), "g": F.greatest("actual_total_fee", "actual_discount_amount"), "l": F.least("actual_total_fee", "actual_discount_amount")})
 _project("trigonometry", {"c": r("cos(radians(pickup_latitude))"), "s": r("sin(radians(pickup_latitude))"), "a": r("acos(pickup_latitude / 100)")},
          lambda: {"c": F.cos(F.radians("pickup_latitude")), "s": F.sin(F.radians("pickup_latitude")), "a": F.acos(F.col("pickup_latitude") / 100)})
 _project("null_handling", {"a": r("nullif(actual_tip_amount, 0)"), "b": r("coalesce(dispatch_eta_sec, first_eta)"), "c": "journey_status::VARCHAR"},

@@ -37,8 +37,14 @@ def snapshot_asof(df: DataFrame, run_date: dt.date, columns=None) -> DataFrame:
 
 
 def insert_by_name(df: DataFrame, table: str, columns) -> None:
-    """Append the listed columns to a table by name, whatever their order."""
-    df.select(*columns).writeTo(table).append()
+    """Append the listed columns to a table by name, whatever their order in `df`.
+
+    The list must name every column of the table.
+    """
+    order = df.sparkSession.table(table).columns
+    if sorted(order) != sorted(columns):
+        raise ValueError(f"columns {sorted(columns)} do not match table columns {sorted(order)}")
+    df.select(*order).write.mode("append").insertInto(table)
 
 
 def purge_before(spark: SparkSession, table: str, date_c: str, bound: dt.date) -> int:
@@ -58,6 +64,6 @@ def append_with_retention(df: DataFrame, table: str, date_c: str, as_of: dt.date
     spark = df.sparkSession
     if spark.catalog.tableExists(table):
         purge_before(spark, table, date_c, monday(as_of) - days(7 * weeks))
-        df.select(*spark.table(table).columns).write.mode("append").insertInto(table)
+        insert_by_name(df, table, df.columns)
     else:
         df.write.partitionBy(date_c).format("parquet").saveAsTable(table)
