@@ -56,7 +56,7 @@ def _blended(s, r):
 
 
 def _kpi_trips(s, r):
-    return kpi.kpi_trips(A.journeys(s, r), A.ratings(s, r), A.badges(s, r), AS_OF)
+    return kpi.rated_trips(kpi.kpi_base(A.journeys(s, r), AS_OF), A.ratings(s, r), A.badges(s, r))
 
 
 def _mispriced(s, r):

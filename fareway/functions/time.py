@@ -97,13 +97,24 @@ def week_bounds(as_of: dt.date) -> tuple[dt.date, dt.date]:
 
 
 def filter_local_day(
-    df: DataFrame, ts: str, start: dt.date | None, end: dt.date | None, zone: str = LOCAL_ZONE
+    df: DataFrame, ts: str, start: dt.date | None, end: dt.date | None, zone: str = LOCAL_ZONE,
+    utc_day: str | None = None,
 ) -> DataFrame:
-    """Keep local days in [start, end). The bounds meet the bare column, so they reach the scan."""
+    """Keep local days in [start, end). The bounds meet the bare column, so they reach the scan.
+
+    `utc_day` names the partition column of a table that is laid out by UTC day; it is bounded
+    too, so that only the partitions of the period are read.
+    """
     if start is not None:
-        df = df.filter(F.col(ts) >= day_start_utc(start, zone))
+        first = day_start_utc(start, zone)
+        df = df.filter(F.col(ts) >= first)
+        if utc_day:
+            df = df.filter(F.col(utc_day) >= F.to_date(first))
     if end is not None:
-        df = df.filter(F.col(ts) < day_start_utc(end, zone))
+        last = day_start_utc(end, zone)
+        df = df.filter(F.col(ts) < last)
+        if utc_day:
+            df = df.filter(F.col(utc_day) <= F.to_date(last))
     return df
 
 

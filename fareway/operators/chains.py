@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import cut_lineage
-from .skew import lookup_join
+from .reshape import union_all
+from .skew import Hot, find_hot, hot_limits, lookup_join
 
 
 def expand_chains(df: DataFrame, id_c: str, parent_c: str, root: Column) -> DataFrame:
@@ -24,25 +25,35 @@ def expand_chains(df: DataFrame, id_c: str, parent_c: str, root: Column) -> Data
         F.when(F.col(parent_c).isNull(), 0).otherwise(1).cast("long").alias("_hops"),
         F.col(parent_c).isNull().alias("_done"),
     ).filter(F.col("_id").isNotNull())
-    state = cut_lineage(links)
-    open_rows = state.filter(~F.col("_done")).count()
+    first = cut_lineage(links)
+    settled, moving = [first.filter("_done")], first.filter(~F.col("_done"))
+    open_rows, most = _pointers(moving)
     while open_rows:
-        ahead = state.select(
+        ahead = union_all(*settled, moving).select(
             F.col("_id").alias("_up"), F.col("_up").alias("_next"),
             F.col("_hops").alias("_more"), F.col("_done").alias("_there"),
         )
-        moved = lookup_join(state.filter(~F.col("_done")), ahead, "_up", "inner").select(
+        hot = find_hot(moving, "_up") if most > hot_limits(df.sparkSession)[1] else Hot(("_up",), None)
+        moved = cut_lineage(lookup_join(moving, ahead, "_up", "inner", hot).select(
             "_id", F.col("_next").alias("_up"), (F.col("_hops") + F.col("_more")).alias("_hops"),
             F.col("_there").alias("_done"),
-        )
-        state = cut_lineage(state.filter("_done").unionByName(moved))
-        left = state.filter(~F.col("_done")).count()
+        ))
+        # only the rows that still moved are written; settled rows stay where they were written
+        settled.append(moved.filter("_done"))
+        moving = moved.filter(~F.col("_done"))
+        left, most = _pointers(moving)
         if left == open_rows:
             break
         open_rows = left
-    settled = state.filter("_done").select(
+    ends = union_all(*settled).select(
         F.col("_id").alias(id_c), F.col("_up").alias("root_id"), F.col("_hops").alias("level")
     )
     roots = df.filter(F.col(parent_c).isNull() & root).select(F.col(id_c).alias("root_id"))
-    kept = lookup_join(settled, roots, "root_id", "inner")
+    kept = lookup_join(ends, roots, "root_id", "inner")
     return df.join(kept, id_c)
+
+
+def _pointers(moving: DataFrame) -> tuple[int, int]:
+    """Number of rows still moving, and the most rows that share a pointer."""
+    total, most = moving.groupBy("_up").agg(F.count(F.lit(1)).alias("_n")).agg(F.sum("_n"), F.max("_n")).first()
+    return total or 0, most or 0

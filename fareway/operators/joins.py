@@ -7,10 +7,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 from .skew import Hot, lookup_join
 
 
-def filter_in(df: DataFrame, c: str, ref: DataFrame, ref_c: str | None = None) -> DataFrame:
+def filter_in(df: DataFrame, c: str, ref: DataFrame, ref_c: str | None = None, hot: Hot | None = None) -> DataFrame:
     """Rows whose key occurs in `ref`."""
     keys = ref.select(F.col(ref_c or c).alias(c)).distinct()
-    return df.join(keys, c, "left_semi")
+    return lookup_join(df, keys, c, "left_semi", hot)
 
 
 def classify_member(df: DataFrame, c: str, ref: DataFrame, ref_c: str, out: str, hot: Hot | None = None) -> DataFrame:

@@ -12,7 +12,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from .skew import HOT_ROWS, HOT_SHARE, Hot, find_hot, mark_hot, same_key
+from .skew import Hot, find_hot, mark_hot, same_key
 
 CHUNK = "_chunk"
 HOUR = 3600.0
@@ -20,11 +20,11 @@ HOUR = 3600.0
 
 @dataclass(frozen=True)
 class Split:
-    """How hot keys are cut: chunk width in seconds (times) or units (numbers)."""
+    """How hot keys are cut: chunk width in seconds (times) or units (numbers), and when a key is hot."""
 
     width: float = HOUR
-    share: float = HOT_SHARE
-    min_rows: int = HOT_ROWS
+    share: float | None = None
+    min_rows: int | None = None
 
 
 @dataclass(frozen=True)

@@ -1,7 +1,8 @@
 """Keys that hold a large share of the rows, and joins that survive them.
 
-A key is hot when it holds more than `share` of all rows, and at least `min_rows`. At most
-`1 / share` keys can do so, which bounds every broadcast made here.
+A key is hot when it holds more than `share` of all rows, and more than `min_rows`. At most
+`1 / share` keys can do so, which bounds every broadcast made here. The defaults can be set with
+`spark.fareway.hotShare` and `spark.fareway.hotRows`.
 """
 
 from __future__ import annotations
@@ -9,7 +10,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..session import cut_lineage
 
@@ -26,24 +27,34 @@ class Hot:
     keys: DataFrame | None
 
 
-def find_hot(frames, by, share: float = HOT_SHARE, min_rows: int = HOT_ROWS) -> Hot:
+def hot_limits(spark: SparkSession) -> tuple[float, int]:
+    """The session's `(share, rows)` above which a key is hot."""
+    share = spark.conf.get("spark.fareway.hotShare", str(HOT_SHARE))
+    return float(share), int(spark.conf.get("spark.fareway.hotRows", str(HOT_ROWS)))
+
+
+def find_hot(frames, by, share: float | None = None, min_rows: int | None = None) -> Hot:
     """Count the keys of one or more frames and keep the hot ones.
 
-    This runs one job that reads the key columns only and combines on the map side. Its small
-    result is written to the shared folder, so that the frames are not counted again by every
-    step that asks. Mostly there is no hot key, and the steps then take their plain form. Pass
-    frames close to the scan, and pass the result on to all steps that use the same key.
+    This runs one job that reads the key columns only and combines on the map side; its result is
+    one row. Mostly no key is hot, and the steps that use the key then take their plain form.
+    Otherwise the hot keys are written to the shared folder, so that no step counts them again.
+    Pass frames close to the scan, and pass the result on to all steps with the same key.
     """
     by = [by] if isinstance(by, str) else list(by)
     frames = frames if isinstance(frames, (list, tuple)) else [frames]
+    default_share, default_rows = hot_limits(frames[0].sparkSession)
+    share = default_share if share is None else share
+    min_rows = default_rows if min_rows is None else min_rows
     keys = reduce(lambda a, b: a.unionByName(b), [f.select(*by) for f in frames])
-    counts = keys.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > min_rows)
-    if share > 0:
-        # one row, because it is an aggregate without keys
-        total = keys.agg((F.count(F.lit(1)) * F.lit(share)).alias("_least"))
-        counts = counts.crossJoin(F.broadcast(total)).filter(F.col("_n") > F.col("_least"))
-    found = cut_lineage(counts.select(*[F.col(k).alias("_k_" + k) for k in by]))
-    return Hot(tuple(by), None if found.isEmpty() else found)
+    counts = keys.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
+    most, total = counts.agg(F.max("_n"), F.sum("_n")).first()
+    least = max(min_rows, (total or 0) * share)
+    if (most or 0) <= least:
+        return Hot(tuple(by), None)
+    return Hot(tuple(by), cut_lineage(
+        counts.filter(F.col("_n") > least).select(*[F.col(k).alias("_k_" + k) for k in by])
+    ))
 
 
 def same_key(left: DataFrame, right: DataFrame, keys, prefix: str = "") -> Column:

@@ -10,7 +10,7 @@ from ..functions import fixed_values as V
 from ..functions.geo import sphere_distance
 from ..functions.scalars import digits, in_codes, json_text, safe_ratio
 from ..functions.time import filter_local_day, seconds_between
-from ..operators.dedupe import keep_first, keep_max, top_k
+from ..operators.dedupe import keep_max, top_k
 from ..operators.skew import find_hot, lookup_join
 from ..operators.temporal import asof_within
 from .trips import with_local_time, with_trip_times
@@ -63,20 +63,24 @@ def eta_distance_agreement(
     taxis = filter_local_day(journeys, "journey_created_at", start, end).filter(
         in_codes("ref_vehicle_category_id", V.TAXI_CATEGORIES)
     ).select("journey_id", "pickup_latitude", "pickup_longitude")
+    offers = offers.select(
+        "journey_id", "driver_id", "attempt", "dispatch_order", "distance_from_pickup", "estimate_eta",
+        "estimate_distance", "is_dispatched", "latitude", "longitude", "timestamp",
+    )
     final = filter_local_day(offers, "timestamp", start, offer_end or end).filter(F.col("estimate_eta").isNotNull())
     hot = find_hot(offers, "journey_id")
     final = keep_max(final.distinct(), "journey_id", "attempt", hot)
     joined = lookup_join(final, taxis, "journey_id", "inner", hot).withColumn(
         "gap_m", sphere_distance("pickup_longitude", "pickup_latitude", "longitude", "latitude")
     )
-    best = keep_first(joined, "journey_id", ["estimate_eta", "estimate_distance", "driver_id"]).select(
-        "journey_id", "driver_id"
-    )
+    order = F.struct("estimate_eta", "estimate_distance", "driver_id")
+    best = joined.groupBy("journey_id").agg(F.min_by("driver_id", order).alias("driver_id"))
     near = top_k(joined, "journey_id", ["gap_m", "driver_id", "estimate_eta", "estimate_distance"], max(tops), "dist_rank")
-    hits = near.join(best, ["journey_id", "driver_id"]).agg(
-        *[F.count(F.when(F.col("dist_rank") <= k, 1)).alias(f"_top{k}") for k in tops]
+    met = best.join(near.select("journey_id", "driver_id", "dist_rank"), ["journey_id", "driver_id"], "left")
+    sums = met.agg(
+        F.countDistinct("journey_id").alias("total_journeys"),
+        *[F.count(F.when(F.col("dist_rank") <= k, 1)).alias(f"_top{k}") for k in tops],
     )
-    total = joined.agg(F.countDistinct("journey_id").alias("total_journeys"))
-    return total.crossJoin(F.broadcast(hits)).select(
+    return sums.select(
         "total_journeys", *[safe_ratio(f"_top{k}", "total_journeys").alias(f"pct_eta1_in_top{k}") for k in tops]
     )

@@ -12,6 +12,7 @@ from ..functions.scalars import composite_id, in_codes, no_bad_badges, safe_rati
 from ..functions.time import days, filter_day_column, filter_local_day, local_date, week_start
 from ..operators.aggregates import avg_if, count_if, distinct_sums
 from ..operators.joins import classify_member
+from ..operators.skew import find_hot
 from ..operators.reshape import literal_rows, union_all, unpivot_metrics
 from .trips import completed, rating_per_journey, with_local_time, with_trip_times
 
@@ -35,7 +36,7 @@ def kpi_base(journeys: DataFrame, as_of: dt.date) -> DataFrame:
     })
 
 
-def kpi_trips(journeys: DataFrame, ratings: DataFrame, badges: DataFrame, as_of: dt.date) -> DataFrame:
+def rated_trips(base: DataFrame, ratings: DataFrame, badges: DataFrame) -> DataFrame:
     """`kpi_base` with the rating and whether the badges are clean.
 
     Badges are reduced to one flag per journey; their text is not needed.
@@ -47,7 +48,7 @@ def kpi_trips(journeys: DataFrame, ratings: DataFrame, badges: DataFrame, as_of:
     rated = rating_per_journey(ratings).join(clean, "ref_journey_id", "left").withColumn(
         "clean_badges", F.coalesce(F.col("_clean") == 1, F.lit(True))
     ).drop("_clean")
-    return kpi_base(journeys, as_of).join(rated, "ref_journey_id", "left")
+    return base.join(rated, "ref_journey_id", "left")
 
 
 def by_period(df: DataFrame, day: str, as_of: dt.date) -> DataFrame:
@@ -108,7 +109,9 @@ def meter_trips(meter_events: DataFrame, trips: DataFrame, as_of: dt.date) -> Da
         meter_events.filter(F.col("eventname") == "METER_VACANT"), "eventdatetime", as_of - days(WINDOW_DAYS), as_of
     ).select("eventdatetime", "driverid", "jobnumber", "fareamount").distinct()
     own = trips.filter(in_codes("journey_status", V.METER_JOB))
-    member = classify_member(vacant, "jobnumber", own, "transport_authority_job_id", "_own")
+    # street trips share the number 0, which is hot
+    hot = find_hot(meter_events, "jobnumber")
+    member = classify_member(vacant, "jobnumber", own, "transport_authority_job_id", "_own", hot)
     street = F.col("jobnumber").isNull() | (F.col("jobnumber") == "0")
     return member.withColumns({
         "uid": composite_id("driverid", "jobnumber", "eventdatetime"),
@@ -171,10 +174,11 @@ def kpi_sheet(
     as_of: dt.date,
 ) -> DataFrame:
     """Rows `(period, metric, value, metric_order)`; the period is a Monday, `MTD` or `Monthly Target`."""
-    trips = by_period(kpi_trips(journeys, ratings, badges, as_of), "local_date", as_of)
+    base = kpi_base(journeys, as_of)
+    trips = by_period(rated_trips(base, ratings, badges), "local_date", as_of)
     own_jobs = filter_local_day(journeys, "journey_created_at", as_of - days(WINDOW_DAYS), as_of)
     meter = by_period(meter_trips(meter_events, own_jobs, as_of), "eventdatetime", as_of)
-    users = user_rollup(by_period(kpi_base(journeys, as_of), "local_date", as_of), first_completed_day(journeys, as_of))
+    users = user_rollup(by_period(base, "local_date", as_of), first_completed_day(journeys, as_of))
     lines = union_all(
         _lines(funnel(trips, "period").join(own_share(meter, "period"), "period", "left"), FUNNEL),
         _lines(users, USERS),

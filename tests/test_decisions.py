@@ -160,7 +160,7 @@ def test_kpi_on_the_first_of_a_month(spark, data):
 
 
 def test_weekly_outcomes_add_up(spark, data):
-    rows = kpi.funnel(kpi.kpi_trips(A.journeys(spark, data), A.ratings(spark, data), A.badges(spark, data), dt.date(2024, 1, 25)), "booking_week").collect()
+    rows = kpi.funnel(kpi.rated_trips(kpi.kpi_base(A.journeys(spark, data), dt.date(2024, 1, 25)), A.ratings(spark, data), A.badges(spark, data)), "booking_week").collect()
     assert rows and all(r.requests == r.completed + r.cancelled for r in rows)
 
 

@@ -4,6 +4,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from fareway.functions.time import filter_local_day
 from fareway.operators.dedupe import keep_first
 from fareway.operators.ordered import Running, running
 from fareway.plans import stickiness, weekly_churn
@@ -34,3 +35,16 @@ def test_first_per_key_is_cut_before_the_shuffle(spark, data):
 def test_weekly_features_need_no_range_join(spark, data):
     text = plan(weekly_churn.weekly_churn_features(A.journeys(spark, data), dt.date(2024, 1, 3), dt.date(2024, 1, 30)))
     assert "NestedLoopJoin" not in text and "Cartesian" not in text
+
+
+def test_day_partitions_are_pruned(spark, data, tmp_path):
+    path = str(tmp_path / "by_day")
+    j = A.journeys(spark, data).select("journey_id", "journey_created_at")
+    j.withColumn("day", F.to_date("journey_created_at")).write.partitionBy("day").parquet(path)
+    start, end = dt.date(2024, 1, 10), dt.date(2024, 1, 12)
+    table = spark.read.parquet(path)
+    pruned = filter_local_day(table, "journey_created_at", start, end, utc_day="day")
+    assert pruned.count() == filter_local_day(table, "journey_created_at", start, end).count() > 0
+    assert len(pruned.select(F.input_file_name()).distinct().collect()) <= 3
+    scan = plan(pruned)
+    assert "PartitionFilters: [isnotnull(day" in scan and ">= 2024-01-09" in scan
