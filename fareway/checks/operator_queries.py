@@ -26,8 +26,8 @@ from ..session import shared_dir
 from ..sources import adapters as A
 from ..sources import sinks
 from ..sources.tables import read_table, read_tickets
-from .frames_sql import TAXI, with_frames
-from .job_oracles import DONE, FINAL_OFFERS, PEAK, PLACE, SLOT, TIMED, d, dist, n, r, t
+from .frames_sql import with_frames
+from .job_oracles import DONE, PEAK, PLACE, SLOT, d, dist, n, r, t
 from .job_queries import AS_OF, query
 
 QUERIES, ORACLES = {}, {}
@@ -96,7 +96,7 @@ SELECT {d('wk')} AS booking_week, count(*) AS requests, count(DISTINCT ref_custo
 FROM trips, (VALUES ('2024-01-24'), ('2024-01-25')) AS v(x) GROUP BY 1, 4""")
 def _(s, root):
     path, frame = scratch(s), _weekly(s, root)
-    sinks.write_snapshot(frame.limit(1), path, dt.date(2024, 1, 25))
+    sinks.write_snapshot(frame.withColumn("requests", F.col("requests") * 0), path, dt.date(2024, 1, 25))
     for day in (24, 25):
         sinks.write_snapshot(frame, path, dt.date(2024, 1, day))
     return s.read.parquet(path)
@@ -145,8 +145,11 @@ _filter("month_to_date_filter", "ld >= DATE '2024-01-01' AND ld < DATE '2024-01-
 _filter("closed_weeks_filter", "ld < DATE '2024-01-22'", lambda j: TM.filter_closed_weeks(j, CREATED, AS_OF))
 _filter("previous_week_filter", "ld >= DATE '2024-01-15' AND ld < DATE '2024-01-22'", lambda j: TM.filter_prev_week(j, CREATED, AS_OF))
 _filter("week_bounds_filter", "ld >= DATE '2023-12-22' AND ld < DATE '2024-01-22'", lambda j: TM.filter_local_day(j, CREATED, *TM.week_bounds(AS_OF)))
-_filter("label_filter", f"cls = 'Taxi' AND {PEAK} = 'Evening_peak'",
-        lambda j: j.filter("true").join(with_trip_times(with_local_time(j)).filter((F.col("vehicle_cat") == "Taxi") & (F.col("peak") == "Evening_peak")).select("journey_id"), "journey_id", "left_semi"))
+
+
+@op("label_filter", "trips", f"SELECT journey_id, {d('ld')} AS local_date FROM trips WHERE cls = 'Taxi' AND {PEAK} = 'Evening_peak'")
+def _(s, root):
+    return timed(s, root).filter((F.col("vehicle_cat") == "Taxi") & (F.col("peak") == "Evening_peak")).select("journey_id", "local_date")
 
 
 def _project(name, columns: dict, fn, frames="trips", base="trips", source=trips, key="journey_id"):
@@ -294,7 +297,7 @@ def _sides(s, root):
     return j.filter("journey_status = 13").drop("journey_status"), done
 
 
-def _asof_sql(cond, order, keep="LEFT JOIN"):
+def _asof_sql(cond, order):
     return f"""SELECT a.journey_id, a.ref_customer_id, {t('a.journey_created_at')} AS journey_created_at, {t('b.journey_created_at')} AS matched_at, b.journey_id AS done_id
 FROM {CANCELS} a LEFT JOIN {DONE_TRIPS} b ON a.ref_customer_id = b.ref_customer_id AND {cond}
 QUALIFY row_number() OVER (PARTITION BY a.journey_id ORDER BY {order}) = 1"""

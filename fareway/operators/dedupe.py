@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .ordered import _sorting
+from .ordered import sorting
 from .skew import Hot, lookup_join
 
 
@@ -17,7 +17,7 @@ def top_k(df: DataFrame, by, order, k: int, out: str | None = None) -> DataFrame
     by = [by] if isinstance(by, str) else list(by)
     order = [order] if isinstance(order, str) else list(order)
     rank = out or "_rank"
-    line = Window.partitionBy(*by).orderBy(*_sorting(order, False))
+    line = Window.partitionBy(*by).orderBy(*sorting(order))
     kept = df.withColumn(rank, F.row_number().over(line)).filter(F.col(rank) <= k)
     return kept if out else kept.drop(rank)
 

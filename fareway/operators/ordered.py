@@ -50,6 +50,8 @@ def _position(df: DataFrame, order: str) -> Column:
         return F.unix_micros(order) / F.lit(1e6)
     if isinstance(kind, T.DateType):
         return F.unix_date(order) * F.lit(86400.0)
+    if not isinstance(kind, T.NumericType):
+        raise ValueError(f"the first order column must be a time or a number to split hot keys, not {kind.simpleString()}")
     return F.col(order).cast("double")
 
 
@@ -64,7 +66,8 @@ def split_hot(df: DataFrame, by, order: str, hot: Hot, split: Split = Split()) -
     return marked.withColumn(CHUNK, F.when(F.col("_hot"), chunk)).drop("_hot")
 
 
-def _sorting(order, descending: bool):
+def sorting(order, descending: bool = False):
+    """Sort columns for names with an optional leading `-`; NULL is the largest value."""
     flip = lambda c: c.startswith("-") != descending
     return [
         F.col(c.lstrip("-")).desc_nulls_first() if flip(c) else F.col(c.lstrip("-")).asc_nulls_last()
@@ -90,7 +93,7 @@ def running(
     parts = split_hot(df, by, order[0].lstrip("-"), hot, split) if cut else df
     keys = by + [CHUNK] if cut else by
 
-    rows = Window.partitionBy(*keys).orderBy(*_sorting(order, descending))
+    rows = Window.partitionBy(*keys).orderBy(*sorting(order, descending))
     so_far = rows.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     box = lambda e: F.struct(e.alias("v"))
 
