@@ -37,15 +37,14 @@ def blended_offers(
         & F.col("estimate_eta").isNotNull()
     ).distinct()
     hot = find_hot(offers, "journey_id")
+    # steps by journey come first and share one partitioning
     final = keep_max(base, "journey_id", "attempt", hot)
+    scaled = minmax_score(final, "journey_id", "estimate_eta", "eta_score", invert=True, hot=hot)
+    given = lookup_join(scaled, taxis, "journey_id", "inner", hot)
     picked = snapshot_asof(scores, score_date, ["ref_driver_id", "final_score"]).withColumnRenamed("ref_driver_id", "driver_id")
-    scored = minmax_score(
-        lookup_join(final, picked, "driver_id", hot=find_hot(offers, "driver_id")), "journey_id", "estimate_eta",
-        "eta_score", invert=True, hot=hot,
-    )
     blend = sum((F.lit(w) * F.col(c) for c, w in weights.items()), F.lit(0.0))
-    taxi_offers = lookup_join(scored, taxis, "journey_id", "inner", hot).withColumn("dispatch_score", blend)
-    by_eta = seq_num(taxi_offers, "journey_id", ["estimate_eta", "estimate_distance", *TIE], "eta_rank", Split(1.0), hot)
+    scored = lookup_join(given, picked, "driver_id", hot=find_hot(offers, "driver_id")).withColumn("dispatch_score", blend)
+    by_eta = seq_num(scored, "journey_id", ["estimate_eta", "estimate_distance", *TIE], "eta_rank", Split(1.0), hot)
     return seq_num(by_eta, "journey_id", ["-dispatch_score", "estimate_eta", *TIE], "dispatch_rank", Split(0.01), hot)
 
 
