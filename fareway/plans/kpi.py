@@ -115,14 +115,14 @@ def meter_trips(meter_events: DataFrame, trips: DataFrame, as_of: dt.date) -> Da
     street = F.col("jobnumber").isNull() | (F.col("jobnumber") == "0")
     return member.withColumns({
         "uid": composite_id("driverid", "jobnumber", "eventdatetime"),
-        "trip_type": F.when(street, "Street").when(F.col("_own"), "Zed").otherwise("Others"),
+        "trip_type": F.when(street, "Street").when(F.col("_own"), "Own").otherwise("Others"),
         "booking_week": week_start(F.col("eventdatetime")),
     }).drop("_own")
 
 
 def own_share(meter: DataFrame, *keys) -> DataFrame:
     """Own-platform share of the distinct meter trips in percent."""
-    return distinct_sums(meter, list(keys), "uid", {"_all": F.lit(True), "_own": F.col("trip_type") == "Zed"}).select(
+    return distinct_sums(meter, list(keys), "uid", {"_all": F.lit(True), "_own": F.col("trip_type") == "Own"}).select(
         *keys, safe_ratio("_own", "_all", 100.0).alias("own_share")
     )
 
