@@ -2,14 +2,21 @@
 
 from __future__ import annotations
 
+import sys
+import types
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import fareway.llm
 from fareway.session import cut_lineage  # noqa: F401  the operators take it from here
 
+# task code travels with the task, so executors need not have this package on their path
+cloudpickle.register_pickle_by_value(fareway.llm)
+
 BATCH_ROWS = 500
 
 
@@ -25,6 +32,14 @@ def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     )
 
 
+def per_worker(name: str, key: object, make: Callable[[], object]) -> object:
+    """A value that a Python worker keeps between its tasks; another key replaces it."""
+    store = sys.modules.setdefault("_fareway_llm_worker", types.ModuleType("_fareway_llm_worker")).__dict__
+    if name not in store or store[name][0] != key:
+        store[name] = key, make()
+    return store[name][1]
+
+
 def map_batches(
     df: DataFrame, make: Callable[[], Callable[[dict[str, list]], Iterable[dict]]], schema: str, rows: int = BATCH_ROWS
 ) -> DataFrame:

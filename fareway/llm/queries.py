@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fareway.llm import bestfit_packing, line_crf, pow2_packing, viterbi_counts
+from fareway.llm import bestfit_packing, covering_simhash, line_crf, lm_scoring, pii_disclosure, pow2_packing, viterbi_counts
 from fareway.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_pii_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_disclosure.find_personal_data(documents(spark, sf_dir)).drop("found", "k1", "k2")
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return viterbi_counts.count_tokens(documents(spark, sf_dir))
 
@@ -22,6 +26,14 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_crf.label_lines(docs, model)
 
 
+def op6_ppm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score_documents(documents(spark, sf_dir))
+
+
+def op7_covering_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return covering_simhash.near_duplicates(documents(spark, sf_dir))
+
+
 def op8_power_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pow2_packing.pack_powers(documents(spark, sf_dir)).drop("ids")
 
@@ -31,8 +43,11 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op2_pii_disclosure": op2_pii_disclosure,
     "op3_token_counts": op3_token_counts,
     "op5_quality_rules": op5_quality_rules,
+    "op6_ppm_scoring": op6_ppm_scoring,
+    "op7_covering_simhash": op7_covering_simhash,
     "op8_power_packing": op8_power_packing,
     "op9_best_fit_packing": op9_best_fit_packing,
 }
