@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fareway.llm import bestfit_packing, covering_simhash, line_crf, lm_scoring, pii_disclosure, pow2_packing, viterbi_counts
+from fareway.llm import bestfit_packing, covering_simhash, line_crf, lm_scoring, pii_disclosure, pow2_packing, template_decontamination, viterbi_counts
 from fareway.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,10 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return viterbi_counts.count_tokens(documents(spark, sf_dir))
 
 
+def op4_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return template_decontamination.contaminated(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     model = line_crf.fit_on(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
@@ -45,6 +49,7 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op2_pii_disclosure": op2_pii_disclosure,
     "op3_token_counts": op3_token_counts,
+    "op4_template_decontamination": op4_template_decontamination,
     "op5_quality_rules": op5_quality_rules,
     "op6_ppm_scoring": op6_ppm_scoring,
     "op7_covering_simhash": op7_covering_simhash,
