@@ -35,7 +35,7 @@ def components(links: DataFrame) -> DataFrame:
     edges = cut_lineage(
         links.where(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).distinct()
     )
-    mark = F.struct(F.count("*"), F.sum(F.xxhash64("a", "b") % 1_000_003), F.sum(F.xxhash64("b", "a") % 998_244_353))
+    mark = F.struct(F.count("*"), F.bit_xor(F.xxhash64("a", "b")), F.bit_xor(F.xxhash64("b", "a")))
     before = edges.agg(mark).first()[0]
     for _ in range(MAX_ROUNDS):
         if before[0] == 0:

@@ -19,7 +19,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fareway.llm.common import cut_lineage, id_text, map_batches
+from fareway.llm.common import cut_lineage, document_key, keyed_text, map_batches
 from fareway.llm.components import components
 
 RADIUS = 3
@@ -58,15 +58,15 @@ def fingerprint(text: str, width: int = WIDTH) -> int:
 
 
 def fingerprints(docs: DataFrame, *, width: int = WIDTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id and fingerprint (the 64 bits as a long) of every text."""
+    """doc (the document's key), doc_id and fingerprint (the 64 bits as a long) of every text."""
 
     def make():
         def work(batch):
-            yield {"doc_id": batch["doc_id"], "fp": [_signed(fingerprint(x, width)) for x in batch["text"]]}
+            yield {"doc": batch["doc"], "doc_id": batch["doc_id"], "fp": [_signed(fingerprint(x, width)) for x in batch["text"]]}
 
         return work
 
-    return map_batches(id_text(docs, id_col, text_col), make, "doc_id long, fp long")
+    return map_batches(keyed_text(docs, id_col, text_col), make, "doc binary, doc_id long, fp long")
 
 
 def _bucket_links(members: np.ndarray, radius: int) -> list[tuple[int, int]]:
@@ -117,15 +117,22 @@ def near_links(values: DataFrame, *, radius: int = RADIUS, bucket: int = BUCKET)
 def near_duplicates(
     docs: DataFrame, *, width: int = WIDTH, bucket: int = BUCKET, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """doc_id, fingerprint (16 hex digits) and component_id, the smallest id reachable over links.
+    """doc_id, fingerprint (16 hex digits), component_id (the smallest id reachable over links), and the keys of both documents.
 
     A NULL or empty text, or one without words, has fingerprint zero, linked like any other. Repeated rows come out each. A NULL id stays
     NULL and is no component id unless no other id is there. Other columns are ignored; an empty table gives an empty result.
     """
     marked = cut_lineage(fingerprints(docs, width=width, id_col=id_col, text_col=text_col))
-    values = cut_lineage(marked.groupBy("fp").agg(F.min("doc_id").alias("least")))
+    values = cut_lineage(marked.groupBy("fp").agg(F.min("doc_id").alias("least"), F.min("doc").alias("least_doc")))
     roots = components(near_links(values.select("fp"), bucket=bucket))
     rooted = values.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_value = rooted.select("fp", "root").join(named, "root").select("fp", "component_id")
-    return marked.join(by_value, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    named = rooted.groupBy("root").agg(F.min("least").alias("component_id"), F.min("least_doc").alias("first_doc"))
+    by_value = rooted.select("fp", "root").join(named, "root").select("fp", "component_id", "first_doc")
+    return marked.join(by_value, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", "doc", "first_doc")
+
+
+def keep_first(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The first document of each group with all its columns: the least id, then the least text hash; repeated rows go."""
+    groups = near_duplicates(docs, id_col=id_col, text_col=text_col, **options)
+    first = groups.select(F.col("first_doc").alias("__doc")).distinct()
+    return docs.withColumn("__doc", document_key(docs[id_col], docs[text_col])).join(first, "__doc", "left_semi").dropDuplicates(["__doc"]).drop("__doc")

@@ -6,12 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fareway.llm import bestfit_packing, covering_simhash, line_crf, lm_scoring, pii_disclosure, pow2_packing, template_decontamination, viterbi_counts
+from fareway.llm import (
+    bestfit_packing, covering_simhash, line_alignment, line_crf, lm_scoring, paragraph_minhash, pii_disclosure, pow2_packing,
+    template_decontamination, viterbi_counts,
+)
 from fareway.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_line_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_alignment.dedup_lines(documents(spark, sf_dir).select("doc_id", "text"))
+
+
 def op2_pii_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii_disclosure.find_personal_data(documents(spark, sf_dir)).drop("found", "k1", "k2")
 
@@ -35,7 +42,7 @@ def op6_ppm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_covering_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return covering_simhash.near_duplicates(documents(spark, sf_dir))
+    return covering_simhash.near_duplicates(documents(spark, sf_dir)).drop("doc", "first_doc")
 
 
 def op8_power_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -46,7 +53,12 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bestfit_packing.pack_best_fit(documents(spark, sf_dir))
 
 
+def op10_paragraph_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return paragraph_minhash.repeated_paragraphs(documents(spark, sf_dir)).drop("doc")
+
+
 QUERIES: dict[str, Query] = {
+    "op1_line_alignment": op1_line_alignment,
     "op2_pii_disclosure": op2_pii_disclosure,
     "op3_token_counts": op3_token_counts,
     "op4_template_decontamination": op4_template_decontamination,
@@ -55,5 +67,6 @@ QUERIES: dict[str, Query] = {
     "op7_covering_simhash": op7_covering_simhash,
     "op8_power_packing": op8_power_packing,
     "op9_best_fit_packing": op9_best_fit_packing,
+    "op10_paragraph_minhash": op10_paragraph_minhash,
 }
 ORACLES: dict[str, str] = {}
