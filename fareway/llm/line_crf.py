@@ -12,6 +12,7 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -182,6 +183,15 @@ def training_sequences(docs: DataFrame, labels: DataFrame, sample_docs: int = SA
         yield np.array(row.x).reshape(-1, FEATURES), np.array(row.y, int)
 
 
+def judge(found: Measured, weights: np.ndarray, pair: np.ndarray, min_content_share: float) -> tuple[bool, bool, float, np.ndarray]:
+    """Whether the base rules fail, whether the text stays, its share of words in content lines, and the line states."""
+    states = viterbi(found.features() @ weights, pair)
+    content = sum(len(words) for words, state in zip(found.lines, states, strict=True) if state == 0)
+    share = content / found.n_words if found.n_words else 0.0
+    failed = found.n_words < 20 or 100 * found.n_repeat_words > 30 * found.n_words
+    return failed, not failed and share >= min_content_share, share, states
+
+
 def label_lines(
     docs: DataFrame, model: tuple[np.ndarray, np.ndarray], *, min_content_share: float = MIN_CONTENT_SHARE,
     id_col: str = "doc_id", text_col: str = "text",
@@ -200,13 +210,10 @@ def label_lines(
             out = {name: [] for name in names}
             for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
                 found = Measured(text)
-                states = viterbi(found.features() @ weights, pair)
-                content = sum(len(words) for words, state in zip(found.lines, states, strict=True) if state == 0)
-                failed = found.n_words < 20 or 100 * found.n_repeat_words > 30 * found.n_words
-                share = content / found.n_words if found.n_words else 0.0
+                failed, kept, share, states = judge(found, weights, pair, min_content_share)
                 values = (
                     doc_id, found.n_words, found.word_chars, found.n_symbols, found.n_dup_lines, found.n_repeat_words, failed,
-                    not failed and share >= min_content_share, share, np.flatnonzero(states).tolist(),
+                    kept, share, np.flatnonzero(states).tolist(),
                 )
                 for name, value in zip(names, values, strict=True):
                     out[name].append(value)
@@ -224,3 +231,15 @@ def label_lines(
 def fit_on(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) -> tuple[np.ndarray, np.ndarray]:
     """A model from the bounded sample."""
     return fit_crf(list(training_sequences(docs, labels, sample_docs)))
+
+
+def keep_documents(docs: DataFrame, model: tuple[np.ndarray, np.ndarray], *, id_col: str = "doc_id", text_col: str = "text", **limits) -> DataFrame:
+    """The rows of `docs` whose text passes, with all their columns, in one pass without a shuffle."""
+    weights, pair = model
+    least = limits.get("min_content_share", MIN_CONTENT_SHARE)
+
+    @F.pandas_udf("boolean")
+    def passes(text: pd.Series) -> pd.Series:
+        return text.map(lambda t: judge(Measured(t or ""), weights, pair, least)[1])
+
+    return docs.where(passes(docs[text_col].cast("string")))
