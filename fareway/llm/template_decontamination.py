@@ -110,7 +110,7 @@ def _stack(frames: list[DataFrame]) -> DataFrame:
 
 
 def _slot_shares(met: DataFrame, keyed: DataFrame, items: DataFrame, item_windows: DataFrame) -> DataFrame:
-    """For windows with placeholders: the share of placeholder words whose most frequent counterpart is the one they have.
+    """For windows with placeholders: the share of placeholder words whose most frequent counterpart is the one they have, of the worst kind.
 
     Only places with a placeholder travel; the document's words are looked up in the rows of matched documents alone.
     """
@@ -128,4 +128,5 @@ def _slot_shares(met: DataFrame, keyed: DataFrame, items: DataFrame, item_window
     plain = lambda c: F.lower(F.regexp_replace(c, r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$", ""))
     counts = pairs.groupBy("k1", "k2", "item_id", "word", plain("item_word").alias("mine"), plain("doc_word").alias("theirs")).agg(F.count("*").alias("n"))
     per_word = counts.groupBy("k1", "k2", "item_id", "word", "mine").agg(F.max("n").alias("most"), F.sum("n").alias("n"))
-    return per_word.groupBy("k1", "k2", "item_id").agg((F.sum("most") / F.sum("n")).alias("consistent"))
+    per_kind = per_word.groupBy("k1", "k2", "item_id", "word").agg((F.sum("most") / F.sum("n")).alias("part"))
+    return per_kind.groupBy("k1", "k2", "item_id").agg(F.min("part").alias("consistent"))
