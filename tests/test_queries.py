@@ -4,8 +4,12 @@ import pytest
 
 import __spark_entry__ as entry
 from fareway.checks.compare import compare, connect
+from fareway.checks.job_oracles import JOB_ORACLES
+from fareway.checks.job_queries import JOB_QUERIES
+from fareway.checks.operator_queries import ORACLES as OPERATOR_ORACLES
+from fareway.checks.operator_queries import QUERIES as OPERATOR_QUERIES
 
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = JOB_QUERIES | OPERATOR_QUERIES, JOB_ORACLES | OPERATOR_ORACLES
 
 
 @pytest.fixture(scope="module")
@@ -25,6 +29,7 @@ def test_query_matches_oracle(spark, oracle, data, name):
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
 
 
 def test_entry_runs(spark):
