@@ -30,19 +30,19 @@ SELECT 'J' || event_id AS journey_id, 'R' || event_id AS ref_journey_id, 'C' ||
   CASE WHEN st IN (9, 10) THEN arr + {sec('event_id * 13 % 3600')} END AS actual_drop_off_time,
   eta AS dispatch_eta_sec, eta / 60e0 AS dispatch_eta, (5 + event_id % 7)::DOUBLE AS first_eta,
   lon AS pickup_longitude, lat AS pickup_latitude,
-  lon + 1e-2 AS estimate_drop_off_longitude, lat + 2e-2 AS estimate_drop_off_latitude,
-  lon + 1e-2 + shift AS actual_drop_off_longitude, lat + 2e-2 + shift AS actual_drop_off_latitude,
-  lon + 3e-3 AS driver_pickup_longitude, lat + 1e-3 AS driver_pickup_latitude,
+  lon + 0.01e0 AS estimate_drop_off_longitude, lat + 0.02e0 AS estimate_drop_off_latitude,
+  lon + 0.01e0 + shift AS actual_drop_off_longitude, lat + 0.02e0 + shift AS actual_drop_off_latitude,
+  lon + 0.003e0 AS driver_pickup_longitude, lat + 0.001e0 AS driver_pickup_latitude,
   lon + shift AS dispatch_longitude, lat - shift AS dispatch_latitude,
   {PLACES}[event_id % 6 + 1] AS pickup_location, {PLACES}[event_id * 5 % 6 + 1] AS drop_off_location,
   'Z' || (user_id % 5) AS pickup_zone_name, 'Z' || (event_id % 5) AS drop_off_zone_name,
   value AS estimate_total_fee,
   CASE WHEN st IN (9, 10) THEN value * (1e0 + ((event_id % 41) - 10) / 100e0) END AS actual_total_fee,
-  5e0 AS actual_base_fee, value * 5e-1 AS actual_total_distance_fee, value * 25e-2 AS actual_total_time_fee,
+  5e0 AS actual_base_fee, value * 0.5e0 AS actual_total_distance_fee, value * 0.25e0 AS actual_total_time_fee,
   (event_id % 400) / 10e0 AS actual_distance,
   CASE WHEN event_id % 5 <> 0 THEN (event_id % 7)::DOUBLE END AS actual_discount_amount,
   (event_id % 3)::DOUBLE AS actual_tip_amount,
-  CASE WHEN event_id % 10 <> 0 THEN value * 15e-2 END AS actual_commission,
+  CASE WHEN event_id % 10 <> 0 THEN value * 0.15e0 END AS actual_commission,
   (event_id % 4)::DOUBLE AS actual_booking_extra_fee, 2e0 AS actual_rta_fee, 4e0 * (event_id % 2) AS actual_salik_fee,
   (event_id % 6)::DOUBLE AS actual_parking_fee, (event_id % 9)::DOUBLE AS actual_interemirate_fee,
   1e0 + (event_id % 3) / 10e0 AS actual_peak_multiplier,
@@ -171,14 +171,14 @@ FROM events WHERE event_id % 3 <> 0""",
     "zones": """
 SELECT ['Mall of', 'Airport', 'Metro', 'School', 'University', 'Downtown'][n % 6 + 1] || ' ' || n AS name,
   'Zone ' || (n % 5) AS zone_name,
-  [{'lon': x + 5e-3, 'lat': y + 5e-3}, {'lon': x + 95e-3, 'lat': y + 5e-3},
-   {'lon': x + 95e-3, 'lat': y + 95e-3}, {'lon': x + 5e-3, 'lat': y + 95e-3}] AS geom
-FROM (SELECT n_nationkey AS n, 55e0 + 1e-1 * (n_nationkey % 5) AS x, 25e0 + 1e-1 * (n_nationkey // 5) AS y FROM nation)
+  [{'lon': x + 0.005e0, 'lat': y + 0.005e0}, {'lon': x + 0.095e0, 'lat': y + 0.005e0},
+   {'lon': x + 0.095e0, 'lat': y + 0.095e0}, {'lon': x + 0.005e0, 'lat': y + 0.095e0}] AS geom
+FROM (SELECT n_nationkey AS n, 55e0 + 0.1e0 * (n_nationkey % 5) AS x, 25e0 + 0.1e0 * (n_nationkey // 5) AS y FROM nation)
 UNION ALL
 SELECT 'Inner ' || n, 'Core ' || (n % 5),
-  [{'lon': x + 8e-2, 'lat': y + 5e-2}, {'lon': x + 65e-3, 'lat': y + 76e-3}, {'lon': x + 35e-3, 'lat': y + 76e-3},
-   {'lon': x + 2e-2, 'lat': y + 5e-2}, {'lon': x + 35e-3, 'lat': y + 24e-3}, {'lon': x + 65e-3, 'lat': y + 24e-3}]
-FROM (SELECT n_nationkey AS n, 55e0 + 1e-1 * (n_nationkey % 5) AS x, 25e0 + 1e-1 * (n_nationkey // 5) AS y FROM nation)
+  [{'lon': x + 0.08e0, 'lat': y + 0.05e0}, {'lon': x + 0.065e0, 'lat': y + 0.076e0}, {'lon': x + 0.035e0, 'lat': y + 0.076e0},
+   {'lon': x + 0.02e0, 'lat': y + 0.05e0}, {'lon': x + 0.035e0, 'lat': y + 0.024e0}, {'lon': x + 0.065e0, 'lat': y + 0.024e0}]
+FROM (SELECT n_nationkey AS n, 55e0 + 0.1e0 * (n_nationkey % 5) AS x, 25e0 + 0.1e0 * (n_nationkey // 5) AS y FROM nation)
 WHERE n % 3 = 0""",
     "edges": """
 SELECT name, zone_name, geom[i].lon AS x1, geom[i].lat AS y1, geom[i % len(geom) + 1].lon AS x2,

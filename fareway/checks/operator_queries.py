@@ -186,7 +186,7 @@ _project("chained_columns", {"price_error": r("err"), "over": n("(err > 0.1)")},
          lambda: {"price_error": F.col("err"), "over": F.when(F.col("err") > 0.1, 1).when(F.col("err").isNotNull(), 0)},
          base="(SELECT *, (actual_total_fee - estimate_total_fee) / nullif(estimate_total_fee, 0) AS err FROM trips)",
          source=lambda s, root: trips(s, root).withColumn("err", F.try_divide(F.col("actual_total_fee") - F.col("estimate_total_fee"), F.nullif("estimate_total_fee", F.lit(0.0)))))
-_project("slot_revenue", {"revenue": r(f"CASE WHEN {DONE} AND cls = 'Taxi' THEN {SLOT.format('7e0', '7e0', '7e0', '65e-1', '35e-1', '35e-1', '3e0')} WHEN {DONE} THEN 2e-1 * (actual_base_fee + actual_total_distance_fee + actual_total_time_fee) END")},
+_project("slot_revenue", {"revenue": r(f"CASE WHEN {DONE} AND cls = 'Taxi' THEN {SLOT.format('7e0', '7e0', '7e0', '6.5e0', '3.5e0', '3.5e0', '3e0')} WHEN {DONE} THEN 0.2e0 * (actual_base_fee + actual_total_distance_fee + actual_total_time_fee) END")},
          lambda: {"revenue": S.trip_revenue("journey_status", F.col("vehicle_cat"), "weekday", "local_hour", ("actual_base_fee", "actual_total_distance_fee", "actual_total_time_fee"))},
          base="(SELECT *, dayofweek(ld) AS dow FROM trips)")
 _project("acceptance_time", {"accepted": t("CASE WHEN cls = 'Limo' THEN accepted_ride_timestamp ELSE on_route_timestamp END")},
@@ -217,7 +217,7 @@ _project("priority_labels", {"label": "CASE WHEN dispatch_order = 1 AND attempt
          lambda: {"label": S.priority_label("dispatch_order", "attempt"), "outlier": S.outlier_label("dispatch_order", "attempt")}, "offers", "offers", A.offers)
 _project("settlement_formulas", {
     "cash": r("CASE WHEN upper(payment_description) LIKE '%CASH%' THEN coalesce(actual_total_fee, 0) - coalesce(actual_discount_amount, 0) ELSE 0 END"),
-    "vat": r("5e-2 * actual_commission"), "state": "CASE WHEN journey_status IN (9, 10) THEN 'Completed' ELSE 'Cancelled' END"},
+    "vat": r("0.05e0 * actual_commission"), "state": "CASE WHEN journey_status IN (9, 10) THEN 'Completed' ELSE 'Cancelled' END"},
     lambda: {"cash": F.col("cash_collected"), "vat": F.col("vat_on_comission"), "state": F.col("final_journey_status")},
     source=lambda s, root: settlement.settle(A.journeys(s, root).withColumn("adjustmentamount", F.lit(None).cast("double"))))
 _project("text_digits", {"eta": r("TRY_CAST(regexp_replace(json_extract_string(event_properties, '$.ETA'), '[^0-9.]', '', 'g') AS DOUBLE)"), "phone": r("csat")},
@@ -402,7 +402,7 @@ def _(s, root):
 @op("zone_lookup", "trips pickup_zone", "SELECT journey_id, z.name AS hood, z.zone_name AS zone FROM trips LEFT JOIN pickup_zone z USING (journey_id)")
 def _(s, root):
     points = A.journeys(s, root).select("journey_id", "pickup_longitude", "pickup_latitude")
-    return zone_join(points, A.zones(s, root), "journey_id", "pickup_longitude", "pickup_latitude", "geom", "name", {"hood": "name", "zone": "zone_name"}).select("journey_id", "hood", "zone")
+    return zone_join(points, A.zones(s, root), "pickup_longitude", "pickup_latitude", "geom", "name", {"hood": "name", "zone": "zone_name"}).select("journey_id", "hood", "zone")
 
 
 @op("alternate_key_join", "tickets users", "SELECT user_properties_phone_number, initiated_at, _id FROM tickets JOIN (SELECT DISTINCT mobilenumber, _id FROM users) ON mobilenumber = user_properties_phone_number")
@@ -539,19 +539,19 @@ SELECT journey_id, {n('count(*) FILTER (er <= 3 AND dr <= 3)')} AS hits FROM (SE
   row_number() OVER (PARTITION BY journey_id ORDER BY latitude, driver_id, dispatch_order) AS dr FROM offers) WHERE dr <= 3 GROUP BY 1""")
 def _(s, root):
     base = A.offers(s, root).select("journey_id", "driver_id", "dispatch_order", "estimate_distance", "latitude")
-    ranked = O.seq_num(base, "journey_id", ["estimate_distance", "driver_id", "dispatch_order"], "er", O.Split(1000.0))
+    ranked = O.seq_num(base, "journey_id", ["estimate_distance", "driver_id", "dispatch_order"], "er")
     near = D.top_k(ranked, "journey_id", ["latitude", "driver_id", "dispatch_order"], 3)
     return near.groupBy("journey_id").agg(AG.count_if(F.col("er") <= 3).alias("hits"))
 
 
 @op("blended_rank", "offers driver_scores", f"""
 SELECT journey_id, driver_id, dispatch_order::BIGINT AS dispatch_order, row_number() OVER (PARTITION BY journey_id
-  ORDER BY 8e-1 * (1e0 / estimate_distance) + 2e-1 * final_score DESC NULLS FIRST, driver_id, dispatch_order, estimate_distance) AS rnk
+  ORDER BY 0.8e0 * (1e0 / estimate_distance) + 0.2e0 * final_score DESC NULLS FIRST, driver_id, dispatch_order, estimate_distance) AS rnk
 FROM offers LEFT JOIN (SELECT * FROM driver_scores WHERE run_date = DATE '2024-01-22') ON ref_driver_id = driver_id""")
 def _(s, root):
     picked = sinks.snapshot_asof(A.driver_scores(s, root), dt.date(2024, 1, 22)).withColumnRenamed("ref_driver_id", "driver_id")
     rows = lookup_join(A.offers(s, root), picked, "driver_id").withColumn("blend", F.lit(0.8) * (F.lit(1.0) / F.col("estimate_distance")) + F.lit(0.2) * F.col("final_score"))
-    return O.seq_num(rows, "journey_id", ["-blend", "driver_id", "dispatch_order", "estimate_distance"], "rnk", O.Split(0.01)).select("journey_id", "driver_id", "dispatch_order", "rnk")
+    return O.seq_num(rows, "journey_id", ["-blend", "driver_id", "dispatch_order", "estimate_distance"], "rnk").select("journey_id", "driver_id", "dispatch_order", "rnk")
 
 
 # ------------------------------------------------------------------ sort, limit, sets
@@ -637,7 +637,7 @@ def _(s, root):
     return z.select("name", F.round(ring_area("edges"), 8).alias("area"), ring_contains("edges", F.lit(55.05), F.lit(25.05)).alias("has_point"))
 
 
-_project("logistic_transform", {"p": r("1e0 / (1e0 + exp(-7e0 * (greatest(least(actual_distance / 40, 0.999999::DOUBLE), 0.000001::DOUBLE) - 5e-1)))")},
+_project("logistic_transform", {"p": r("1e0 / (1e0 + exp(-7e0 * (greatest(least(actual_distance / 40, 0.999999::DOUBLE), 0.000001::DOUBLE) - 0.5e0)))")},
          lambda: {"p": S.logistic(F.col("actual_distance") / 40, 0.5, 7.0)})
 
 

@@ -64,7 +64,7 @@ def histogram_of_counts(df: DataFrame, key: str, counted: Column, value_out: str
     return per_key.groupBy(value_out).agg(F.count(key).alias(keys_out))
 
 
-def exact_percentile(df: DataFrame, by: str, value: str, p: float, out: str, split: Split = Split(1.0)) -> DataFrame:
+def exact_percentile(df: DataFrame, by: str, value: str, p: float, out: str, split: Split = Split()) -> DataFrame:
     """Interpolated percentile per key, exact, without holding a key's values in one task.
 
     Equal values are counted first; a running count over the sorted values then marks the one or
@@ -72,7 +72,7 @@ def exact_percentile(df: DataFrame, by: str, value: str, p: float, out: str, spl
     """
     counts = df.filter(F.col(value).isNotNull()).groupBy(by, value).agg(F.count(F.lit(1)).alias("_n"))
     # the rows bound the number of values from above, so the hot keys of `df` are enough
-    hot = find_hot(df, by, split.share, split.min_rows)
+    hot = find_hot(df.filter(F.col(value).isNotNull()), by, split.min_rows)
     placed = running(counts, by, [value], Running(sums={"_upto": F.col("_n")}), split=split, hot=hot)
     totals = df.filter(F.col(value).isNotNull()).groupBy(by).agg(F.count(F.lit(1)).alias("_all"))
     near = lookup_join(placed, totals, by, "inner", hot, spread=[by, value])

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import cut_lineage
 from .reshape import union_all
-from .skew import Hot, find_hot, hot_limits, lookup_join
+from .skew import Hot, find_hot, hot_rows, lookup_join
 
 
 def expand_chains(df: DataFrame, id_c: str, parent_c: str, root: Column) -> DataFrame:
@@ -33,7 +33,7 @@ def expand_chains(df: DataFrame, id_c: str, parent_c: str, root: Column) -> Data
             F.col("_id").alias("_up"), F.col("_up").alias("_next"),
             F.col("_hops").alias("_more"), F.col("_done").alias("_there"),
         )
-        hot = find_hot(moving, "_up") if most > hot_limits(df.sparkSession)[1] else Hot(("_up",), None)
+        hot = find_hot(moving, "_up") if most > hot_rows(df.sparkSession) else Hot(("_up",), None)
         moved = cut_lineage(lookup_join(moving, ahead, "_up", "inner", hot).select(
             "_id", F.col("_next").alias("_up"), (F.col("_hops") + F.col("_more")).alias("_hops"),
             F.col("_there").alias("_done"),

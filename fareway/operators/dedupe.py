@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window, functions as F
 
 from .ordered import sorting
-from .skew import Hot, lookup_join
+from .skew import Hot, find_hot, lookup_join
 
 
 def top_k(df: DataFrame, by, order, k: int, out: str | None = None) -> DataFrame:
@@ -28,14 +30,20 @@ def keep_first(df: DataFrame, by, order) -> DataFrame:
 
 
 def with_group_values(df: DataFrame, by, aggs: dict, hot: Hot | None = None) -> DataFrame:
-    """Add aggregates of the key to each row.
+    """Add aggregates of the key to each row; `by` columns that are NULL get NULL.
 
-    The aggregate is combined on the map side and looked up with hot keys spread, where a window
-    would pull a whole key into one task. `by` columns that are NULL get NULL.
+    Without hot keys this is one window over the key, which later steps by the same key share. With hot keys the
+    aggregate is combined on the map side and looked up with hot keys spread, where a window would pull a whole key into one task.
     """
     by = [by] if isinstance(by, str) else list(by)
-    values = df.groupBy(*by).agg(*[e.alias(n) for n, e in aggs.items()])
-    return lookup_join(df, values, by, "left", hot).select(*df.columns, *aggs)
+    hot = hot or find_hot(df, by)
+    names = [c for c in df.columns if c not in aggs]
+    if hot.keys is None:
+        keyed = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in by])
+        group = Window.partitionBy(*by)
+        return df.select(*names, *[F.when(keyed, e.over(group)).alias(n) for n, e in aggs.items()])
+    values = df.groupBy(*by).agg(*[e.alias("_g_" + n) for n, e in aggs.items()])
+    return lookup_join(df, values, by, "left", hot).select(*names, *[F.col("_g_" + n).alias(n) for n in aggs])
 
 
 def keep_max(df: DataFrame, by, c: str, hot: Hot | None = None) -> DataFrame:

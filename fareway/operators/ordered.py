@@ -1,9 +1,9 @@
 """Running values along an ordered key, exact also when one key holds most of the rows.
 
-Without hot keys this is one window over the key. Otherwise ordinary keys stay one window
-partition and the rows of a hot key are cut into chunks of the order
-column; each chunk is its own window partition, and the values that cross a chunk border are
-carried by a table with one row per hot key and chunk.
+Ordinary keys are one window partition each. The rows of hot keys are range-partitioned by key and order and written once; each
+partition is a chunk and a window partition of its own, and the values that cross a chunk border are carried by a
+table with one row per hot key and chunk. The cut follows the rows, not the values, so it holds for any sortable type, any
+direction, NULLs and equal times; rows of equal order are cut by a hash of the row.
 """
 
 from __future__ import annotations
@@ -12,19 +12,19 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from .skew import Hot, find_hot, mark_hot, same_key
+from ..session import cut_lineage
+from .skew import Hot, find_hot, mark_hot, same_key, task_rows
 
 CHUNK = "_chunk"
-HOUR = 3600.0
+TIE = "_tie_break"
 
 
 @dataclass(frozen=True)
 class Split:
-    """How hot keys are cut: chunk width in seconds (times) or units (numbers), and when a key is hot."""
+    """When a key is hot, and how many rows a chunk of one has; None takes the session's values."""
 
-    width: float = HOUR
-    share: float | None = None
     min_rows: int | None = None
+    chunk_rows: int | None = None
 
 
 @dataclass(frozen=True)
@@ -43,27 +43,23 @@ class Running:
     leads: dict[str, Column] = field(default_factory=dict)
     fills: dict[str, Column] = field(default_factory=dict)
 
+    def names(self) -> list[str]:
+        return [*self.sums, *self.mins, *self.lags, *self.leads, *self.fills]
 
-def _position(df: DataFrame, order: str) -> Column:
-    kind = df.schema[order].dataType
-    if isinstance(kind, T.TimestampType):
-        return F.unix_micros(order) / F.lit(1e6)
-    if isinstance(kind, T.DateType):
-        return F.unix_date(order) * F.lit(86400.0)
-    if not isinstance(kind, T.NumericType):
-        raise ValueError(f"the first order column must be a time or a number to split hot keys, not {kind.simpleString()}")
-    return F.col(order).cast("double")
 
+def chunked(df: DataFrame, by, order, descending: bool, hot: Hot, split: Split = Split()) -> DataFrame:
+    """The rows of hot keys with `_chunk`, which rises along the order within a key, and a tie break; written once, so both stay the same."""
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    hashed = [c for c, kind in kinds.items() if not isinstance(kind, (T.MapType, T.VariantType))]
+    rows = mark_hot(df, by, hot).filter(F.col("_hot").isNotNull()).drop("_hot").withColumn(TIE, F.xxhash64(*hashed))
+    parts = max(1, -(-hot.total // (split.chunk_rows or task_rows(df.sparkSession))))
+    dealt = rows.repartitionByRange(parts, *[F.col(k).asc() for k in by], *sorting([*order, TIE], descending))
+    return cut_lineage(dealt.withColumn(CHUNK, F.spark_partition_id()))
 
-def split_hot(df: DataFrame, by, order: str, hot: Hot, split: Split = Split()) -> DataFrame:
-    """Add `_chunk`: NULL for ordinary keys, the number of the order interval for hot keys.
 
-    A NULL order value counts as the largest.
-    """
-    last = F.lit(2**62)
-    chunk = F.coalesce(F.floor(_position(df, order) / split.width).cast("long"), last)
-    marked = mark_hot(df, by, hot)
-    return marked.withColumn(CHUNK, F.when(F.col("_hot"), chunk)).drop("_hot")
+def ordinary(df: DataFrame, by, hot: Hot) -> DataFrame:
+    """The rows of all other keys."""
+    return df if hot.keys is None else mark_hot(df, by, hot).filter(F.col("_hot").isNull()).drop("_hot")
 
 
 def sorting(order, descending: bool = False):
@@ -82,83 +78,76 @@ def running(
     """Add the running values of `df` along `order` within `by`.
 
     `order` lists column names, each with an optional leading `-` for descending; NULL sorts as
-    the largest value. The order should end in a unique column, otherwise ties are arbitrary.
-    `hot` are the hot keys, if they are known already.
+    the largest value. The order should end in a unique column, otherwise ties are arbitrary. An output that
+    has the name of a column replaces it. `hot` are the hot keys, if they are known already.
     """
     by = [by] if isinstance(by, str) else list(by)
     order = [order] if isinstance(order, str) else list(order)
-    first_desc = order[0].startswith("-") != descending
-    hot = hot or find_hot(df, by, split.share, split.min_rows)
-    cut = hot.keys is not None
-    parts = split_hot(df, by, order[0].lstrip("-"), hot, split) if cut else df
-    keys = by + [CHUNK] if cut else by
-
-    rows = Window.partitionBy(*keys).orderBy(*sorting(order, descending))
-    so_far = rows.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    box = lambda e: F.struct(e.alias("v"))
-
-    out = dict()
-    out.update({n: F.sum(e).over(so_far) for n, e in values.sums.items()})
-    out.update({n: F.min(e).over(so_far) for n, e in values.mins.items()})
-    out.update({n: F.lag(box(e)).over(rows) for n, e in values.lags.items()})
-    out.update({n: F.lead(box(e)).over(rows) for n, e in values.leads.items()})
-    out.update({n: F.last(e, ignorenulls=True).over(so_far) for n, e in values.fills.items()})
-    local = parts.withColumns(out)
-    boxed = list(values.lags) + list(values.leads)
-    if not cut:
-        return local.withColumns({n: F.col(n)["v"] for n in boxed}) if boxed else local
-
-    edges = _edges(parts, by, order, values, descending, first_desc)
+    hot = hot or find_hot(df, by, split.min_rows)
+    names = df.columns + [n for n in values.names() if n not in df.columns]
+    plain = _finish(ordinary(df, by, hot).withColumns(_over(values, by, order, descending)), values, names)
+    if hot.keys is None:
+        return plain
+
+    fine = [*order, TIE]
+    rows = Window.partitionBy(*by, CHUNK).orderBy(*sorting(fine, descending))
+    parts = chunked(df, by, order, descending, hot, split).withColumn("_rn", F.row_number().over(rows))
+    edges = _edges(parts, by, values)
+    local = parts.withColumns(_over(values, [*by, CHUNK], fine, descending))
     joined = local.join(edges, same_key(local, edges, by, "_k_") & (local[CHUNK] == edges["_k_chunk"]), "left")
     final = {}
     for n in values.sums:
-        final[n] = F.col(n) + F.coalesce(F.col("_c_" + n), F.lit(0))
+        both = F.coalesce(F.col(n), F.lit(0)) + F.coalesce(F.col("_c_" + n), F.lit(0))
+        final[n] = F.when(F.col(n).isNotNull() | F.col("_c_" + n).isNotNull(), both)
     for n in values.mins:
         final[n] = F.least(F.col(n), F.col("_c_" + n))
-    for n in boxed:
-        final[n] = F.coalesce(F.col(n), F.col("_c_" + n))["v"]
-    for n in values.fills:
+    for n in [*values.lags, *values.leads, *values.fills]:
         final[n] = F.coalesce(F.col(n), F.col("_c_" + n))
-    return joined.withColumns(final).select(*df.columns, *out)
+    return plain.unionByName(_finish(joined.withColumns(final), values, names))
+
+
+def _box(e: Column) -> Column:
+    return F.struct(e.alias("v"))
+
 
+def _over(values: Running, keys, order, descending: bool) -> dict[str, Column]:
+    """The values within one window partition; lags and leads are boxed, so that a NULL value differs from no row."""
+    rows = Window.partitionBy(*keys).orderBy(*sorting(order, descending))
+    so_far = rows.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    out = {n: F.sum(e).over(so_far) for n, e in values.sums.items()}
+    out |= {n: F.min(e).over(so_far) for n, e in values.mins.items()}
+    out |= {n: F.lag(_box(e)).over(rows) for n, e in values.lags.items()}
+    out |= {n: F.lead(_box(e)).over(rows) for n, e in values.leads.items()}
+    return out | {n: F.last(e, ignorenulls=True).over(so_far) for n, e in values.fills.items()}
+
+
+def _finish(df: DataFrame, values: Running, names) -> DataFrame:
+    boxed = {*values.lags, *values.leads}
+    return df.select(*[F.col(n)["v"].alias(n) if n in boxed else F.col(n) for n in names])
 
-def _edges(parts, by, order, values: Running, descending: bool, first_desc: bool) -> DataFrame:
-    """Per hot key and chunk, what the neighbouring chunks hand over."""
-    box = lambda e: F.struct(e.alias("v"))
-    hot = parts.filter(F.col(CHUNK).isNotNull())
+
+def _edges(parts: DataFrame, by, values: Running) -> DataFrame:
+    """Per hot key and chunk, what the neighbouring chunks hand over; `_rn` numbers the rows of a chunk."""
     aggs = [F.sum(e).alias("_s_" + n) for n, e in values.sums.items()]
     aggs += [F.min(e).alias("_s_" + n) for n, e in values.mins.items()]
-    if values.lags or values.leads or values.fills:
-        flips = {c.startswith("-") != descending for c in order}
-        if len(flips) > 1:
-            raise ValueError("lags, leads and fills need one direction for all order columns")
-        first_by, last_by = (F.max_by, F.min_by) if flips.pop() else (F.min_by, F.max_by)
-        place = F.struct(*[x for c in order for x in _null_last(c.lstrip("-"))])
-        aggs += [last_by(box(e), place).alias("_s_" + n) for n, e in values.lags.items()]
-        aggs += [first_by(box(e), place).alias("_s_" + n) for n, e in values.leads.items()]
-        aggs += [last_by(e, F.when(e.isNotNull(), place)).alias("_s_" + n) for n, e in values.fills.items()]
-    chunks = hot.groupBy(*by, CHUNK).agg(*aggs)
-    # one row per chunk of a hot key: bounded by the span of the order column
-    line = Window.partitionBy(*by).orderBy(F.col(CHUNK).desc() if first_desc else F.col(CHUNK).asc())
+    aggs += [F.max_by(_box(e), "_rn").alias("_s_" + n) for n, e in values.lags.items()]
+    aggs += [F.min_by(_box(e), "_rn").alias("_s_" + n) for n, e in values.leads.items()]
+    aggs += [F.max_by(e, F.when(e.isNotNull(), F.col("_rn"))).alias("_s_" + n) for n, e in values.fills.items()]
+    chunks = parts.groupBy(*by, CHUNK).agg(*aggs)
+    # one row per chunk of a hot key
+    line = Window.partitionBy(*by).orderBy(CHUNK)
     before = line.rowsBetween(Window.unboundedPreceding, -1)
-    over = {}
-    over.update({n: F.sum("_s_" + n).over(before) for n in values.sums})
-    over.update({n: F.min("_s_" + n).over(before) for n in values.mins})
-    over.update({n: F.lag("_s_" + n).over(line) for n in values.lags})
-    over.update({n: F.lead("_s_" + n).over(line) for n in values.leads})
-    over.update({n: F.last("_s_" + n, ignorenulls=True).over(before) for n in values.fills})
+    over = {n: F.sum("_s_" + n).over(before) for n in values.sums}
+    over |= {n: F.min("_s_" + n).over(before) for n in values.mins}
+    over |= {n: F.lag("_s_" + n).over(line) for n in values.lags}
+    over |= {n: F.lead("_s_" + n).over(line) for n in values.leads}
+    over |= {n: F.last("_s_" + n, ignorenulls=True).over(before) for n in values.fills}
     return chunks.select(
         *[F.col(k).alias("_k_" + k) for k in by], F.col(CHUNK).alias("_k_chunk"),
         *[e.alias("_c_" + n) for n, e in over.items()],
     )
 
 
-def _null_last(name: str):
-    """Two struct fields that order a column with NULL as its largest value."""
-    value = F.col(name)
-    return F.when(value.isNull(), 1).otherwise(0).alias("n_" + name), value.alias("v_" + name)
-
-
 def seq_num(df: DataFrame, by, order, out: str = "seq", split: Split = Split(), hot: Hot | None = None) -> DataFrame:
     """Row number within the key, from 1."""
     return running(df, by, order, Running(sums={out: F.lit(1).cast("long")}), split=split, hot=hot)

@@ -7,11 +7,12 @@ over both sides, window counts are differences of running counts.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .ordered import CHUNK, Running, Split, running, split_hot
-from .skew import Hot, find_hot, lookup_join
+from .ordered import Running, Split, ordinary, running
+from .skew import Hot, find_hot, lookup_join, mark_hot
 
 DAY = 86400
 
@@ -26,7 +27,7 @@ class Source:
 
     `values` maps output names to expressions over `df`; each is taken from the nearest row in
     which it is not NULL. `strict` leaves out rows at the very same time. `tie` is a column that
-    decides between rows of equal time (the largest wins backward, the smallest forward).
+    decides between rows of equal time, in its own type (the largest wins backward, the smallest forward).
     """
 
     df: DataFrame
@@ -47,33 +48,34 @@ def asof_many(
     """
     by = [by] if isinstance(by, str) else list(by)
     forward = direction == "forward"
-    hot = hot or find_hot([left, *[s.df for s in sources]], by, split.share, split.min_rows)
+    keyed = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in by])
+    hot = hot or find_hot([left.filter(keyed), *[s.df.filter(keyed) for s in sources]], by, split.min_rows)
     left_type = left.select(F.struct(*left.columns)).schema[0].dataType
     types = {n: _type_of(s.df, e) for s in sources for n, e in s.values.items()}
-    blank = lambda names: [F.lit(None).cast(types[n]).alias(n) for n in names]
-    rows = left.select(
-        *by, F.col(left_ts).alias("_t"), F.lit(1).alias("_side"), F.lit(None).cast("string").alias("_tie"),
-        F.struct(*left.columns).alias("_left"), *blank(types),
+    ties = {f"_tie_{i}": s.df.schema[s.tie].dataType for i, s in enumerate(sources) if s.tie}
+    blank = lambda names, kinds: [F.lit(None).cast(kinds[n]).alias(n) for n in names]
+    usable = keyed & F.col(left_ts).isNotNull()
+    rows = left.filter(usable).select(
+        *by, F.col(left_ts).alias("_t"), F.lit(1).alias("_side"), F.struct(*left.columns).alias("_left"),
+        *blank(ties, ties), *blank(types, types),
     )
-    for s in sources:
+    for i, s in enumerate(sources):
         # at equal times the scan must reach the source before the left row, unless strict
         side = 2 if forward != s.strict else 0
-        rows = rows.unionByName(s.df.filter(F.col(s.ts).isNotNull()).select(
-            *by, F.col(s.ts).alias("_t"), F.lit(side).alias("_side"),
-            (F.col(s.tie).cast("string") if s.tie else F.lit(None).cast("string")).alias("_tie"),
-            F.lit(None).cast(left_type).alias("_left"),
-            *[e.alias(n) for n, e in s.values.items()], *blank(n for n in types if n not in s.values),
+        own = f"_tie_{i}"
+        rows = rows.unionByName(s.df.filter(keyed & F.col(s.ts).isNotNull()).select(
+            *by, F.col(s.ts).alias("_t"), F.lit(side).alias("_side"), F.lit(None).cast(left_type).alias("_left"),
+            *([F.col(s.tie).alias(own)] if s.tie else []), *blank((t for t in ties if t != own), ties),
+            *[e.alias(n) for n, e in s.values.items()], *blank((n for n in types if n not in s.values), types),
         ))
     done = running(
-        rows, by, ["_t", "_side", "_tie"], Running(fills={"_f_" + n: F.col(n) for n in types}),
+        rows, by, ["_t", "_side", *ties], Running(fills={"_f_" + n: F.col(n) for n in types}),
         descending=forward, split=split, hot=hot,
     )
-    usable = F.col("_t").isNotNull()
-    for k in by:
-        usable = usable & F.col(k).isNotNull()
-    return done.filter(F.col("_left").isNotNull()).select(
-        "_left.*", *[F.when(usable, F.col("_f_" + n)).alias(n) for n in types]
-    )
+    found = done.filter(F.col("_left").isNotNull()).select("_left.*", *[F.col("_f_" + n).alias(n) for n in types])
+    # rows that can match nothing stay out of the ordered pass
+    rest = left.filter(~usable).select(*left.columns, *blank(types, types))
+    return found.unionByName(rest)
 
 
 def asof(
@@ -163,29 +165,33 @@ def count_within(
 ) -> DataFrame:
     """Number of rows of the same key in (t, t + seconds].
 
-    It is a running count up to t + seconds less the one up to t. A chunk of a hot key is
-    `seconds` wide, and each of its rows is also lent to the chunk before, whose windows reach
-    into it. Rows with a NULL key or time count 0.
+    It is a running count up to t + seconds less the one up to t: for ordinary keys both come from one window, for hot keys
+    from two ordered passes in which the row waits at either time. Rows with a NULL key or time count 0.
     """
     by = [by] if isinstance(by, str) else list(by)
-    hot = hot or find_hot(df, by, split.share, split.min_rows)
-    if hot.keys is None:
-        lent, keys, own = df, by, F.lit(True)
-    else:
-        parts = split_hot(df, by, ts, hot, Split(float(seconds)))
-        lent = parts.withColumn(
-            "_at", F.explode(F.when(F.col(CHUNK).isNotNull(), F.array(F.col(CHUNK), F.col(CHUNK) - 1))
-                             .otherwise(F.array(F.lit(None).cast("long")))),
-        )
-        keys, own = by + ["_at"], F.col("_at").eqNullSafe(F.col(CHUNK))
-    lent = lent.withColumn("_us", F.unix_micros(ts))
-    line = Window.partitionBy(*keys).orderBy("_us")
+    usable = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in [*by, ts]])
+    facts = df.filter(usable)
+    hot = hot or find_hot(facts, by, split.min_rows)
+    names = [c for c in df.columns if c != out]
+    line = Window.partitionBy(*by).orderBy("_us")
     upto = lambda us: F.count("_us").over(line.rangeBetween(Window.unboundedPreceding, us))
-    counted = lent.withColumn("_n", upto(int(seconds * 1_000_000)) - upto(0))
-    usable = F.col("_us").isNotNull()
-    for k in by:
-        usable = usable & F.col(k).isNotNull()
-    return counted.filter(own).withColumn(out, F.when(usable, F.col("_n")).otherwise(0)).select(*df.columns, out)
+    counted = ordinary(facts, by, hot).withColumn("_us", F.unix_micros(F.col(ts).cast("timestamp"))).withColumn(
+        out, upto(int(seconds * 1_000_000)) - upto(0)
+    ).select(*names, out)
+    rest = df.filter(~usable).select(*names, F.lit(0).cast("long").alias(out))
+    if hot.keys is None:
+        return counted.unionByName(rest)
+    many = mark_hot(facts, by, hot).filter(F.col("_hot").isNotNull()).drop("_hot")
+    marks = many.select(*by, F.col(ts).alias("_t"), F.lit(0).alias("_side"), F.lit(1).cast("long").alias("_one"))
+    waiting = many.select(F.struct(*df.columns).alias("_row"), *by, ts)
+    for name, wait in (("_upto", 0), ("_beyond", seconds)):
+        at = waiting.withColumns({"_t": F.col(ts) + _seconds(wait), "_side": F.lit(1), "_one": F.lit(0).cast("long")})
+        both = at.unionByName(marks, allowMissingColumns=True)
+        waiting = running(both, by, ["_t", "_side"], Running(sums={name: F.col("_one")}), split=split, hot=hot).filter(
+            F.col("_row").isNotNull()
+        ).drop("_t", "_side", "_one")
+    cut = waiting.select("_row.*", (F.col("_beyond") - F.col("_upto")).alias("_n")).select(*names, F.col("_n").alias(out))
+    return counted.unionByName(cut).unionByName(rest)
 
 
 def before_after(

@@ -2,50 +2,96 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.geo import ring_area, ring_bounds, ring_contains, ring_edges
-from .dedupe import keep_first
+from .skew import find_hot, lookup_join
 
 CELL_DEGREES = 0.05
-SALTS = 16
+ZONE_CELLS = 4096  # grid cells of one zone; a larger zone goes to a coarser grid
+LEVEL_STEP = 8  # how much coarser the next grid is
+BROADCAST_CELLS = 100_000
 
 
-def zone_cells(zones: DataFrame, ring: str, name: str, cell: float = CELL_DEGREES) -> DataFrame:
-    """One row per zone and grid cell its bounding box touches."""
+def zone_cells(zones: DataFrame, ring: str, cell: float = CELL_DEGREES) -> DataFrame:
+    """One row per zone and cell its bounding box touches, on the finest grid where these are at most `ZONE_CELLS`.
+
+    `_level` numbers the grid: its cells are `cell * LEVEL_STEP ** _level` wide. A country costs no more rows than a city block.
+    """
     west, east, south, north = ring_bounds(ring)
-    step = lambda v: F.floor(v / cell).cast("long")
+    width = lambda level: F.lit(cell) * F.pow(F.lit(float(LEVEL_STEP)), level)
+    span = F.sqrt((F.col("_e") - F.col("_w") + cell) * (F.col("_n") - F.col("_s") + cell)) / (cell * ZONE_CELLS**0.5 / 2)
+    level = F.greatest(F.lit(0.0), F.ceil(F.log(float(LEVEL_STEP), span)).cast("double"))
+    step = lambda v, w: F.floor(F.col(v) / F.col(w)).cast("long")
     return (
-        zones.withColumn("_edges", ring_edges(ring))
-        .withColumn("_area", ring_area("_edges"))
-        .withColumn("_cx", F.explode(F.sequence(step(west), step(east))))
-        .withColumn("_cy", F.explode(F.sequence(step(south), step(north))))
+        zones.withColumns({"_w": west, "_e": east, "_s": south, "_n": north, "_edges": ring_edges(ring)})
+        .withColumns({"_area": ring_area("_edges"), "_level": level})
+        .withColumn("_width", width(F.col("_level")))
+        .withColumn("_cx", F.explode(F.sequence(step("_w", "_width"), step("_e", "_width"))))
+        .withColumn("_cy", F.explode(F.sequence(step("_s", "_width"), step("_n", "_width"))))
+        .drop("_w", "_e", "_s", "_n")
     )
 
 
-def zone_join(
-    points: DataFrame, zones: DataFrame, point_id: str, lon: str, lat: str, ring: str, name: str,
-    carried: dict[str, str], cell: float = CELL_DEGREES, salts: int = SALTS,
+def zone_join_many(
+    points: DataFrame, zones: DataFrame, ends: list[tuple[str, str, dict[str, str]]], ring: str, name: str,
+    cell: float = CELL_DEGREES,
 ) -> DataFrame:
-    """Add the zone columns `carried` (output: zone column); NULL outside all zones.
+    """For each end (longitude, latitude, outputs from zone columns) the columns of the smallest zone that holds it.
 
-    Points meet zones by grid cell, so no point is tested against a far zone. The points of a
-    busy cell are spread over `salts` tasks; the zone rows, which are few, are repeated for each.
-    Among the zones that hold a point the smallest wins, then the first by name.
+    Every row comes back once, whatever its ids. The zones of a cell are one list, smallest first and then by name, and a point takes the
+    first of its cell's list that holds it. The lists are broadcast while they are few, so no point is shuffled; otherwise they are
+    joined by cell with busy cells spread. NULL outside all zones and without coordinates.
     """
-    cells = zone_cells(zones, ring, name, cell).select(
-        "_cx", "_cy", "_edges", "_area", F.col(name).alias("_zone"),
-        *[F.col(c).alias(out) for out, c in carried.items()],
-    ).withColumn("_salt", F.explode(F.expr(f"sequence(0L, {salts - 1}L)")))
-    placed = points.withColumns({
-        "_cx": F.floor(F.col(lon) / cell).cast("long"), "_cy": F.floor(F.col(lat) / cell).cast("long"),
-        "_salt": F.pmod(F.xxhash64(point_id), F.lit(salts)).cast("long"),
-    })
-    p, z = placed.alias("p"), cells.alias("z")
-    near = (
-        (F.col("p._cx") == F.col("z._cx")) & (F.col("p._cy") == F.col("z._cy"))
-        & (F.col("p._salt") == F.col("z._salt"))
-        & ring_contains("z._edges", f"p.{lon}", f"p.{lat}")
+    wanted = sorted({c for _, _, outputs in ends for c in outputs.values()})
+    cells = zone_cells(zones, ring, cell)
+    entry = F.struct(
+        F.col("_area").alias("area"), F.col(name).alias("name"), F.col("_edges").alias("edges"), F.struct(*wanted).alias("zone")
     )
-    hits = p.join(z, near, "left").select("p.*", "z._area", "z._zone", *["z." + out for out in carried])
-    return keep_first(hits, point_id, ["_area", "_zone"]).select(*points.columns, *carried)
+    lists = _lists(cells, entry)
+    sizes = {r[0]: r[1] for r in lists.groupBy("_level").count().collect()}  # one row per grid, of which there are few
+    few = sum(sizes.values()) <= BROADCAST_CELLS
+    out = points
+    for i, (lon, lat, outputs) in enumerate(ends):
+        found = []
+        for level in sorted(sizes):
+            mark = f"_z{i}_{int(level)}"
+            width = cell * LEVEL_STEP**level
+            own = lists.filter(F.col("_level") == level).select(
+                F.col("_cx").alias(mark + "x"), F.col("_cy").alias(mark + "y"), F.col("_zones").alias(mark)
+            )
+            out = out.withColumns({mark + "x": F.floor(F.col(lon) / width).cast("long"), mark + "y": F.floor(F.col(lat) / width).cast("long")})
+            keys = [mark + "x", mark + "y"]
+            out = out.join(F.broadcast(own), keys, "left") if few else lookup_join(out, own, keys, "left", find_hot(out, keys))
+            holding = F.filter(F.col(mark), lambda z: ring_contains(z["edges"], lon, lat))
+            out = out.withColumn(mark, F.try_element_at(holding, F.lit(1))).drop(*keys)
+            found.append(mark)
+        best = _best([F.col(m) for m in found]) if found else F.lit(None)
+        out = out.withColumns({o: (best["zone"][c] if found else F.lit(None).cast("string")) for o, c in outputs.items()}).drop(*found)
+    return out
+
+
+def _smaller(a: Column, b: Column) -> Column:
+    """Order of two zones: area, then name."""
+    by_name = F.when(a["name"] < b["name"], -1).when(a["name"] > b["name"], 1).otherwise(0)
+    return F.when(a["area"] < b["area"], -1).when(a["area"] > b["area"], 1).otherwise(by_name)
+
+
+def _lists(cells: DataFrame, entry: Column) -> DataFrame:
+    """The zones of each cell, smallest first; a cell holds the zones that overlap there."""
+    return cells.groupBy("_level", "_cx", "_cy").agg(F.array_sort(F.collect_list(entry), _smaller).alias("_zones"))
+
+
+def _best(found: list[Column]) -> Column:
+    best = found[0]
+    for other in found[1:]:
+        best = F.when(best.isNull() | (other.isNotNull() & (_smaller(other, best) < 0)), other).otherwise(best)
+    return best
+
+
+def zone_join(
+    points: DataFrame, zones: DataFrame, lon: str, lat: str, ring: str, name: str, carried: dict[str, str],
+    cell: float = CELL_DEGREES,
+) -> DataFrame:
+    """`zone_join_many` for one pair of coordinates; `carried` maps outputs to zone columns."""
+    return zone_join_many(points, zones, [(lon, lat, carried)], ring, name, cell)

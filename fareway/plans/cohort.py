@@ -10,7 +10,7 @@ from ..functions import fixed_values as V
 from ..functions.scalars import bucketize, count_segment, in_codes, journey_type, place_type, ratio_segment, safe_ratio
 from ..functions.time import day_of_week, days_between, filter_local_day, iso_week, iso_year_week, monday, month_start, week_start
 from ..operators.aggregates import any_flag, avg_if, count_if, exact_percentile
-from ..operators.zones import zone_join
+from ..operators.zones import zone_join_many
 from .trips import completed, customers, with_local_time
 
 NIGHT = (21, 22, 23, 0, 1, 2, 3)
@@ -37,11 +37,10 @@ CONSISTENCY = ((8, None, "Consistent_Weekly_User"), (4, 7, "Occasional_User"), (
 def journey_places(journeys: DataFrame, zones: DataFrame) -> DataFrame:
     """Journeys with the place type at both ends and the journey type."""
     out = journeys
-    for end, lon, lat in (
-        ("pickup", "pickup_longitude", "pickup_latitude"),
-        ("drop", "actual_drop_off_longitude", "actual_drop_off_latitude"),
-    ):
-        out = zone_join(out, zones, "journey_id", lon, lat, "geom", "name", {f"{end}_zone_found": "name"})
+    out = zone_join_many(out, zones, [
+        ("pickup_longitude", "pickup_latitude", {"pickup_zone_found": "name"}),
+        ("actual_drop_off_longitude", "actual_drop_off_latitude", {"drop_zone_found": "name"}),
+    ], "geom", "name")
     out = out.withColumns({
         "pickup_type": place_type("pickup_zone_found", "pickup_location"),
         "drop_type": place_type("drop_zone_found", "drop_off_location"),

@@ -11,11 +11,15 @@ from ..functions.scalars import bucketize, in_codes, outlier_label, priority_lab
 from ..functions.time import filter_local_day
 from ..operators.aggregates import count_distinct_if, distinct_sums
 from ..operators.dedupe import keep_max, minmax_score
-from ..operators.ordered import Split, seq_num
+from ..operators.ordered import seq_num
 from ..operators.skew import find_hot, lookup_join
 from ..sources.sinks import snapshot_asof
 from .trips import completed
 
+# what tells offers apart; an offer that is logged with two actions is one
+OFFER = [
+    "journey_id", "driver_id", "attempt", "dispatch_order", "distance_from_pickup", "estimate_eta", "estimate_distance", "is_dispatched", "timestamp",
+]
 TIE = ["driver_id", "dispatch_order", "timestamp"]
 
 
@@ -35,17 +39,17 @@ def blended_offers(
     base = offers.filter(
         (F.col("timestamp") >= F.lit(start).cast("timestamp")) & (F.col("timestamp") <= F.lit(end).cast("timestamp"))
         & F.col("estimate_eta").isNotNull()
-    ).distinct()
+    ).select(*OFFER)
     hot = find_hot(offers, "journey_id")
-    # steps by journey come first and share one partitioning
-    final = keep_max(base, "journey_id", "attempt", hot)
+    # steps by journey come first and share one partitioning; only the final attempt is made distinct
+    final = keep_max(base, "journey_id", "attempt", hot).distinct()
     scaled = minmax_score(final, "journey_id", "estimate_eta", "eta_score", invert=True, hot=hot)
     given = lookup_join(scaled, taxis, "journey_id", "inner", hot)
     picked = snapshot_asof(scores, score_date, ["ref_driver_id", "final_score"]).withColumnRenamed("ref_driver_id", "driver_id")
     blend = sum((F.lit(w) * F.col(c) for c, w in weights.items()), F.lit(0.0))
     scored = lookup_join(given, picked, "driver_id", hot=find_hot(offers, "driver_id")).withColumn("dispatch_score", blend)
-    by_eta = seq_num(scored, "journey_id", ["estimate_eta", "estimate_distance", *TIE], "eta_rank", Split(1.0), hot)
-    return seq_num(by_eta, "journey_id", ["-dispatch_score", "estimate_eta", *TIE], "dispatch_rank", Split(0.01), hot)
+    by_eta = seq_num(scored, "journey_id", ["estimate_eta", "estimate_distance", *TIE], "eta_rank", hot=hot)
+    return seq_num(by_eta, "journey_id", ["-dispatch_score", "estimate_eta", *TIE], "dispatch_rank", hot=hot)
 
 
 def assigned(blended: DataFrame) -> DataFrame:

@@ -66,7 +66,7 @@ def trip_features(
     )
     counted = count_within(timed, CUSTOMER, "local_ts", 30 * 60, "trips_in_next_30min", hot=hot)
     placed = zone_join(
-        counted, zones, "journey_id", "pickup_longitude", "pickup_latitude", "geom", "name",
+        counted, zones, "pickup_longitude", "pickup_latitude", "geom", "name",
         {"pickup_hood": "name", "pickup_zone": "zone_name"},
     )
     rated = placed.join(rating_per_journey(ratings, ratings_per_journey), "ref_journey_id", "left")

@@ -13,8 +13,11 @@ from fareway.operators.aggregates import exact_percentile
 from fareway.operators.chains import expand_chains
 from fareway.operators.dedupe import keep_first, keep_max, minmax_score
 from fareway.operators.ordered import Split
-from fareway.operators.zones import zone_join
+from fareway.operators import zones as zones_module
+from fareway.operators.temporal import asof_within
+from fareway.operators.zones import zone_cells, zone_join, zone_join_many
 from fareway.plans import kpi
+from fareway.plans.dispatch import blended_offers
 from fareway.plans.driver_score import score_rows
 from fareway.plans.settlement import settle
 from fareway.plans.trips import rating_per_journey, rating_totals
@@ -22,6 +25,7 @@ from fareway.plans.weekly_churn import weekly_churn_features
 from fareway.sources import adapters as A
 
 TS = lambda text: dt.datetime.fromisoformat(text)
+T0 = TS("2024-01-01")
 
 
 def one(df, e):
@@ -58,13 +62,51 @@ def test_zone_join_takes_the_smallest_and_keeps_outsiders(spark):
         "name string, geom array<struct<lon:double,lat:double>>")
     points = spark.createDataFrame(
         [("p1", 0.3, 0.3), ("p2", 0.8, 0.8), ("p3", 5.0, 5.0), ("p4", None, 0.1), ("p5", 1.0, 0.5)], "id string, lon double, lat double")
-    got = {r.id: r.zone for r in zone_join(points, zones, "id", "lon", "lat", "geom", "name", {"zone": "name"}).collect()}
+    found = lambda frame: sorted(((r.id, r.zone) for r in zone_join(frame, zones, "lon", "lat", "geom", "name", {"zone": "name"}).collect()), key=repr)
+    got = dict(found(points))
     # p5 lies on the shared border and belongs to the zone on its right
     assert got == {"p1": "small", "p2": "big", "p3": None, "p4": None, "p5": "east"}
     assert one(zones.filter("name = 'small'"), F.round(ring_area(ring_edges("geom")), 6)) == 0.04
     assert one(zones.filter("name = 'east'"), ring_contains(ring_edges("geom"), F.lit(2.0), F.lit(0.5))) is False
 
 
+@pytest.mark.parametrize("broadcast", [zones_module.BROADCAST_CELLS, 0])
+def test_zone_join_returns_each_row_once(spark, monkeypatch, broadcast):
+    """NULL and repeated ids, rings from a block to a continent, few cells and many."""
+    monkeypatch.setattr(zones_module, "BROADCAST_CELLS", broadcast)
+    zones = spark.createDataFrame(
+        [("block", square(10.0, 10.0, 0.01)), ("city", square(9.9, 9.9, 1.0)), ("land", square(0.0, 0.0, 40.0)), ("twin", square(9.9, 9.9, 1.0))],
+        "name string, geom array<struct<lon:double,lat:double>>")
+    cells = zone_cells(zones, "geom").groupBy("name").count().collect()
+    assert max(r["count"] for r in cells) <= 2 * zones_module.ZONE_CELLS
+    rows = [(None, 10.005, 10.005), (None, 10.5, 10.5), ("p", 10.5, 10.5), ("p", 10.5, 10.5), ("p", 30.0, 1.0), ("q", -1.0, 0.0)]
+    points = spark.createDataFrame(rows, "id string, lon double, lat double")
+    out = zone_join_many(points, zones, [("lon", "lat", {"zone": "name"}), ("lat", "lon", {"mirror": "name"})], "geom", "name")
+    got = sorted(((r.id, r.lon, r.zone, r.mirror) for r in out.collect()), key=repr)
+    want = [(None, 10.005, "block", "block"), (None, 10.5, "city", "city"), ("p", 10.5, "city", "city"), ("p", 10.5, "city", "city"),
+            ("p", 30.0, "land", "land"), ("q", -1.0, None, None)]
+    assert got == sorted(want, key=repr)
+
+
+def test_a_numeric_tie_is_compared_as_a_number(spark):
+    left = spark.createDataFrame([("a", T0)], "k string, at timestamp")
+    right = spark.createDataFrame([("a", T0, 9), ("a", T0, 10)], "k string, e timestamp, eta int")
+    assert asof_within(left, right, "k", "at", "e", {"eta": F.col("eta")}, tie="eta").first().eta == 10
+    assert asof_within(left, right, "k", "at", "e", {"eta": F.col("eta")}, direction="forward", tie="eta").first().eta == 9
+
+
+def test_an_offer_logged_with_two_actions_is_one_offer(spark):
+    at = dt.datetime(2024, 1, 2, 12)
+    trips = spark.createDataFrame([("J", "D1", V.TAXI_CATEGORIES[0], 9, at)], "journey_id string, ref_driver_id string, ref_vehicle_category_id string, journey_status int, journey_created_at timestamp")
+    kind = "journey_id string, driver_id string, attempt int, dispatch_order int, distance_from_pickup double, estimate_eta double, estimate_distance double, is_dispatched boolean, driver_action string, latitude double, longitude double, timestamp timestamp"
+    offers = [("J", d, 1, i, 1.0, float(i), float(i), True, "Rejected", 1.0, 1.0, at) for i, d in ((1, "D0"), (2, "D1"), (3, "D2"))]
+    twice = [*offers, (*offers[0][:8], " Accepted", 2.0, 2.0, at)]
+    scores = spark.createDataFrame([(f"D{i}", 0.5, dt.date(2024, 1, 3)) for i in range(3)], "ref_driver_id string, final_score double, run_date date")
+    ranks = lambda rows: sorted((r.driver_id, r.eta_rank, r.dispatch_rank) for r in blended_offers(
+        trips, spark.createDataFrame(rows, kind), scores, dt.date(2024, 1, 1), dt.date(2024, 1, 5), dt.date(2024, 1, 3)).collect())
+    assert ranks(offers) == ranks(twice) == [("D0", 1, 1), ("D1", 2, 2), ("D2", 3, 3)]
+
+
 def test_chains_drop_broken_and_cyclic_rows(spark):
     rows = [("r", None), ("c1", "r"), ("c2", "c1"), ("c3", "c2"), ("c4", "c3"), ("d", "c1"), ("lost", "nowhere"),
             ("x", "y"), ("y", "x"), ("tail", "x"), ("alone", None)]
@@ -102,7 +144,7 @@ def test_percentile_of_hot_key(spark):
     rows = [("a", float(i % 50)) for i in range(500)] + [("b", 3.0), ("b", None), ("c", None)]
     df = spark.createDataFrame(rows, "k string, x double")
     want = {r.k: r.p for r in df.groupBy("k").agg(F.expr("percentile_cont(0.7) WITHIN GROUP (ORDER BY x)").alias("p")).collect() if r.p is not None}
-    for split in (Split(1.0), Split(7.0, 0, 0)):
+    for split in (Split(), Split(0, 7)):
         assert {r.k: pytest.approx(r.p) for r in exact_percentile(df, "k", "x", 0.7, "p", split).collect()} == want
 
 

@@ -6,12 +6,12 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from fareway.operators.ordered import Running, Split, running, seq_num
+from fareway.operators.ordered import Running, Split, chunked, running
 from fareway.operators.skew import find_hot, lookup_join
 from fareway.operators.temporal import Source, asof, asof_many, asof_within, count_within, match_latest_left, next_activity
 
 PLAIN = Split()
-FORCED = Split(width=600.0, share=0, min_rows=0)
+FORCED = Split(min_rows=0, chunk_rows=20)
 T0 = dt.datetime(2024, 1, 1)
 
 
@@ -53,12 +53,38 @@ def test_running_against_brute_force(spark):
             assert got[r[0]] == (pos + 1, mine[pos - 1][0] if pos else None)
 
 
-def test_mixed_direction_rank(spark):
+def test_mixed_directions_text_and_naive_times(spark):
     df, _ = make(spark, 3)
-    order = ["-v", "at", "id"]
-    assert rows_of(seq_num(df, "k", order, split=PLAIN)) == rows_of(seq_num(df, "k", order, split=Split(1.0, 0, 0)))
-    with pytest.raises(ValueError):
-        running(df, "k", order, Running(lags={"x": F.col("id")}), split=FORCED).collect()
+    df = df.withColumns({"name": F.concat(F.lit("n"), F.col("v").cast("string")), "naive": F.col("at").cast("timestamp_ntz")})
+    values = Running(sums={"n": F.lit(1).cast("long")}, lags={"before": F.col("id")}, leads={"after": F.col("v")}, fills={"seen": F.col("name")})
+    for order in (["-v", "at", "id"], ["-at", "id"], ["name", "-id"], ["naive", "id"], ["-naive", "v", "-id"]):
+        for descending in (False, True):
+            assert rows_of(running(df, "k", order, values, descending, PLAIN)) == rows_of(running(df, "k", order, values, descending, FORCED))
+
+
+def test_null_sums_and_replaced_columns_do_not_depend_on_the_path(spark):
+    df = spark.createDataFrame([("a", 1, 5), ("a", 2, None), ("a", 3, None), ("a", 4, 2), ("b", 1, None)], "k string, t int, v long")
+    one_row = Split(min_rows=0, chunk_rows=1)
+    for split in (PLAIN, one_row):
+        out = running(df, "k", ["t"], Running(sums={"v": F.col("v")}, mins={"low": F.col("v")}), split=split)
+        assert out.columns == ["k", "t", "v", "low"]
+        assert rows_of(out) == rows_of(spark.createDataFrame(
+            [("a", 1, 5, 5), ("a", 2, 5, 5), ("a", 3, 5, 5), ("a", 4, 7, 2), ("b", 1, None, None)], "k string, t int, v long, low long"))
+
+
+@pytest.mark.parametrize("values", [
+    [(1,) for _ in range(400)], [(i / 400,) for i in range(400)], [(None,) for _ in range(400)], [(T0,) for _ in range(400)],
+])
+def test_chunks_of_one_key_are_bounded(spark, values):
+    """A status code, ratios in [0, 1], NULLs and equal times are all cut to about the wanted size."""
+    kind = "timestamp" if values[0][0] == T0 else "double"
+    rows = [("a", i, None if v is None else v if kind == "timestamp" else float(v)) for i, (v,) in enumerate(values)]
+    df = spark.createDataFrame(rows, f"k string, id int, x {kind}")
+    split = Split(min_rows=0, chunk_rows=50)
+    parts = chunked(df, ["k"], ["x"], False, find_hot(df, "k", 0), split)
+    sizes = [r["count"] for r in parts.groupBy("_chunk").count().collect()]
+    assert sum(sizes) == 400 and max(sizes) <= 100
+    assert sorted(r.n for r in running(df, "k", ["x"], Running(sums={"n": F.lit(1).cast("long")}), split=split).collect()) == list(range(1, 401))
 
 
 @pytest.mark.parametrize("split", [PLAIN, FORCED])
@@ -77,8 +103,8 @@ def test_asof_against_brute_force(spark, split, direction, strict):
         want = None
         if near:
             best = min(gap(r) for r in near)
-            ties = [str(r[0]) for r in near if gap(r) == best]
-            want = int(max(ties) if direction == "backward" else min(ties))
+            ties = [r[0] for r in near if gap(r) == best]
+            want = max(ties) if direction == "backward" else min(ties)
         assert found[i][0] == want
 
 
@@ -120,10 +146,19 @@ def test_match_latest_left_is_one_to_one_on_the_right(spark):
 
 def test_hot_keys_are_found_and_salted(spark):
     df, rows = make(spark, 7)
-    hot = find_hot(df, "k", share=0.4, min_rows=10)
-    assert [r[0] for r in hot.keys.collect()] == ["a"]
+    most = max(sum(r[1] == k for r in rows) for k in ("b", "c", None))
+    hot = find_hot(df, "k", most)
+    assert [r[0] for r in hot.keys.collect()] == ["a"] and hot.n_keys == 1 and hot.total == sum(r[1] == "a" for r in rows)
     assert find_hot(df, "k").keys is None
     names = spark.createDataFrame([("a", "A"), ("b", "B")], "k string, name string")
-    everything = find_hot(df, "k", 0, 0)
-    for how in ("left", "inner"):
-        assert rows_of(lookup_join(df, names, "k", how, hot=everything, salts=4)) == rows_of(df.join(names, "k", how))
+    everything = find_hot(df, "k", 0)
+    spark.conf.set("spark.fareway.taskRows", "10")
+    try:
+        for how in ("left", "inner", "left_semi", "left_anti"):
+            assert rows_of(lookup_join(df, names, "k", how, hot=everything)) == rows_of(df.join(names, "k", how))
+    finally:
+        spark.conf.unset("spark.fareway.taskRows")
+    for hot in (everything, None):
+        for how in ("full", "right"):
+            with pytest.raises(ValueError):
+                lookup_join(df, names, "k", how, hot=hot)

@@ -36,22 +36,14 @@ def test_entry_runs(spark):
     assert entry.entry(spark).columns == ["trip_number", "retention_rate_next_30d", "users_reached_n"]
 
 
-HOT_JOBS = (
-    "kpi_sheet", "driver_score_acceptance", "last_eta_before_cancel", "eta_distance_agreement", "customer_cohort_fixed",
-    "dispatch_rank_distribution", "pricing_impact_by_customer", "return_after_ticket", "view_to_pickup_distance",
-    "return_after_rebook_chain", "weekly_settlement", "retention_in_first_days", "location_change_nearest",
-    "message_experiment_matches", "trip_retention_features_seq", "count_within_window", "blended_rank", "membership_filter",
-)
-
-
-@pytest.mark.parametrize("name", HOT_JOBS)
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_with_every_key_hot(spark, oracle, data, name):
     """All keys are split and salted; the results must stay the same."""
-    spark.conf.set("spark.fareway.hotShare", "0")
     spark.conf.set("spark.fareway.hotRows", "0")
+    spark.conf.set("spark.fareway.taskRows", "1500")
     try:
         equal, message = compare(QUERIES[name](spark, data), oracle, ORACLES[name])
     finally:
-        spark.conf.unset("spark.fareway.hotShare")
         spark.conf.unset("spark.fareway.hotRows")
+        spark.conf.unset("spark.fareway.taskRows")
     assert equal, message
