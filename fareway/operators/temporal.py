@@ -194,6 +194,16 @@ def count_within(
     return counted.unionByName(cut).unionByName(rest)
 
 
+def add_counts_before(rows: DataFrame, before: DataFrame, by: str, counts: dict[str, Column]) -> DataFrame:
+    """Add to each running count in `rows` what the key had in `before`; a NULL key is a key of its own.
+
+    `before` is summed once per key, with map-side combine; `counts` maps a column of `rows` to its expression over `before`.
+    """
+    sums = before.groupBy(F.col(by).alias("_key")).agg(*[F.sum(e).alias("_b_" + n) for n, e in counts.items()])
+    joined = rows.join(sums, rows[by].eqNullSafe(sums["_key"]), "left")
+    return joined.withColumns({n: F.col(n) + F.coalesce("_b_" + n, F.lit(0)) for n in counts}).select(*rows.columns)
+
+
 def before_after(
     events: DataFrame, facts: DataFrame, by: str, event_ts: str, fact_ts: str, fact_id: str,
     before: dict[str, Column], after: dict[str, Column], carry=(), hot: Hot | None = None,

@@ -12,7 +12,7 @@ from ..functions.scalars import bucketize
 from ..functions.time import filter_local_day, local_ts
 from ..operators.ordered import prior_count
 from ..operators.skew import find_hot
-from ..operators.temporal import Source, asof_many
+from ..operators.temporal import Source, add_counts_before, asof_many
 from .trips import complaints, completed, rating_per_journey
 
 def mispriced_trips(
@@ -32,8 +32,11 @@ def mispriced_trips(
     )
     said = complaints(tickets, users)
     hot = find_hot([journeys, said], "ref_customer_id")
-    trips = prior_count(history, "ref_customer_id", ["journey_created_at", "journey_id"], "prior_completed_trips", hot=hot)
-    trips = filter_local_day(trips, "journey_created_at", start, end).withColumns({
+    inside = filter_local_day(history, "journey_created_at", start, end)
+    counted = prior_count(inside, "ref_customer_id", ["journey_created_at", "journey_id"], "prior_completed_trips", hot=hot)
+    # trips before the range are one narrow count per customer
+    before = filter_local_day(history, "journey_created_at", None, start).select("ref_customer_id")
+    trips = add_counts_before(counted, before, "ref_customer_id", {"prior_completed_trips": F.lit(1).cast("long")}).withColumns({
         "local_ts": local_ts("journey_created_at"),
         "drop_dist_m": sphere_distance(
             "estimate_drop_off_longitude", "estimate_drop_off_latitude", "actual_drop_off_longitude", "actual_drop_off_latitude"

@@ -12,7 +12,7 @@ from ..functions.scalars import bucketize, safe_ratio, shift_label, status_flag
 from ..functions.time import days_between, filter_local_day, local_ts, minutes_between
 from ..operators.ordered import Running, running
 from ..operators.skew import Hot, find_hot
-from ..operators.temporal import Source, asof_many, count_within
+from ..operators.temporal import Source, add_counts_before, asof_many, count_within
 from ..operators.zones import zone_join
 from .trips import complaints, rating_per_journey, with_local_time
 
@@ -23,20 +23,27 @@ OUTCOMES = {
 }
 
 
-def customer_history(journeys: DataFrame, hot: Hot | None = None) -> DataFrame:
-    """Each request with its number, the running outcome counts and the request before it; one ordered pass."""
-    flagged = journeys.select(
+def customer_history(journeys: DataFrame, start: dt.date, end: dt.date, hot: Hot | None = None) -> DataFrame:
+    """The requests of local days [start, end) with their number and the running outcome counts over all history, and the request
+    before them within the range.
+
+    What lies before `start` is one narrow sum per customer; only the rows of the range go through the ordered pass, and
+    rows from `end` on are not read.
+    """
+    flags = [status_flag("journey_status", codes).alias(n) for n, codes in OUTCOMES.items()]
+    flagged = filter_local_day(journeys, "journey_created_at", start, end).select(
         "journey_id", "ref_journey_id", CUSTOMER, "ref_vehicle_category_id", "journey_status", "journey_created_at",
         "accepted_ride_timestamp", "on_route_timestamp", "arrived_at_pickup_timestamp", "dispatch_eta",
         "pickup_latitude", "pickup_longitude", "actual_drop_off_latitude", "actual_drop_off_longitude",
         "estimate_drop_off_latitude", "estimate_drop_off_longitude", "estimate_total_fee", "actual_total_fee",
-        "actual_distance", "ref_promo_applied", "payment_description",
-        *[status_flag("journey_status", codes).alias(n) for n, codes in OUTCOMES.items()],
+        "actual_distance", "ref_promo_applied", "payment_description", *flags,
     )
     one = F.lit(1).cast("long")
     sums = {"request_seq_num": one} | {f"cum_{n}": F.col(n).cast("long") for n in OUTCOMES}
     last = F.struct("journey_created_at", "ref_promo_applied", *OUTCOMES)
-    return running(flagged, CUSTOMER, ["journey_created_at", "journey_id"], Running(sums=sums, lags={"_prev": last}), hot=hot)
+    counted = running(flagged, CUSTOMER, ["journey_created_at", "journey_id"], Running(sums=sums, lags={"_prev": last}), hot=hot)
+    before = filter_local_day(journeys, "journey_created_at", None, start).select(CUSTOMER, *flags)
+    return add_counts_before(counted, before, CUSTOMER, sums)
 
 
 def trip_features(
@@ -49,12 +56,7 @@ def trip_features(
     """
     said = complaints(tickets, users)
     hot = find_hot([journeys, said], CUSTOMER)
-    base = filter_local_day(customer_history(journeys, hot), "journey_created_at", start, end)
-    base = with_local_time(base)
-    first_local = F.lit(start).cast("timestamp")
-    inside = local_ts(F.col("_prev.journey_created_at")) >= first_local
-    base = base.withColumn("_prev", F.when(inside, F.col("_prev")))
-
+    base = with_local_time(customer_history(journeys, start, end, hot))
     requests = filter_local_day(journeys, "journey_created_at", start, end).select(
         CUSTOMER, local_ts("journey_created_at").alias("_trip_at")
     )
