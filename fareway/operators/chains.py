@@ -6,54 +6,40 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import cut_lineage
 from .reshape import union_all
-from .skew import Hot, find_hot, hot_rows, lookup_join
+
+LEVELS = 4  # levels that one round adds
+MOST_LEVELS = 10_000
 
 
 def expand_chains(df: DataFrame, id_c: str, parent_c: str, root: Column) -> DataFrame:
     """All rows whose chain starts at a parentless row that meets `root`, with `root_id` and `level`.
 
-    Every row points at an ancestor; in each round it takes over the pointer of the row it points
-    at, so pointers double their reach and a chain of depth d needs about log2(d) joins. Rows of a
-    broken chain (missing parent) are dropped in the join. Rows on a cycle never reach a root: the
-    loop ends when a round settles no further row, and they are left out.
+    It starts from those roots and adds the children of the last level, a few levels a round, so only rows of wanted chains
+    are carried along and written; the other rows are read as id and parent alone. Rows of a broken chain (missing
+    parent) and rows on a cycle have no root, and are never reached.
 
-    Ids must be unique. Each round is written to the shared checkpoint folder.
+    Ids must be unique; a chain of more than `MOST_LEVELS` levels is taken for a repeated id and raises. Each round is written to the
+    shared checkpoint folder.
     """
-    links = df.select(
-        F.col(id_c).alias("_id"),
-        F.coalesce(F.col(parent_c), F.col(id_c)).alias("_up"),
-        F.when(F.col(parent_c).isNull(), 0).otherwise(1).cast("long").alias("_hops"),
-        F.col(parent_c).isNull().alias("_done"),
-    ).filter(F.col("_id").isNotNull())
-    first = cut_lineage(links)
-    settled, moving = [first.filter("_done")], first.filter(~F.col("_done"))
-    open_rows, most = _pointers(moving)
-    while open_rows:
-        ahead = union_all(*settled, moving).select(
-            F.col("_id").alias("_up"), F.col("_up").alias("_next"),
-            F.col("_hops").alias("_more"), F.col("_done").alias("_there"),
-        )
-        hot = find_hot(moving, "_up") if most > hot_rows(df.sparkSession) else Hot(("_up",), None)
-        moved = cut_lineage(lookup_join(moving, ahead, "_up", "inner", hot).select(
-            "_id", F.col("_next").alias("_up"), (F.col("_hops") + F.col("_more")).alias("_hops"),
-            F.col("_there").alias("_done"),
-        ))
-        # only the rows that still moved are written; settled rows stay where they were written
-        settled.append(moved.filter("_done"))
-        moving = moved.filter(~F.col("_done"))
-        left, most = _pointers(moving)
-        if left == open_rows:
+    keyed = df.filter(F.col(id_c).isNotNull())
+    links = keyed.filter(F.col(parent_c).isNotNull()).select(F.col(id_c).alias("_child"), F.col(parent_c).alias("_parent"))
+    roots = keyed.filter(F.col(parent_c).isNull() & root)
+    zero = F.lit(0).cast("long")
+    frontier = cut_lineage(roots.select(F.col(id_c).alias("_id"), F.col(id_c).alias("root_id"), zero.alias("level")))
+    found, reach = [frontier], 0
+    while True:
+        grown = [frontier]
+        for _ in range(LEVELS):
+            grown.append(links.join(grown[-1], F.col("_parent") == F.col("_id")).select(
+                F.col("_child").alias("_id"), "root_id", (F.col("level") + 1).alias("level")
+            ))
+        reach += LEVELS
+        step = cut_lineage(union_all(*grown[1:]))
+        found.append(step)
+        deepest = step.agg(F.max("level")).first()[0]
+        if deepest is None or deepest < reach:
             break
-        open_rows = left
-    ends = union_all(*settled).select(
-        F.col("_id").alias(id_c), F.col("_up").alias("root_id"), F.col("_hops").alias("level")
-    )
-    roots = df.filter(F.col(parent_c).isNull() & root).select(F.col(id_c).alias("root_id"))
-    kept = lookup_join(ends, roots, "root_id", "inner")
-    return df.join(kept, id_c)
-
-
-def _pointers(moving: DataFrame) -> tuple[int, int]:
-    """Number of rows still moving, and the most rows that share a pointer."""
-    total, most = moving.groupBy("_up").agg(F.count(F.lit(1)).alias("_n")).agg(F.sum("_n"), F.max("_n")).first()
-    return total or 0, most or 0
+        if reach > MOST_LEVELS:
+            raise ValueError(f"a chain of more than {MOST_LEVELS} levels; are the ids unique?")
+        frontier = step.filter(F.col("level") == reach)
+    return df.join(union_all(*found).withColumnRenamed("_id", id_c), id_c)

@@ -13,19 +13,20 @@ from ..operators.aggregates import distinct_sums, sum_flag
 from ..operators.chains import expand_chains
 from ..operators.joins import filter_in, parent_compare
 from ..operators.temporal import next_activity
+from ..session import cut_lineage
 from .trips import completed
 
 PARENT = "ref_parent_journey_id"
 
 
 def chains(journeys: DataFrame, start: dt.date, end: dt.date | None = None) -> DataFrame:
-    """Journeys of all chains whose first journey was requested on a local day in [start, end)."""
+    """Journeys of all chains whose first journey was requested on a local day in [start, end); written once for the steps that use them."""
     at = F.col("journey_created_at")
     root = at >= day_start_utc(start)
     if end is not None:
         root = root & (at < day_start_utc(end))
     columns = ["journey_id", "ref_journey_id", "ref_customer_id", PARENT, "journey_status", "journey_created_at", "dispatch_eta"]
-    return expand_chains(journeys.select(*columns), "ref_journey_id", PARENT, root)
+    return cut_lineage(expand_chains(journeys.select(*columns), "ref_journey_id", PARENT, root))
 
 
 def chain_levels(chain: DataFrame, compare_to_level: int = 3) -> DataFrame:
