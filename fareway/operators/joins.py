@@ -20,8 +20,10 @@ def classify_member(df: DataFrame, c: str, ref: DataFrame, ref_c: str, out: str,
 
 
 def with_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
-    """Add the columns of a relation that has exactly one row because it is a keyless aggregate."""
-    return df.crossJoin(F.broadcast(one_row))
+    """Add the columns of a relation of exactly one row, such as a keyless aggregate; more rows raise when it runs."""
+    row = F.struct(*one_row.columns)
+    checked = one_row.agg(F.when(F.count(F.lit(1)) == 1, F.first(row)).otherwise(F.raise_error(F.lit("not one row"))).alias("_one"))
+    return df.crossJoin(F.broadcast(checked)).select(*df.columns, "_one.*")
 
 
 def parent_compare(

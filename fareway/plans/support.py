@@ -41,13 +41,14 @@ def return_after_ticket(behaviour: DataFrame) -> DataFrame:
     rows = behaviour.withColumn(
         "pre_ticket_category", bucketize("completed_before", V.PRE_TICKET_BOUNDS, V.PRE_TICKET_LABELS)
     )
-    distinct_if = lambda c: F.countDistinct(F.when(c, F.col("ref_customer_id")))
+    # behaviour has one row per customer, so plain counts are counts of customers
+    customers_if = lambda c: F.count(F.when(c, F.col("ref_customer_id")))
     back, promo = F.col("completed_after") > 0, F.col("completed_after_promo") > 0
     sums = rows.groupBy("pre_ticket_category").agg(
-        F.countDistinct("ref_customer_id").alias("total_customers"),
-        distinct_if(back).alias("returned_customers"),
-        distinct_if(promo).alias("returned_customer_with_promo"),
-        distinct_if(promo & back).alias("_both"),
+        F.count("ref_customer_id").alias("total_customers"),
+        customers_if(back).alias("returned_customers"),
+        customers_if(promo).alias("returned_customer_with_promo"),
+        customers_if(promo & back).alias("_both"),
         F.sum("completed_after").alias("_trips"), F.sum("completed_after_promo").alias("_promo_trips"),
     )
     return sums.select(

@@ -1,6 +1,6 @@
 """Ride-hailing frames derived from the driver tables, by fixed arithmetic on their keys.
 
-They stand in for the warehouse tables, which are not published. `checks/oracle.py` derives the
+They stand in for the warehouse tables, which are not published. `checks/frames_sql.py` derives the
 same frames in SQL.
 """
 

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import datetime as dt
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.fixed_values import LOCAL_ZONE
 from ..functions.time import days, monday
 
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"  # how a partition path names NULL
+
 
 def with_run_ts(df: DataFrame, run_at: dt.datetime, out: str = "query_run_timestamp", zone: str = LOCAL_ZONE) -> DataFrame:
     """Stamp all rows with the run time (naive UTC), shown in the local zone."""
@@ -48,22 +51,36 @@ def insert_by_name(df: DataFrame, table: str, columns) -> None:
 
 
 def purge_before(spark: SparkSession, table: str, date_c: str, bound: dt.date) -> int:
-    """Drop the date partitions before `bound`; the list holds one entry per day kept."""
+    """Drop the date partitions before `bound`; the list holds one entry per partition kept, whatever else the table is partitioned by."""
     expired = []
     for row in spark.sql(f"SHOW PARTITIONS {table}").collect():
-        value = row[0].split("=", 1)[1]
+        parts = {c: unquote(v) for c, v in (part.split("=", 1) for part in row[0].split("/"))}
+        value = parts.pop(date_c)
         if value[:4].isdigit() and dt.date.fromisoformat(value) < bound:
-            expired.append(value)
-    for value in expired:
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({date_c} = DATE'{value}')")
+            rest = "".join(f", `{c}` = " + ("NULL" if v == NO_VALUE else "'" + v.replace("'", "\\'") + "'") for c, v in parts.items())
+            expired.append(f"`{date_c}` = DATE'{value}'{rest}")
+    for spec in expired:
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")
     return len(expired)
 
 
 def append_with_retention(df: DataFrame, table: str, date_c: str, as_of: dt.date, weeks: int = 55) -> None:
-    """Purge partitions older than `weeks` before this Monday, then append the new rows by name."""
+    """Purge partitions older than `weeks` before this Monday, then write the new rows by name.
+
+    The days in `df` replace those days in the table, so a second run of the same week changes nothing.
+    """
     spark = df.sparkSession
-    if spark.catalog.tableExists(table):
-        purge_before(spark, table, date_c, monday(as_of) - days(7 * weeks))
-        insert_by_name(df, table, df.columns)
-    else:
+    if not spark.catalog.tableExists(table):
         df.write.partitionBy(date_c).format("parquet").saveAsTable(table)
+        return
+    purge_before(spark, table, date_c, monday(as_of) - days(7 * weeks))
+    order = spark.table(table).columns
+    if sorted(order) != sorted(df.columns):
+        raise ValueError(f"columns {sorted(df.columns)} do not match table columns {sorted(order)}")
+    mode = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(mode)
+    spark.conf.set(mode, "dynamic")
+    try:
+        df.select(*order).write.mode("overwrite").insertInto(table)
+    finally:
+        spark.conf.set(mode, before)

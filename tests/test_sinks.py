@@ -35,6 +35,16 @@ def test_retention_purges_whole_days(spark):
     sinks.append_with_retention(rows(edge - dt.timedelta(days=1), edge), "kept", "d", as_of)
     sinks.append_with_retention(rows(as_of), "kept", "d", as_of)
     assert sorted(r.d for r in spark.table("kept").collect()) == [edge, as_of]
+    sinks.append_with_retention(rows(as_of), "kept", "d", as_of)  # the same run again
+    assert sorted(r.d for r in spark.table("kept").collect()) == [edge, as_of]
+
+
+def test_purge_with_a_second_partition_column(spark):
+    old, new = dt.date(2024, 1, 1), dt.date(2024, 2, 1)
+    rows = spark.createDataFrame([(1, old, "a"), (2, old, "b"), (3, new, "a")], "v int, d date, k string")
+    rows.write.mode("overwrite").partitionBy("d", "k").format("parquet").saveAsTable("two_parts")
+    assert sinks.purge_before(spark, "two_parts", "d", new) == 2
+    assert [r.v for r in spark.table("two_parts").collect()] == [3]
 
 
 def test_ticket_file(spark, tmp_path):
