@@ -20,15 +20,15 @@ from ..operators.chains import expand_chains
 from ..operators.reshape import literal_rows, union_all, union_distinct, unpivot_metrics
 from ..operators.skew import lookup_join
 from ..operators.zones import zone_join
-from ..plans import settlement
+from ..plans import dispatch, settlement
 from ..plans.trips import completed, complaints, with_local_time, with_trip_times
 from ..session import shared_dir
 from ..sources import adapters as A
 from ..sources import sinks
 from ..sources.tables import read_table, read_tickets
 from .frames_sql import with_frames
-from .job_oracles import DONE, PEAK, PLACE, SLOT, d, dist, n, r, t
-from .job_queries import AS_OF, query
+from .job_oracles import BLENDED, DONE, JOB_ORACLES, PEAK, PLACE, SLOT, d, dist, n, r, t
+from .job_queries import AS_OF, OFFER_END, OFFER_START, SCORE_DATE, _scores, query
 
 QUERIES, ORACLES = {}, {}
 
@@ -130,6 +130,31 @@ def _(s, root):
     return sinks.with_run_ts(A.driver_scores(s, root), dt.datetime(2024, 2, 1, 0, 30))
 
 
+@op("settlement_table", "", f"SELECT *, '2024-02-01 04:30:00.000000' AS query_run_timestamp FROM ({JOB_ORACLES['weekly_settlement']})")
+def _(s, root):
+    """The settlement job ends in its table; the same run a second time changes nothing."""
+    table = scratch_table(s)
+    rows = settlement.weekly_settlement(A.journeys(s, root), A.users(s, root), A.adjustments(s, root), A.fare_metrics(s, root), AS_OF)
+    stamped = sinks.with_run_ts(rows, dt.datetime(2024, 2, 1, 0, 30))
+    for _ in range(2):
+        sinks.append_with_retention(stamped, table, "pickup_date", AS_OF)
+    return s.table(table)
+
+
+@op("dispatch_from_stored_scores", "offers offer_journeys", f""", driver_scores AS (
+  SELECT ref_driver_id, final_score, DATE '2024-01-29' AS run_date FROM ({JOB_ORACLES['driver_score_acceptance']})){BLENDED}
+SELECT {d('dat')} AS dat, {n('dr')} AS dispatch_rank, count(DISTINCT journey_id) AS jrny_cnt FROM given GROUP BY 1, 2""")
+def _(s, root):
+    """The score job writes a snapshot per run, stamped; the dispatch job reads the run it wants back."""
+    path, scores = scratch(s), _scores(s, root, "scheduled", offers=True)
+    for day, frame in ((22, scores.withColumn("final_score", F.lit(0.0))), (29, scores)):
+        run = dt.datetime(2024, 1, day)
+        sinks.write_snapshot(sinks.with_run_ts(frame, run), path, run.date())
+    stored = s.read.parquet(path)
+    blended = dispatch.blended_offers(A.offer_journeys(s, root), A.offers(s, root), stored, OFFER_START, OFFER_END, SCORE_DATE)
+    return dispatch.rank_distribution(blended)
+
+
 # ------------------------------------------------------------------ filters
 def _filter(name, where, fn):
     @op(name, "trips", f"SELECT journey_id, {d('ld')} AS local_date FROM trips WHERE {where}")
