@@ -5,9 +5,10 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from fareway.functions.time import filter_local_day
-from fareway.operators.dedupe import keep_first
+from fareway.operators.dedupe import keep_first, keep_max, minmax_score
 from fareway.operators.ordered import Running, running
-from fareway.plans import stickiness, weekly_churn
+from fareway.operators.zones import zone_join_many
+from fareway.plans import stickiness, trip_features, weekly_churn
 from fareway.sources import adapters as A
 
 
@@ -28,6 +29,28 @@ def test_ordered_pass_has_one_shuffle(spark, data):
     assert plan(df).count("Exchange hashpartitioning") == 1
 
 
+def test_wide_history_pass_reads_the_range_alone(spark, data):
+    text = plan(trip_features.customer_history(A.journeys(spark, data), dt.date(2024, 1, 3), dt.date(2024, 1, 20)))
+    scans = [x for x in text.splitlines() if "FileScan" in x]
+    wide = [x for x in scans if "GreaterThanOrEqual(ts," in x]
+    assert len(scans) == 2 and len(wide) == 1 and all("LessThan(ts," in x for x in scans)
+
+
+def test_points_meet_zones_without_a_shuffle(spark, data):
+    points = A.journeys(spark, data).select("journey_id", "pickup_longitude", "pickup_latitude", "estimate_drop_off_longitude", "estimate_drop_off_latitude")
+    ends = [("pickup_longitude", "pickup_latitude", {"a": "name"}), ("estimate_drop_off_longitude", "estimate_drop_off_latitude", {"b": "name"})]
+    text = plan(zone_join_many(points, A.zones(spark, data), ends, "geom", "name"))
+    left = text.split("FileScan parquet [event_id")[0]
+    assert text.count("BroadcastHashJoin") >= 2 and "SortMergeJoin" not in text and text.count("events.parquet") == 1 and "Generate" in text
+    assert "Exchange hashpartitioning(pickup" not in left and "hashpartitioning(journey_id" not in text
+
+
+def test_group_values_share_one_shuffle_by_journey(spark, data):
+    offers = A.offers(spark, data)
+    text = plan(minmax_score(keep_max(offers, "journey_id", "attempt"), "journey_id", "estimate_eta", "s"))
+    assert text.count("Exchange hashpartitioning") == 1 and text.count("FileScan") == 1
+
+
 def test_first_per_key_is_cut_before_the_shuffle(spark, data):
     assert "WindowGroupLimit" in plan(keep_first(A.devices(spark, data), "refuserid", ["-updatedat", "_id"]))
 
