@@ -12,7 +12,7 @@ import numpy as np
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from fareway.llm.common import id_text, map_batches
+from fareway.llm.common import id_text, map_batches, per_worker
 from fareway.llm.tokens import Encoder, vocabulary_path
 
 SCHEMA = (
@@ -87,7 +87,7 @@ def pack_best_fit(
     path = vocabulary or vocabulary_path("byte_bpe_50k.json")
 
     def make():
-        encoder = Encoder(path)
+        encoder = per_worker("encoder", path, lambda: Encoder(path))
         wide = "<u2" if max(encoder.tokenizer.get_vocab_size(), end_id + 1, pad_id + 1) <= 65536 else "<u4"
         end = np.array([end_id], "<u4").tobytes()
         held, count, state = [], [0], [TaskContext.get().partitionId() << 36]

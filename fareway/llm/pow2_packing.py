@@ -11,7 +11,7 @@ import zlib
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from fareway.llm.common import id_text, map_batches
+from fareway.llm.common import id_text, map_batches, per_worker
 from fareway.llm.tokens import Encoder, vocabulary_path
 
 SCHEMA = (
@@ -40,7 +40,7 @@ def pack_powers(
     end = end_id.to_bytes(4, "little")
 
     def make():
-        encoder, state = Encoder(path), [TaskContext.get().partitionId() << 36]
+        encoder, state = per_worker("encoder", path, lambda: Encoder(path)), [TaskContext.get().partitionId() << 36]
 
         def work(batch):
             out = {x.split()[0]: [] for x in SCHEMA.split(", ")}

@@ -9,11 +9,15 @@ from __future__ import annotations
 
 import os
 import re
+from collections.abc import Callable, Iterable
+from itertools import compress, repeat
+from operator import is_
 
 import numpy as np
 
-CACHE_PIECES = 200_000
+CACHE_KEYS = 400_000
 WHITE_RUN = re.compile(r"\s\s")
+PLAIN = re.compile(r"\n?\S+")
 
 
 def vocabulary_path(name: str) -> str:
@@ -30,31 +34,91 @@ def blank_pieces(text: str) -> list[str]:
     return [first, *pieces] if first else pieces
 
 
+class Generations:
+    """A bounded cache: when the young part is full it becomes the old part, and what is used again moves back."""
+
+    def __init__(self, keys: int):
+        self.young, self.old, self.keys = {}, {}, keys
+
+    def values(self, wanted: list[str], make: Callable[[list[str]], Iterable]) -> list:
+        """The value of each wanted key; `make` gives those of keys that neither part has."""
+        found = list(map(self.young.get, wanted))
+        new = set(compress(wanted, map(is_, found, repeat(None))))
+        if not new:
+            return found
+        if len(self.young) + len(new) > self.keys:
+            self.old, self.young = self.young, {}
+            new = set(wanted)
+        kept = {x: self.old[x] for x in new if x in self.old}
+        fresh = [x for x in new if x not in kept]
+        self.young.update(kept)
+        self.young.update(zip(fresh, make(fresh), strict=True))
+        return list(map(self.young.__getitem__, wanted))
+
+
 class Encoder:
-    """Ids as little-endian unsigned 32-bit bytes; equal to the tokenizer's own, special names as plain text."""
+    """Ids as little-endian unsigned 32-bit bytes; equal to the tokenizer's own, special names as plain text.
+
+    In the usual text no white-space characters stand side by side. With a line feed put before it, it is cut at blanks and before
+    line feeds; a key without a line feed stands for a blank and the key.
+    """
 
-    def __init__(self, path: str, cache_pieces: int = CACHE_PIECES):
+    def __init__(self, path: str, cache_keys: int = CACHE_KEYS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        import public_tokenizers
         import regex
         from tokenizers import Tokenizer
-        import public_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.split = regex.compile(public_tokenizers.PATTERN).findall
-        self.known: dict[str, bytes] = {}
-        self.cache_pieces = cache_pieces
+        self.usual, self.other = Generations(cache_keys), Generations(cache_keys // 4)
+        feed = self._direct(["\n"])[0]
+        self.feed = feed[0] if len(feed) == 1 else None
+
+    def _direct(self, pieces: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+
+    def _other_ids(self, pieces: list[str]) -> list[bytes]:
+        return [np.array(ids, "<u4").tobytes() for ids in self._direct(pieces)]
+
+    def _usual_ids(self, keys: list[str]) -> list[bytes]:
+        """Plain words go to the tokenizer as the lines of one text: a lone line feed is an id of its own."""
+        out: list = [None] * len(keys)
+        plain = [i for i, x in enumerate(keys) if PLAIN.fullmatch(x)]
+        for at in range(0, len(plain), 2000):
+            some = plain[at : at + 2000]
+            text = "\n".join([x[1:] if x[0] == "\n" else " " + x for x in (keys[i] for i in some)])
+            ids = np.array(self._direct([text])[0] + [self.feed], "<u4")
+            ends = np.flatnonzero(ids == self.feed).tolist()
+            raw, start, feed = ids.tobytes(), 0, ids[-1:].tobytes()
+            for i, end in zip(some, ends, strict=True):
+                own = raw[4 * start : 4 * end]
+                out[i] = feed + own if keys[i][0] == "\n" else own
+                start = end + 1
+        rest = [i for i, ids in enumerate(out) if ids is None]
+        for i, ids in zip(rest, self._other_ids([keys[i] if keys[i][:1] == "\n" else " " + keys[i] for i in rest]), strict=True):
+            out[i] = ids
+        return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [self.split(x) if WHITE_RUN.search(x) else blank_pieces(x) for x in texts]
-        known = self.known
-        new = list({x for pieces in cut for x in pieces if x not in known})
-        if new:
-            if len(known) + len(new) > self.cache_pieces:
-                known.clear()
-                new = list({x for pieces in cut for x in pieces})
-            for at in range(0, len(new), 2000):
-                some = new[at : at + 2000]
-                found = self.tokenizer.encode_batch_fast(some, add_special_tokens=False)
-                known.update((x, np.array(e.ids, "<u4").tobytes()) for x, e in zip(some, found, strict=True))
-        return [b"".join([known[x] for x in pieces]) for pieces in cut]
+        out: list = [None] * len(texts)
+        usual, keys = [], []
+        for i, text in enumerate(texts):
+            text = "\n" + text
+            if self.feed is None or WHITE_RUN.search(text):
+                out[i] = b"".join(self.other.values(self.split(texts[i]), self._other_ids))
+                continue
+            keys += text.replace("\n", " \n").split(" ")[1:]
+            usual.append((i, len(keys)))
+            if len(keys) > 50_000 or i == len(texts) - 1:
+                self._join(usual, keys, out)
+                usual, keys = [], []
+        self._join(usual, keys, out)
+        return out
+
+    def _join(self, usual: list[tuple[int, int]], keys: list[str], out: list) -> None:
+        found, start = self.usual.values(keys, self._usual_ids), 0
+        for i, end in usual:
+            out[i] = b"".join(found[start:end])[4:]
+            start = end

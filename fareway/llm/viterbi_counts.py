@@ -16,13 +16,13 @@ import re
 
 from pyspark.sql import DataFrame
 
-from fareway.llm.common import id_text, map_batches
-from fareway.llm.tokens import blank_pieces, vocabulary_path
+from fareway.llm.common import id_text, map_batches, per_worker
+from fareway.llm.tokens import Generations, blank_pieces, vocabulary_path
 
 GRID = 1024
 UNKNOWN_PENALTY = 10
 BLANK = "▁"
-CACHE_PIECES = 200_000
+CACHE_PIECES = 400_000
 SHIFT = 64  # the count sits above the score in one integer, so that a text needs one sum
 
 
@@ -51,8 +51,7 @@ class Counter:
                 raise ValueError(f"the entry {entry!r} has a blank after another character")
         self.automaton.make_automaton()
         self.unknown = round((min(score for _, score in vocabulary) - UNKNOWN_PENALTY) * GRID)
-        self.known: dict[str, int] = {}
-        self.cache_pieces = cache_pieces
+        self.known = Generations(cache_pieces)
 
     def best_path(self, piece: str) -> tuple[int, int]:
         """Score on the grid and number of pieces of the best path."""
@@ -75,23 +74,19 @@ class Counter:
             score[end], count[end] = best, pieces
         return score[-1], count[-1]
 
+    def _packed(self, pieces: list[str]) -> list[int]:
+        return [(n << SHIFT) - score for score, n in map(self.best_path, pieces)]
+
     def count(self, texts: list[str]) -> list[tuple[float, int]]:
         """(best score, pieces) of each text; a blank goes before a text that is not empty."""
-        out, known = [], self.known
+        out = []
         for text in texts:
             if not text:
                 out.append((0.0, 0))
                 continue
             text = " " + text.replace(BLANK, " ")
             pieces = re.findall(r" +[^ ]*", text) if "  " in text or " \n" in text else blank_pieces(text)
-            new = {x for x in pieces if x not in known}
-            if len(known) + len(new) > self.cache_pieces:
-                known.clear()
-                new = set(pieces)
-            for piece in new:
-                score, n = self.best_path(piece)
-                known[piece] = (n << SHIFT) - score
-            total = sum([known[x] for x in pieces])
+            total = sum(self.known.values(pieces, self._packed))
             out.append((-(total & (1 << SHIFT) - 1) / GRID, total >> SHIFT))
         return out
 
@@ -109,7 +104,10 @@ def count_tokens(
     path = model or vocabulary_path("piece_bpe_32k.model")
 
     def make():
-        counter = Counter(vocabulary or zipf_vocabulary(path))
+        if vocabulary:
+            counter = Counter(vocabulary)
+        else:
+            counter = per_worker("viterbi", path, lambda: Counter(zipf_vocabulary(path)))
 
         def work(batch):
             found = counter.count(batch["text"])
