@@ -119,7 +119,8 @@ def shared_lines(
     copies = tables.select("doc", "body").join(firsts.where("n > 1"), "body").where("doc <> first").select("doc")
     single = tables.join(firsts.select(F.col("first").alias("doc")), "doc", "left_semi")
     lines = single.select("doc", F.explode("lines").alias("x")).select("doc", "x.line", "x.at", "x.words", "x.h", "x.again")
-    owners = lines.groupBy("h", "again").agg(F.min("doc").alias("owner"), F.count("*").alias("n")).where("n > 1")
+    # written first, so that the join below reads both sides from plain exchanges and a very common line can be split
+    owners = cut_lineage(lines.groupBy("h", "again").agg(F.min("doc").alias("owner"), F.count("*").alias("n")).where("n > 1"))
     shared = cut_lineage(lines.join(owners, ["h", "again"]))
     pairs = (
         shared.where("doc <> owner").groupBy("owner", "doc").agg(F.min("n").alias("least"), F.count("*").alias("common"))

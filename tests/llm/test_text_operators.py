@@ -279,7 +279,7 @@ def brute_ppm(train, order, text):
     return total
 
 
-@pytest.mark.parametrize("order", range(5))
+@pytest.mark.parametrize("order", range(6))
 def test_trie_against_brute_force(order):
     rnd = random.Random(order)
     for _ in range(15):
