@@ -13,6 +13,7 @@ shorter context loses, and one part after the other scores its own places; resul
 from __future__ import annotations
 
 import math
+import uuid
 import zlib
 from collections import Counter
 
@@ -21,7 +22,7 @@ from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fareway.llm.common import cut_lineage, id_text, map_batches
+from fareway.llm.common import cut_lineage, id_text, map_batches, per_worker
 from fareway.llm.ppm import BASE, Model, count_codes
 
 ORDER = 4
@@ -129,7 +130,7 @@ def score_documents(
     kinds, total = words.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
     common = {bytes(w): n for w, n in words.where(F.col("n") * frequent > total).toLocalIterator()}
     common_words = spark.sparkContext.broadcast(common)
-    bottom = total + kinds + 1
+    bottom, run = total + kinds + 1, uuid.uuid4().hex
     parts = _parts(codes, entries)
     group = F.expr(f"code div {BASE} % {BASE**2}")
     short = None
@@ -146,8 +147,8 @@ def score_documents(
     last, last_part = part_model(parts[-1]), parts[-1] if len(parts) > 1 else None
 
     def make():
-        frequent_words, model = common_words.value, cloudpickle.loads(last.value)
-        known = {w: math.log10((n + 1) / bottom) for w, n in frequent_words.items()}
+        known = per_worker("words", run, lambda: {w: math.log10((n + 1) / bottom) for w, n in common_words.value.items()})
+        model = per_worker("trie", run, lambda: cloudpickle.loads(last.value))
         state = [TaskContext.get().partitionId() << 36]
 
         def work(batch):

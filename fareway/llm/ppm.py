@@ -21,7 +21,7 @@ class Lookup:
     """A table of values by 64-bit key with open addressing; `find` is NaN where a key is absent."""
 
     def __init__(self, keys: np.ndarray, values: np.ndarray):
-        bits = max(4, int(4 * len(keys)).bit_length())
+        bits = max(4, int(2 * len(keys)).bit_length())
         self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
         self.keys, self.values = np.full(1 << bits, -1, np.int64), np.full(1 << bits, np.nan)
         left, self.probes = np.arange(len(keys)), 0
@@ -157,10 +157,21 @@ class Model:
             else:
                 own = _sums(codes % size, counts)
             self.levels[j] = longer = Level(*own, longer, size)
-        top = self.levels[order]
+        self.log_last = -_log(np.array([max(1.0, BASE - len(self.levels[0].codes))]))[0]
+        self._index()
+
+    def _index(self) -> None:
+        """The table of strings that the longest context knows, which most places need alone."""
+        top = self.levels[self.order]
         place = _at(top.contexts, top.codes // BASE)
         self.known = Lookup(top.codes, top.log_counts - top.log_top[place])
-        self.log_last = -_log(np.array([max(1.0, BASE - len(self.levels[0].codes))]))[0]
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k != "known"}
+
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__.update(state)
+        self._index()
 
     def _rare(self, codes: np.ndarray) -> np.ndarray:
         out, n = np.zeros(len(codes)), len(codes)
