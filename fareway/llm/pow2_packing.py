@@ -26,10 +26,12 @@ def binary_lengths(n: int, max_len: int) -> list[int]:
 
 
 def pack_powers(
-    docs: DataFrame, *, vocabulary: str = "", max_len: int = 2048, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, *, vocabulary: str = "", max_len: int = 2048, end_id: int = 1, keep_ids: bool = True, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """One row per piece: its ids, their place in the document, and the sequence that holds it.
 
+    Without `keep_ids` there is no `ids` column, and the ids need not travel out of the task that made them.
+
     A NULL or empty text is the end id alone: one piece of length 1. Repeated rows are packed each.
     A NULL id stays NULL. Other columns are ignored. An empty table gives an empty result.
     `sequence_id` holds the task's number above bit 36, so it is unique without a second pass.
@@ -38,26 +40,27 @@ def pack_powers(
         raise ValueError("max_len must be a power of two")
     path = vocabulary or vocabulary_path("byte_bpe_50k.json")
     end = end_id.to_bytes(4, "little")
+    schema = SCHEMA if keep_ids else SCHEMA.replace("ids binary, ", "")
 
     def make():
         encoder, state = per_worker("encoder", path, lambda: Encoder(path)), [TaskContext.get().partitionId() << 36]
 
         def work(batch):
-            out = {x.split()[0]: [] for x in SCHEMA.split(", ")}
+            rows = []
             for doc_id, ids in zip(batch["doc_id"], encoder.encode(batch["text"]), strict=True):
                 ids += end
                 n, start = len(ids) // 4, 0
                 for length in binary_lengths(n, max_len):
                     piece = ids[4 * start : 4 * (start + length)]
-                    for name, value in zip(out, (doc_id, start, length, piece, zlib.crc32(piece), n, state[0], 0), strict=True):
-                        out[name].append(value)
+                    own = (piece,) if keep_ids else ()
+                    rows.append((doc_id, start, length, *own, zlib.crc32(piece), n, state[0], 0))
                     start += length
                     state[0] += 1
-            yield out
+            yield dict(zip((x.split()[0] for x in schema.split(", ")), zip(*rows, strict=True), strict=True))
 
         return work
 
-    return map_batches(id_text(docs, id_col, text_col), make, SCHEMA)
+    return map_batches(id_text(docs, id_col, text_col), make, schema)
 
 
 def write_buckets(pieces: DataFrame, path: str) -> None:

@@ -46,7 +46,7 @@ def op7_covering_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_power_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pow2_packing.pack_powers(documents(spark, sf_dir)).drop("ids")
+    return pow2_packing.pack_powers(documents(spark, sf_dir), keep_ids=False)
 
 
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
