@@ -25,6 +25,7 @@ UNITS = (
     "second seconds meter meters metre metres kilometer kilometers mile miles inch inches foot feet gram grams kilogram kilograms pound "
     "pounds liter liters litre litres dollar dollars cent cents euro euros percent degree degrees"
 ).split()
+INNER = r"[\p{L}\p{N}\x{E001}-\x{E003}]"
 EDGE = r"[^\p{L}\p{N}\s\x{E001}-\x{E003}]"
 
 
@@ -35,16 +36,17 @@ def spaced(text: Column) -> Column:
 
 def template(text: Column) -> Column:
     """The template of a spaced text, with as many words."""
-    out = F.regexp_replace(text, r"(?<=[\p{Ll}\p{N},;] )\p{Lu}\p{L}+", NAME)
-    out = F.regexp_replace(out, r"(?<!\S)[^\p{L}\p{N}\s]*+\p{N}[\p{N}.,:/]*+[^\p{L}\p{N}\s]*+(?!\S)", NUMBER)
-    out = F.regexp_replace(out, rf"(?<={NUMBER} )(?i:{'|'.join(UNITS)})(?![\p{{L}}\p{{N}}])", UNIT)
-    out = F.regexp_replace(out, rf"(?<=[\p{{L}}\p{{N}}\x{{E001}}-\x{{E003}}]){EDGE}++(?!\S)", "")
-    return F.lower(F.regexp_replace(out, rf"(?<!\S){EDGE}++(?=[\p{{L}}\p{{N}}\x{{E001}}-\x{{E003}}])", ""))
+    out = F.regexp_replace(text, r"(?=\p{Lu})(?<=[\p{Ll}\p{N},;] )\p{Lu}\p{L}+", NAME)
+    numbered = F.regexp_replace(out, r"(?<!\S)[^\p{L}\p{N}\s]*+\p{N}[\p{N}.,:/]*+[^\p{L}\p{N}\s]*+(?!\S)", NUMBER)
+    numbered = F.regexp_replace(numbered, rf"(?<={NUMBER} )(?i:{'|'.join(UNITS)})(?![\p{{L}}\p{{N}}])", UNIT)
+    out = F.when(out.rlike(r"\p{N}"), numbered).otherwise(out)
+    return F.lower(F.regexp_replace(out, rf"(?={EDGE})(?:(?<={INNER}){EDGE}++(?!\S)|(?<!\S){EDGE}++(?={INNER}))", ""))
 
 
 def windows(template_text: Column, width: int) -> Column:
     """All windows of `width` words, by place; a text of fewer words has none."""
-    pattern = rf"(?<!\S)(?=(\S++(?: \S++){{{width - 1}}}))"
+    # a window is looked at ahead of its first word, and the search goes on behind that word
+    pattern = rf"(?=([^ ]++(?: [^ ]++){{{width - 1}}}))[^ ]++"
     return F.regexp_extract_all(template_text, F.lit(pattern), 1)
 
 
