@@ -1,8 +1,7 @@
 """Line dedup by pairwise alignment: the later of two overlapping documents loses the blocks they share.
 
-A line that several documents have belongs to the earliest of them, its owner; a document and an owner become a pair when
-one of their common lines is rare in the corpus, or when they have at least `evidence` of them, which finds the members of large groups,
-whose lines are not rare. So a line gives one pair per document at most and never all pairs of its documents. The
+A line that several documents have belongs to the earliest of them, its owner; a document and the owner of one of its lines are a pair,
+however many documents have the line. So a line gives one pair per document at most and never all pairs of its documents. The
 pair's lines are aligned by patience diff, and aligned blocks are deleted from the document. Equal documents are settled before: all but the
 earliest are deleted whole, so a group of copies is aligned once.
 """
@@ -18,8 +17,6 @@ from pyspark.sql import functions as F
 
 from fareway.llm.common import cut_lineage, document_key, keyed_text, map_batches
 
-RARE = 50  # documents that a rare line has at most
-EVIDENCE = 3  # common lines of a pair without a rare one
 MIN_WORDS = 5  # words of a block that is deleted
 
 Entry = tuple[int, int, int, int, int]  # place in the later document, place in the earlier, line, words, line hash
@@ -107,7 +104,7 @@ def _line_table(docs: DataFrame) -> DataFrame:
 
 
 def shared_lines(
-    docs: DataFrame, *, rare: int = RARE, evidence: int = EVIDENCE, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, *, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """doc (the key of `common.document_key`), is_copy, and the 0-based lines to delete, for each document that loses something.
 
@@ -122,10 +119,7 @@ def shared_lines(
     # written first, so that the join below reads both sides from plain exchanges and a very common line can be split
     owners = cut_lineage(lines.groupBy("h", "again").agg(F.min("doc").alias("owner"), F.count("*").alias("n")).where("n > 1"))
     shared = cut_lineage(lines.join(owners, ["h", "again"]))
-    pairs = (
-        shared.where("doc <> owner").groupBy("owner", "doc").agg(F.min("n").alias("least"), F.count("*").alias("common"))
-        .where((F.col("least") <= rare) | (F.col("common") >= evidence)).select("owner", "doc")
-    )
+    pairs = shared.where("doc <> owner").select("owner", "doc").distinct()
     theirs = shared.select(F.col("doc").alias("owner"), "h", "again", F.col("at").alias("owner_at"))
     entries = pairs.join(shared.drop("owner", "n"), "doc").join(theirs, ["owner", "h", "again"])
     entry = F.struct("at", "owner_at", "line", "words", F.xxhash64("h").alias("h"))

@@ -116,6 +116,14 @@ def test_members_of_a_large_group_are_found_without_rare_lines(spark):
     assert got[0] == rows[0][1] and all(got[i] == f"own {i} text of number {i}" for i in range(1, 80))
 
 
+@pytest.mark.parametrize("size", [50, 51, 120])
+def test_short_passages_go_however_many_documents_have_them(spark, size):
+    one, two = prose(1, 60, 400), [prose(2, 9), prose(3, 9)]
+    rows = [(i, "\n".join([prose(1000 + i, 15, 4000), one, prose(2000 + i, 15, 4000), *two])) for i in range(size)]
+    got = {r.doc_id: r.text for r in line_alignment.dedup_lines(frame(spark, rows)).collect()}
+    assert got[0] == rows[0][1] and all(got[i] == "\n".join(rows[i][1].split("\n")[0:3:2]) for i in range(1, size))
+
+
 # 2: personal data
 BASE = (
     ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"), ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),
