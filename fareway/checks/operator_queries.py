@@ -137,8 +137,8 @@ def _(s, root):
     rows = settlement.weekly_settlement(A.journeys(s, root), A.users(s, root), A.adjustments(s, root), A.fare_metrics(s, root), AS_OF)
     stamped = sinks.with_run_ts(rows, dt.datetime(2024, 2, 1, 0, 30))
     for _ in range(2):
-        sinks.append_with_retention(stamped, table, "pickup_date", AS_OF)
-    return s.table(table)
+        sinks.append_with_retention(stamped, table, "pickup_date", AS_OF, run_c="run_week")
+    return s.table(table).drop("run_week")
 
 
 @op("dispatch_from_stored_scores", "offers offer_journeys", f""", driver_scores AS (

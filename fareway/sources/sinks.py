@@ -64,23 +64,30 @@ def purge_before(spark: SparkSession, table: str, date_c: str, bound: dt.date) -
     return len(expired)
 
 
-def append_with_retention(df: DataFrame, table: str, date_c: str, as_of: dt.date, weeks: int = 55) -> None:
+def append_with_retention(df: DataFrame, table: str, date_c: str, as_of: dt.date, weeks: int = 55, run_c: str | None = None) -> None:
     """Purge partitions older than `weeks` before this Monday, then write the new rows by name.
 
-    The days in `df` replace those days in the table, so a second run of the same week changes nothing.
+    With `run_c` the table has a partition column of that name, the Monday of the run: a second run of the same week replaces the rows of the
+    first, all of them and no others, whatever their dates. Without it the days in `df` replace those days in the table, which is right
+    only for rows that are whole days.
     """
-    spark = df.sparkSession
+    spark, run = df.sparkSession, monday(as_of)
     if not spark.catalog.tableExists(table):
-        df.write.partitionBy(date_c).format("parquet").saveAsTable(table)
+        first = df.withColumn(run_c, F.lit(run)) if run_c else df
+        first.write.partitionBy(*([run_c] if run_c else []), date_c).format("parquet").saveAsTable(table)
         return
-    purge_before(spark, table, date_c, monday(as_of) - days(7 * weeks))
-    order = spark.table(table).columns
-    if sorted(order) != sorted(df.columns):
-        raise ValueError(f"columns {sorted(df.columns)} do not match table columns {sorted(order)}")
+    order = [c for c in spark.table(table).columns if c != run_c]
+    if sorted(order) != sorted(df.columns) or run_c and run_c not in spark.table(table).columns:
+        raise ValueError(f"columns {sorted(df.columns)} do not match table columns {sorted(spark.table(table).columns)}")
+    purge_before(spark, table, date_c, run - days(7 * weeks))
     mode = "spark.sql.sources.partitionOverwriteMode"
     before = spark.conf.get(mode)
-    spark.conf.set(mode, "dynamic")
+    # static: all of the run's partitions go, also those of days that it no longer has
+    spark.conf.set(mode, "static" if run_c else "dynamic")
     try:
-        df.select(*order).write.mode("overwrite").insertInto(table)
+        if run_c:
+            spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION (`{run_c}` = DATE'{run}', `{date_c}`) SELECT * FROM {{rows}}", rows=df.select(*order))
+        else:
+            df.select(*order).write.mode("overwrite").insertInto(table)
     finally:
         spark.conf.set(mode, before)

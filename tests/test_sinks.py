@@ -39,6 +39,23 @@ def test_retention_purges_whole_days(spark):
     assert sorted(r.d for r in spark.table("kept").collect()) == [edge, as_of]
 
 
+def test_a_run_replaces_its_own_week_only(spark):
+    day, other = dt.date(2024, 5, 30), dt.date(2024, 5, 31)
+    rows = lambda *x: spark.createDataFrame([*x], "d date, v int")  # the date is not the last column
+    first, second = dt.date(2024, 6, 5), dt.date(2024, 6, 12)
+    run = lambda as_of, *x: sinks.append_with_retention(rows(*x), "by_week", "d", as_of, run_c="run_week")
+    kept = lambda: sorted(((r.d, r.v) for r in spark.table("by_week").collect()), key=repr)
+    run(first, (day, 1), (None, 2))
+    run(second, (day, 3), (None, 4), (other, 5))
+    assert kept() == sorted([(day, 1), (None, 2), (day, 3), (None, 4), (other, 5)], key=repr)
+    run(second, (day, 3), (None, 4))  # again, without one of its days
+    assert kept() == sorted([(day, 1), (None, 2), (day, 3), (None, 4)], key=repr)
+    run(second)
+    assert kept() == sorted([(day, 1), (None, 2)], key=repr)
+    with pytest.raises(ValueError):
+        sinks.append_with_retention(rows((day, 1)), "by_week", "d", first)
+
+
 def test_purge_with_a_second_partition_column(spark):
     old, new = dt.date(2024, 1, 1), dt.date(2024, 2, 1)
     rows = spark.createDataFrame([(1, old, "a"), (2, old, "b"), (3, new, "a")], "v int, d date, k string")
