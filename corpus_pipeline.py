@@ -34,10 +34,11 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark item go."""
+    """Documents that hold a benchmark item go, by id and text: ids may be NULL or repeated."""
     held = template_decontamination.contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    ids = held.select(F.col("doc_id").alias("held_id")).distinct()
-    return docs.join(ids, docs["doc_id"].eqNullSafe(ids["held_id"]), "left_anti")
+    held = held.select(F.col("k1").alias("held_k1"), F.col("k2").alias("held_k2")).distinct()
+    k1, k2 = template_decontamination.text_keys(docs["doc_id"], docs["text"])
+    return docs.join(held, (k1 == held["held_k1"]) & (k2 == held["held_k2"]), "left_anti")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

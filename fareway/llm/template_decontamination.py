@@ -58,20 +58,25 @@ def _anchored(window: Column, width: int, min_plain: int) -> Column:
     return width - filled >= min(min_plain, width)
 
 
+def text_keys(doc_id: Column, text: Column) -> tuple[Column, Column]:
+    """Two hashes that rows alike in id and text share."""
+    doc_id, own = doc_id.cast("long"), F.coalesce(text.cast("string"), F.lit(""))
+    return F.xxhash64(doc_id, own), F.xxhash64(own, doc_id, F.lit(1))
+
+
 def contaminated(
     docs: DataFrame, benchmark: DataFrame, *, width: int = WIDTH, min_share: float = MIN_SHARE, min_consistent: float = MIN_CONSISTENT,
     min_plain: int = MIN_PLAIN, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
 ) -> DataFrame:
-    """doc_id, item_id, share of the item's windows found, and share of consistent placeholder words, for each held item.
+    """doc_id, item_id, share of the item's windows found, share of consistent placeholder words, and `text_keys`, for each held item.
 
     An item of fewer than `width` words is one window of its own length, matched at that length; NULL or empty items match nothing, and
     so do NULL or empty texts. Rows alike in id and text give one row per item; a NULL id stays NULL. Repeated items count as one.
     Other columns are ignored. An empty table on either side gives an empty result.
     """
     text = spaced(docs[text_col])
-    doc_id = docs[id_col].cast("long")
-    own = F.coalesce(docs[text_col].cast("string"), F.lit(""))  # keys need no spacing, so that is done once, for the windows
-    keyed = docs.select(doc_id.alias("doc_id"), F.xxhash64(doc_id, own).alias("k1"), F.xxhash64(own, doc_id, F.lit(1)).alias("k2"), text.alias("raw"))
+    k1, k2 = text_keys(docs[id_col], docs[text_col])  # keys need no spacing, so that is done once, for the windows
+    keyed = docs.select(docs[id_col].cast("long").alias("doc_id"), k1.alias("k1"), k2.alias("k2"), text.alias("raw"))
     items = (
         benchmark.select(benchmark[item_col].alias("item_id"), spaced(benchmark[item_text_col]).alias("raw")).where("raw <> ''").distinct()
         .withColumn("template", template(F.col("raw")))
@@ -79,7 +84,7 @@ def contaminated(
     )
     sizes = sorted(n for (n,) in items.select("size").distinct().collect())  # at most `width` numbers
     if not sizes:
-        return keyed.select("doc_id", F.lit(None).cast(items.schema["item_id"].dataType).alias("item_id"), F.lit(0.0).alias("share"), F.lit(0.0).alias("consistent")).limit(0)
+        return keyed.select("doc_id", F.lit(None).cast(items.schema["item_id"].dataType).alias("item_id"), F.lit(0.0).alias("share"), F.lit(0.0).alias("consistent"), "k1", "k2").limit(0)
     item_windows = cut_lineage(_stack([
         items.where(F.col("size") == n).select("item_id", "raw", F.lit(n).alias("size"), F.posexplode(windows(F.col("template"), n)).alias("at", "window"))
         .where(_anchored(F.col("window"), n, min_plain))
@@ -103,7 +108,7 @@ def contaminated(
     slots = _slot_shares(met, keyed, items, item_windows)
     return (
         shares.join(slots, ["k1", "k2", "item_id"], "left").withColumn("consistent", F.coalesce("consistent", F.lit(1.0)))
-        .where(F.col("consistent") >= min_consistent).select("doc_id", "item_id", "share", "consistent")
+        .where(F.col("consistent") >= min_consistent).select("doc_id", "item_id", "share", "consistent", "k1", "k2")
     )
 
 

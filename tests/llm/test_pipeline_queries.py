@@ -51,6 +51,14 @@ def test_pipeline_stages(spark, data):
     assert {p.doc_id for p in pieces} == set(kept)
 
 
+def test_contaminated_documents_go_without_their_namesakes(spark, tmp_path):
+    item = "the quick brown fox jumps over the lazy dog near the old river bank"
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    rows = [(None, f"so {item} today"), (None, "a clean text without an id"), (None, None), (5, item), (5, "a clean text of the same id"), (6, "clean"), (6, "clean")]
+    got = corpus_pipeline.decontaminate(spark, spark.createDataFrame(rows, "doc_id long, text string"), str(tmp_path)).collect()
+    assert sorted(map(tuple, got), key=repr) == sorted([rows[1], rows[2], *rows[4:]], key=repr)
+
+
 def test_clean_documents_pass_the_quality_stage(spark, data):
     docs = spark.read.parquet(f"{data}/documents.parquet")
     labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{data}/labels.parquet").collect()}
