@@ -4,11 +4,14 @@ Numbers, names and units become typed placeholders, other words lose case and ed
 place in the template is the same place in the text. Windows of `width` template words of documents meet those of benchmark items by
 their text. A document holds an item when enough of the item's windows are found and the words behind the placeholders change
 consistently: each word of the item stands for one word of the document throughout.
+
+A capitalised word at the start of a sentence may be a name or not, so windows with such words are compared both ways. Item windows of too
+few plain words are compared by their words as they are, so that copies are found and loose templates are not.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fareway.llm.common import cut_lineage
@@ -20,29 +23,41 @@ MIN_PLAIN = 4  # words of a window that are no placeholders
 BROADCAST_WINDOWS = 2_000_000
 # Placeholders, one private character each, and the words taken as units after a number.
 NUMBER, NAME, UNIT = "\ue001", "\ue002", "\ue003"
+INITIAL = "\ue004"  # goes before a word that is a name or the first of a sentence
 UNITS = (
     "mm cm m km in ft yd mi mg g kg t oz lb ml l s sec min h hr day days week weeks month months year years hour hours minute minutes "
     "second seconds meter meters metre metres kilometer kilometers mile miles inch inches foot feet gram grams kilogram kilograms pound "
     "pounds liter liters litre litres dollar dollars cent cents euro euros percent degree degrees"
 ).split()
-INNER = r"[\p{L}\p{N}\x{E001}-\x{E003}]"
-EDGE = r"[^\p{L}\p{N}\s\x{E001}-\x{E003}]"
+# Words that are no names at the start of a sentence either.
+NO_NAMES = (
+    "a an the this that these those he she it we you they his her its our your their who whom whose what which when where why how if in on "
+    "at by for from of to with after before and but or so then is are was were do does did can could will would there each every all some"
+).split()
+INNER = r"[\p{L}\p{N}\x{E001}-\x{E004}]"
+EDGE = r"[^\p{L}\p{N}\s\x{E001}-\x{E004}]"
 
 
 def spaced(text: Column) -> Column:
     """White space as single blanks, none at the ends."""
     # a lone blank, by far the most frequent run, is no match
-    odd, white = r"[\t-\r\x{E001}-\x{E003}]", r"[ \t-\r\x{E001}-\x{E003}]"
+    odd, white = r"[\t-\r\x{E001}-\x{E004}]", r"[ \t-\r\x{E001}-\x{E004}]"
     return F.trim(F.regexp_replace(F.coalesce(text.cast("string"), F.lit("")), rf" *{odd}{white}*+|  ++{white}*+", " "))
 
 
+def literal(text: Column) -> Column:
+    """The words of a spaced text in lower case and without punctuation at their edges."""
+    return F.lower(F.regexp_replace(text, rf"(?={EDGE})(?:(?<={INNER}){EDGE}++(?!\S)|(?<!\S){EDGE}++(?={INNER}))", ""))
+
+
 def template(text: Column) -> Column:
-    """The template of a spaced text, with as many words."""
+    """The template of a spaced text, with as many words; `INITIAL` stands before words that may be names."""
     out = F.regexp_replace(text, r"(?=\p{Lu})(?<=[\p{Ll}\p{N},;] )\p{Lu}\p{L}+", NAME)
+    out = F.regexp_replace(out, rf"(?=\p{{Lu}})(?<![\p{{L}}\p{{N}}])(?!(?i:{'|'.join(NO_NAMES)})(?!\p{{L}}))\p{{Lu}}\p{{L}}+", f"{INITIAL}$0")
     numbered = F.regexp_replace(out, r"(?<!\S)[^\p{L}\p{N}\s]*+\p{N}[\p{N}.,:/]*+[^\p{L}\p{N}\s]*+(?!\S)", NUMBER)
-    numbered = F.regexp_replace(numbered, rf"(?<={NUMBER} )(?i:{'|'.join(UNITS)})(?![\p{{L}}\p{{N}}])", UNIT)
+    numbered = F.regexp_replace(numbered, rf"(?<={NUMBER} ){INITIAL}?(?i:{'|'.join(UNITS)})(?![\p{{L}}\p{{N}}])", UNIT)
     out = F.when(out.rlike(r"\p{N}"), numbered).otherwise(out)
-    return F.lower(F.regexp_replace(out, rf"(?={EDGE})(?:(?<={INNER}){EDGE}++(?!\S)|(?<!\S){EDGE}++(?={INNER}))", ""))
+    return literal(out)
 
 
 def windows(template_text: Column, width: int) -> Column:
@@ -58,6 +73,29 @@ def _anchored(window: Column, width: int, min_plain: int) -> Column:
     return width - filled >= min(min_plain, width)
 
 
+def _named(text: Column) -> Column:
+    return F.regexp_replace(text, rf"{INITIAL}\p{{L}}+", NAME)
+
+
+def _plain(text: Column) -> Column:
+    return F.translate(text, INITIAL, "")
+
+
+def _readings(window: Column) -> Column:
+    """A window of a document with all its initial words as names, and with none."""
+    return F.when(F.contains(window, F.lit(INITIAL)), F.array(_plain(window), _named(window))).otherwise(F.array(window))
+
+
+def _all_readings(window: Column) -> Column:
+    """A window of an item with each of its initial words as a name or not."""
+
+    def step(done: Column, word: Column) -> Column:
+        return F.flatten(F.transform(_readings(word), lambda w: F.transform(done, lambda d: F.concat_ws(" ", d, w))))
+
+    words = F.split(window, " ")
+    return F.aggregate(F.slice(words, 2, F.size(words)), _readings(F.element_at(words, 1)), step)
+
+
 def text_keys(doc_id: Column, text: Column) -> tuple[Column, Column]:
     """Two hashes that rows alike in id and text share."""
     doc_id, own = doc_id.cast("long"), F.coalesce(text.cast("string"), F.lit(""))
@@ -70,7 +108,8 @@ def contaminated(
 ) -> DataFrame:
     """doc_id, item_id, share of the item's windows found, share of consistent placeholder words, and `text_keys`, for each held item.
 
-    An item of fewer than `width` words is one window of its own length, matched at that length; NULL or empty items match nothing, and
+    An item of fewer than `width` words is one window of its own length, matched at that length. A window of fewer than `min_plain` plain
+    words matches its own words alone; the share is that of all windows or of the others, whichever is larger. NULL or empty items match nothing, and
     so do NULL or empty texts. Rows alike in id and text give one row per item; a NULL id stays NULL. Repeated items count as one.
     Other columns are ignored. An empty table on either side gives an empty result.
     """
@@ -85,25 +124,39 @@ def contaminated(
     sizes = sorted(n for (n,) in items.select("size").distinct().collect())  # at most `width` numbers
     if not sizes:
         return keyed.select("doc_id", F.lit(None).cast(items.schema["item_id"].dataType).alias("item_id"), F.lit(0.0).alias("share"), F.lit(0.0).alias("consistent"), "k1", "k2").limit(0)
+    both = lambda n: F.zip_with(windows(template(F.col("raw")), n), windows(literal(F.col("raw")), n), lambda t, w: F.struct(t.alias("t"), w.alias("w")))
     item_windows = cut_lineage(_stack([
-        items.where(F.col("size") == n).select("item_id", "raw", F.lit(n).alias("size"), F.posexplode(windows(F.col("template"), n)).alias("at", "window"))
-        .where(_anchored(F.col("window"), n, min_plain))
+        items.where(F.col("size") == n).select("item_id", F.lit(n).alias("size"), F.posexplode(both(n)).alias("at", "x"))
+        .withColumn("loose", F.filter(_all_readings(F.col("x.t")), lambda w: _anchored(w, n, min_plain)))  # noqa: B023
+        # a blank before the words tells them from templates
+        .withColumn("window", F.explode(F.when(F.size("loose") > 0, F.array_distinct("loose")).otherwise(F.array(F.concat(F.lit(" "), "x.w")))))
+        .select("item_id", "size", "at", "window")
         for n in sizes
     ]))
+    exact = F.col("window").startswith(" ")
+    exact_sizes = sorted(n for (n,) in item_windows.where(exact).select("size").distinct().collect())
     known = item_windows.groupBy("size", "window").agg(F.xxhash64("window").alias("h")).select("size", "h", "window")
     if known.count() <= BROADCAST_WINDOWS:
         known = F.broadcast(known)
+
+    def search(n: int, places: Column, forms: Column) -> DataFrame:
+        return (
+            keyed.select("doc_id", "k1", "k2", F.posexplode(places).alias("place", "window")).withColumn("window", F.explode(forms))
+            .withColumn("h", F.xxhash64("window")).join(known.where(F.col("size") == n).withColumnRenamed("window", "same"), "h")
+            .where("window = same").select("doc_id", "k1", "k2", "place", "size", "window")
+        )
+
     found = cut_lineage(_stack([
-        keyed.select("doc_id", "k1", "k2", F.posexplode(windows(template(F.col("raw")), n)).alias("place", "window"))
-        .withColumn("h", F.xxhash64("window")).join(known.where(F.col("size") == n).withColumnRenamed("window", "same"), "h")
-        .where("window = same").select("doc_id", "k1", "k2", "place", "size", "window")
-        for n in sizes
+        *(search(n, windows(template(F.col("raw")), n), _readings(F.col("window"))) for n in sizes),
+        *(search(n, windows(literal(F.col("raw")), n), F.array(F.concat(F.lit(" "), "window"))) for n in exact_sizes),
     ]))
     met = found.join(item_windows.select("item_id", "at", "size", "window"), ["size", "window"])
-    of_item = item_windows.groupBy("item_id").agg(F.countDistinct("at").alias("n_windows"))
+    counted = lambda name: (F.countDistinct("at").alias(name), F.countDistinct(F.when(~exact, F.col("at"))).alias(f"{name}_loose"))
+    of_item = item_windows.groupBy("item_id").agg(*counted("n_windows"))
+    share = F.greatest(F.col("n_found") / F.col("n_windows"), F.when(F.col("n_windows_loose") > 0, F.col("n_found_loose") / F.col("n_windows_loose")))
     shares = (
-        met.groupBy("doc_id", "k1", "k2", "item_id").agg(F.countDistinct("at").alias("n_found"))
-        .join(of_item, "item_id").withColumn("share", F.col("n_found") / F.col("n_windows")).where(F.col("share") >= min_share)
+        met.groupBy("doc_id", "k1", "k2", "item_id").agg(*counted("n_found"))
+        .join(of_item, "item_id").withColumn("share", share).where(F.col("share") >= min_share)
     )
     slots = _slot_shares(met, keyed, items, item_windows)
     return (
@@ -124,7 +177,11 @@ def _slot_shares(met: DataFrame, keyed: DataFrame, items: DataFrame, item_window
 
     Only places with a placeholder travel; the document's words are looked up in the rows of matched documents alone.
     """
-    slotted = met.where(F.col("window").rlike(f"[{NUMBER}{NAME}{UNIT}]"))
+    shift = F.col("place") - F.col("at")
+    of_shift = Window.partitionBy("k1", "k2", "item_id", shift)
+    best = Window.partitionBy("k1", "k2", "item_id", "place").orderBy(F.desc("n"), shift)
+    # like sentences of one item have like templates: a place counts where most of the document's windows put it
+    slotted = met.where(F.col("window").rlike(f"[{NUMBER}{NAME}{UNIT}]")).withColumn("n", F.count("*").over(of_shift)).withColumn("best", F.rank().over(best)).where("best = 1")
     steps = F.posexplode(F.split("window", " "))
     places = (
         slotted.select("k1", "k2", "item_id", "place", "at", steps.alias("step", "word"))

@@ -215,6 +215,27 @@ def test_items_are_found_reworded_by_their_slots_only(spark):
     assert {x for x in got if x[0] is not None} == {(1, 70), (2, 70), (11, 70), (9, 73), (10, 73)}
 
 
+def held(spark, docs, items):
+    items = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    return {(r.doc_id, r.item_id) for r in template_decontamination.contaminated(frame(spark, docs), items).collect()}
+
+
+def test_names_at_the_start_of_sentences_are_placeholders(spark):
+    long = "{} has {} apples in the basket. {} takes {} apples from it. {} buys {} more at the market. How many apples does \"{}\" have now?"
+    short = "{} buys {} pens. {} buys {} pens. {} sells {} pens. How many pens are left?"
+    docs = [
+        (1, "Text before. " + long.format("Maria", 20, "Paul", 7, "Maria", 9, "Paul")), (2, short.format("Kim", 7, "Lea", 9, "Kim", 3)),
+        (3, long.format("Anna", 12, "Ben", 3, "Anna", 5, "Ben")), (4, short.format("Kim", 7, "Lea", 9, "Jo", 3)), (5, "and so " + short.format("Tom", 4, "Sam", 6, "Tom", 8).lower()),
+    ]
+    assert held(spark, docs, [long.format("Anna", 12, "Ben", 3, "Anna", 5, "Ben"), short.format("Tom", 4, "Sam", 6, "Tom", 8)]) == {(1, 0), (3, 0), (2, 1), (5, 1)}
+
+
+def test_items_of_few_plain_words_are_found_as_they_are(spark):
+    items = ["Convert 5 km to miles", "12 + 7 = ?", "2 4 8 16 32 64 128 256", "1 2 3 4 5 6 7 8 9 then the plain words that follow here"]
+    docs = [*((i, f"Some words before. {t} And some behind.") for i, t in enumerate(items)), (10, "Convert 6 km to miles"), (11, "13 + 7 = ?"), (12, "3 5 9 17 33 65 129 257")]
+    assert held(spark, docs, items) == {(i, i) for i in range(4)}
+
+
 def test_templates_keep_the_number_of_words(spark, rows):
     from pyspark.sql import functions as F
 
