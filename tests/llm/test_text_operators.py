@@ -177,6 +177,15 @@ def test_terms_that_reveal_an_entity(spark):
     assert text[0] == "   0 at [email] please thanks" and text[10] == rows[3][1]
 
 
+def test_short_names_other_lines_and_other_mentions(spark):
+    text = ["Kim\njo@x.org", "Meier, 12 Main Road, 4111 1111 1111 1111", "zorro al@b.co, bo@c.co", "李明 +49 30 1234567", "+1 202 555 0143\n\nAnn"]
+    rows = [(10 * k + i, t) for k, t in enumerate(text) for i in range(3)] + [(100 + i, f"other main road words {i}") for i in range(60)]
+    got = {r.doc_id: r.spans for r in pii_disclosure.find_personal_data(frame(spark, rows)).collect()}
+    for k, (t, name) in enumerate(zip(text, ["Kim", "Meier", "zorro", "李明", "Ann"], strict=True)):
+        assert f"removed:{t.index(name)}:{t.index(name) + len(name)}" in got[10 * k].split(",")
+    assert got[100] == ""
+
+
 def test_personal_data_runs_without_python(spark):
     plan = pii_disclosure.find_personal_data(frame(spark, [(1, "a@b.cd")]))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
