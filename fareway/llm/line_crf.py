@@ -154,10 +154,18 @@ def fit_crf(sequences: list[tuple[np.ndarray, np.ndarray]], rounds: int = 150, l
     return theta[:-4].reshape(FEATURES, 2), theta[-4:].reshape(2, 2)
 
 
-def training_sequences(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def spread_lines(n: int, sequences: int) -> np.ndarray:
+    """Numbers of the lines of at most `sequences` runs of SAMPLE_LINES lines, from all over a document of `n` lines; all lines if they fit."""
+    runs = -(-n // SAMPLE_LINES)
+    picked = np.arange(runs) if runs <= sequences else np.linspace(0, runs - 1, sequences).round().astype(int)
+    lines = (picked[:, None] * SAMPLE_LINES + np.arange(SAMPLE_LINES)).ravel()
+    return lines[lines < n]
+
+
+def training_sequences(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS, sequences: int = 8) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Features and line states of `sample_docs` labelled documents, picked by a hash of the id.
 
-    The features are made by the tasks; the driver gets numbers of the sample alone.
+    A document gives at most `sequences` sequences of SAMPLE_LINES lines, from all over it. The features are made by the tasks; the driver gets numbers of the sample alone.
     """
     picked = (
         labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull())
@@ -172,8 +180,10 @@ def training_sequences(docs: DataFrame, labels: DataFrame, sample_docs: int = SA
             for doc_id, text, quality in zip(batch["doc_id"], batch["text"], batch["quality"], strict=True):
                 found = Measured(text)
                 out["doc_id"].append(doc_id)
-                out["x"].append(found.features()[: 8 * SAMPLE_LINES].ravel().tolist())
-                out["y"].append([int(quality == 0 or seen) for seen in found.repeat][: 8 * SAMPLE_LINES])
+                states = [int(quality == 0 or seen) for seen in found.repeat]
+                lines = spread_lines(len(states), sequences)
+                out["x"].append(found.features()[lines].ravel().tolist())
+                out["y"].append([states[i] for i in lines])
             yield out
 
         return work

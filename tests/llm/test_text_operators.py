@@ -293,6 +293,13 @@ def test_field_separates_held_out_documents(spark):
     assert {r.doc_id for r in line_crf.keep_documents(docs, model).collect()} == {i for i, kept in verdict.items() if kept}
 
 
+def test_training_sees_the_end_of_long_documents(spark):
+    text = "\n".join(f"line number {i}" for i in range(3000)) + "\nlast words\nlast words"
+    (x, y), = line_crf.training_sequences(frame(spark, [(1, text)]), spark.createDataFrame([(1, 1)], "doc_id long, quality int"))
+    assert len(x) == len(y) <= 8 * line_crf.SAMPLE_LINES and y[-1] == 1 and not y[:-2].any()
+    assert all(line_crf.spread_lines(n, 8).tolist() == list(range(n)) for n in (0, 1, 64, 65, 512))
+
+
 # 6: language model
 def brute_ppm(train, order, text):
     counts = defaultdict(Counter)
