@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from fareway.llm import (
     bestfit_packing, covering_simhash, line_alignment, line_crf, lm_scoring, paragraph_minhash, pii_disclosure, pow2_packing,
-    template_decontamination, viterbi_counts,
+    template_decontamination, toxicity, viterbi_counts, walsh_codes, whitening,
 )
 from fareway.llm.common import documents
 
@@ -57,6 +57,19 @@ def op10_paragraph_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return paragraph_minhash.repeated_paragraphs(documents(spark, sf_dir)).drop("doc")
 
 
+def op11_walsh_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return walsh_codes.compress(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op12_polarised_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op13_kernel_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return toxicity.score_documents(docs, toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+
+
 QUERIES: dict[str, Query] = {
     "op1_line_alignment": op1_line_alignment,
     "op2_pii_disclosure": op2_pii_disclosure,
@@ -68,5 +81,8 @@ QUERIES: dict[str, Query] = {
     "op8_power_packing": op8_power_packing,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_paragraph_minhash": op10_paragraph_minhash,
+    "op11_walsh_codes": op11_walsh_codes,
+    "op12_polarised_whitening": op12_polarised_whitening,
+    "op13_kernel_toxicity": op13_kernel_toxicity,
 }
 ORACLES: dict[str, str] = {}
