@@ -42,10 +42,10 @@ def ring_edges(ring) -> Column:
     )
 
 
-def ring_contains(edges, lon, lat) -> Column:
-    """Ray casting. Edges are half-open in latitude, so a shared border belongs to one side."""
+def ring_crossings(edges, lon, lat) -> Column:
+    """How many edges a ray from the point to the east crosses. Edges are half-open in latitude."""
     lon, lat = col(lon), col(lat)
-    crossings = F.aggregate(
+    return F.aggregate(
         col(edges), F.lit(0),
         lambda n, e: n + F.when(
             ((e["y1"] > lat) != (e["y2"] > lat))
@@ -53,7 +53,11 @@ def ring_contains(edges, lon, lat) -> Column:
             1,
         ).otherwise(0),
     )
-    return crossings % 2 == 1
+
+
+def ring_contains(edges, lon, lat) -> Column:
+    """Ray casting; a shared border belongs to one side."""
+    return ring_crossings(edges, lon, lat) % 2 == 1
 
 
 def ring_area(edges) -> Column:

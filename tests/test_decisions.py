@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -70,10 +71,10 @@ def test_zone_join_takes_the_smallest_and_keeps_outsiders(spark):
     assert one(zones.filter("name = 'east'"), ring_contains(ring_edges("geom"), F.lit(2.0), F.lit(0.5))) is False
 
 
-@pytest.mark.parametrize("broadcast", [zones_module.BROADCAST_CELLS, 0])
+@pytest.mark.parametrize("broadcast", [zones_module.BROADCAST_BYTES, -1])
 def test_zone_join_returns_each_row_once(spark, monkeypatch, broadcast):
     """NULL and repeated ids, rings from a block to a continent, few cells and many."""
-    monkeypatch.setattr(zones_module, "BROADCAST_CELLS", broadcast)
+    monkeypatch.setattr(zones_module, "BROADCAST_BYTES", broadcast)
     zones = spark.createDataFrame(
         [("block", square(10.0, 10.0, 0.01)), ("city", square(9.9, 9.9, 1.0)), ("land", square(0.0, 0.0, 40.0)), ("twin", square(9.9, 9.9, 1.0))],
         "name string, geom array<struct<lon:double,lat:double>>")
@@ -88,6 +89,48 @@ def test_zone_join_returns_each_row_once(spark, monkeypatch, broadcast):
     assert got == sorted(want, key=repr)
 
 
+def ring_holds(ring, lon, lat):
+    """Ray casting over all edges, by numpy."""
+    x1, y1 = np.array(ring).T
+    x2, y2 = np.roll(x1, -1), np.roll(y1, -1)
+    with np.errstate(all="ignore"):
+        hit = ((y1 > lat) != (y2 > lat)) & (lon < (x2 - x1) * (lat - y1) / (y2 - y1) + x1)
+    return bool(hit.sum() % 2)
+
+
+def jagged(n, x, y, size, seed, corners=None):
+    """A ring around (x, y) that goes in and out; with `corners` all vertices lie on a grid, so that many share a latitude."""
+    rng = np.random.default_rng(seed)
+    turn, far = np.linspace(0, 2 * np.pi, n, endpoint=False), size * (0.4 + 0.6 * rng.random(n))
+    ring = np.c_[x + far * np.cos(turn), y + far * np.sin(turn)]
+    return [tuple(map(float, p)) for p in (ring if corners is None else np.round(ring / corners) * corners)]
+
+
+@pytest.mark.parametrize(("vertices", "corners"), [(7, None), (400, None), (400, 0.05), (300, 0.025)])
+def test_clipped_zones_hold_what_whole_rings_hold(spark, vertices, corners):
+    rings = {f"z{k}": jagged(vertices, 0.3 * k, -0.2 * k, 0.7, k, corners) for k in range(3)}
+    rings["crossing"] = [(0.0, 0.0), (1.0, 1.0), (1.0, 0.0), (0.0, 1.0)]
+    zones = spark.createDataFrame(list(rings.items()), "name string, geom array<struct<lon:double,lat:double>>")
+    rng = np.random.default_rng(9)
+    spots = [(float(a), float(b)) for a, b in np.r_[rng.uniform(-1.2, 1.8, (1500, 2)), np.round(rng.uniform(-1, 1.5, (1500, 2)) / 0.025) * 0.025]]
+    points = spark.createDataFrame([(i, *s) for i, s in enumerate(spots)], "id long, lon double, lat double")
+    for name, ring in rings.items():
+        got = zone_join(points, zones.filter(F.col("name") == name), "lon", "lat", "geom", "name", {"zone": "name"}).collect()
+        assert all((r.zone is not None) == ring_holds(ring, *spots[r.id]) for r in got) and len(got) == len(spots)
+
+
+def test_a_ring_of_many_vertices_is_kept_once(spark):
+    """No cell repeats the ring: the index grows with the vertices and the cells, not with their product."""
+    ring = jagged(50_000, 50.0, 20.0, 0.7, 1)
+    zones = spark.createDataFrame([("coast", ring)], "name string, geom array<struct<lon:double,lat:double>>")
+    cells = zone_cells(zones, "geom").agg(F.count("*"), F.sum(F.size("_edges")), F.sum(F.size("_turns"))).first()
+    assert 500 < cells[0] <= 2 * zones_module.ZONE_CELLS and cells[1] < 40 * len(ring) and cells[2] < 40 * len(ring)
+    spots = [(float(a), float(b)) for a, b in np.random.default_rng(2).uniform((49.2, 19.2), (50.8, 20.8), (300, 2))]
+    points = spark.createDataFrame([(i, *s) for i, s in enumerate(spots)], "id long, lon double, lat double")
+    got = zone_join(points, zones, "lon", "lat", "geom", "name", {"zone": "name"}).collect()
+    assert all((r.zone is not None) == ring_holds(ring, *spots[r.id]) for r in got)
+
+
 def test_a_numeric_tie_is_compared_as_a_number(spark):
     left = spark.createDataFrame([("a", T0)], "k string, at timestamp")
     right = spark.createDataFrame([("a", T0, 9), ("a", T0, 10)], "k string, e timestamp, eta int")
