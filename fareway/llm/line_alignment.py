@@ -1,9 +1,10 @@
 """Line dedup by pairwise alignment: the later of two overlapping documents loses the blocks they share.
 
-A line that several documents have belongs to the earliest of them, its owner; a document and the owner of one of its lines are a pair,
-however many documents have the line. So a line gives one pair per document at most and never all pairs of its documents. The
-pair's lines are aligned by patience diff, and aligned blocks are deleted from the document. Equal documents are settled before: all but the
-earliest are deleted whole, so a group of copies is aligned once.
+Documents are paired by evidence: lines that at most RARE documents have, and runs of two or three adjacent lines, however many documents have
+them. A run has an owner of its own, so a block is found whose single lines all stand in other, earlier documents. Each piece of evidence belongs to
+the earliest document with it and pairs that one with each later one: one pair per document and piece at most, never all pairs. A frequent line
+by itself is no evidence. The pair's lines, frequent ones too, are aligned by patience diff, and aligned blocks are deleted from the later document.
+Equal documents are settled before: all but the earliest are deleted whole, so a group of copies is aligned once.
 """
 
 from __future__ import annotations
@@ -18,6 +19,8 @@ from pyspark.sql import functions as F
 from fareway.llm.common import cut_lineage, document_key, keyed_text, map_batches
 
 MIN_WORDS = 5  # words of a block that is deleted
+RARE = 50  # documents that may have a line that is evidence by itself
+RUNS = (2, 3)  # adjacent lines of a run
 
 Entry = tuple[int, int, int, int, int]  # place in the later document, place in the earlier, line, words, line hash
 
@@ -77,13 +80,13 @@ def blocks(aligned: list[Entry], min_words: int) -> list[int]:
 
 
 def _line_table(docs: DataFrame) -> DataFrame:
-    """doc, a digest of all its lines, and its lines that have a word: number, order, words, hash and how often it came before."""
+    """doc, a digest of all its lines, its lines that have a word (number, order, words, hash, how often it came before), and its distinct evidence."""
 
     def make():
         import xxhash
 
         def work(batch):
-            out = {"doc": batch["doc"], "body": [], "lines": []}
+            out = {"doc": batch["doc"], "body": [], "lines": [], "evidence": []}
             for text in batch["text"]:
                 times, lines, body = Counter(), [], xxhash.xxh3_128()
                 for number, line in enumerate(text.encode("utf-8", "surrogatepass").split(b"\n")):
@@ -95,16 +98,21 @@ def _line_table(docs: DataFrame) -> DataFrame:
                         times[h] += 1
                 out["body"].append(body.digest() if lines else None)
                 out["lines"].append(lines)
+                hashes = [x["h"] for x in lines]
+                seen = {(h, 1) for h in hashes}
+                for n in RUNS:  # equal neighbours make no run: a line repeated all over a text is no more telling than once
+                    seen |= {(xxhash.xxh3_128_digest(b"".join(run)), n) for run in zip(*(hashes[k:] for k in range(n)), strict=False) if len(set(run)) > 1}
+                out["evidence"].append([{"h": h, "run": n} for h, n in sorted(seen)])
             yield out
 
         return work
 
-    kind = "doc binary, body binary, lines array<struct<line:int,at:int,words:int,h:binary,again:int>>"
+    kind = "doc binary, body binary, lines array<struct<line:int,at:int,words:int,h:binary,again:int>>, evidence array<struct<h:binary,run:int>>"
     return map_batches(docs.select("doc", "text"), make, kind)
 
 
 def shared_lines(
-    docs: DataFrame, *, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, *, min_words: int = MIN_WORDS, rare: int = RARE, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """doc (the key of `common.document_key`), is_copy, and the 0-based lines to delete, for each document that loses something.
 
@@ -115,28 +123,32 @@ def shared_lines(
     firsts = tables.where("body is not null").groupBy("body").agg(F.min("doc").alias("first"), F.count("*").alias("n"))
     copies = tables.select("doc", "body").join(firsts.where("n > 1"), "body").where("doc <> first").select("doc")
     single = tables.join(firsts.select(F.col("first").alias("doc")), "doc", "left_semi")
+    seen = single.select("doc", F.explode("evidence").alias("x")).select("doc", "x.h", "x.run")
+    # written first, so that the joins below read both sides from plain exchanges and very common evidence can be split
+    owners = cut_lineage(seen.groupBy("h", "run").agg(F.min("doc").alias("owner"), F.count("*").alias("n")).where("n > 1"))
+    telling = owners.where((F.col("n") <= rare) | (F.col("run") > 1)).select("h", "run", "owner")
+    pairs = cut_lineage(seen.join(telling, ["h", "run"]).where("doc <> owner").select("owner", "doc").distinct())
+    # a document goes to its pairs with those lines alone that another document has
     lines = single.select("doc", F.explode("lines").alias("x")).select("doc", "x.line", "x.at", "x.words", "x.h", "x.again")
-    # written first, so that the join below reads both sides from plain exchanges and a very common line can be split
-    owners = cut_lineage(lines.groupBy("h", "again").agg(F.min("doc").alias("owner"), F.count("*").alias("n")).where("n > 1"))
-    shared = cut_lineage(lines.join(owners, ["h", "again"]))
-    pairs = shared.where("doc <> owner").select("owner", "doc").distinct()
-    theirs = shared.select(F.col("doc").alias("owner"), "h", "again", F.col("at").alias("owner_at"))
-    entries = pairs.join(shared.drop("owner", "n"), "doc").join(theirs, ["owner", "h", "again"])
-    entry = F.struct("at", "owner_at", "line", "words", F.xxhash64("h").alias("h"))
+    shared = lines.join(owners.where("run = 1").select("h"), "h")
+    entry = F.struct("at", "line", "words", F.xxhash64("h").alias("h"), "again")
+    shared = cut_lineage(shared.groupBy("doc").agg(F.collect_list(entry).alias("own")))
+    met = pairs.join(shared, "doc").join(shared.select(F.col("doc").alias("owner"), F.col("own").alias("theirs")), "owner")
 
     def make():
         def work(batch):
             out = {"doc": [], "line": []}
-            for doc, found in zip(batch["doc"], batch["entries"], strict=True):
-                gone = blocks(patience([tuple(e.values()) for e in found]), min_words)
+            for doc, own, theirs in zip(batch["doc"], batch["own"], batch["theirs"], strict=True):
+                places = {(x["h"], x["again"]): x["at"] for x in theirs}
+                found = [(x["at"], places[key], x["line"], x["words"], x["h"]) for x in own if (key := (x["h"], x["again"])) in places]
+                gone = blocks(patience(found), min_words)
                 out["doc"] += [doc] * len(gone)
                 out["line"] += gone
             yield out
 
         return work
 
-    both = entries.groupBy("owner", "doc").agg(F.collect_list(entry).alias("entries")).select("doc", "entries")
-    gone = map_batches(both, make, "doc binary, line int")
+    gone = map_batches(met.select("doc", "own", "theirs"), make, "doc binary, line int", rows=64)
     marks = gone.withColumn("is_copy", F.lit(False)).unionByName(copies.select("doc", F.lit(None).cast("int").alias("line"), F.lit(True).alias("is_copy")))
     return marks.groupBy("doc").agg(F.max("is_copy").alias("is_copy"), F.collect_set("line").alias("lines"))
 

@@ -93,6 +93,69 @@ def test_patience_prefers_unique_lines_and_fills_gaps():
     assert line_alignment.blocks(line_alignment.patience(entries), 5) == [0, 1, 2, 3]
 
 
+def kept_lines(spark, rows, **limits):
+    return {r.doc_id: r.text for r in line_alignment.dedup_lines(frame(spark, rows), **limits).collect()}
+
+
+def test_a_block_of_lines_that_all_stand_elsewhere_is_found(spark):
+    """The owners of the single lines are other documents; only the run of lines ties 4 to 5."""
+    rows = [(1, "alpha beta\nown text of one"), (2, "gamma delta\nown text of two"), (3, "epsilon zeta\nown text of three")]
+    block = "alpha beta\ngamma delta\nepsilon zeta"
+    got = kept_lines(spark, [*rows, (4, f"start four\n{block}"), (5, f"start five\n{block}\nend five")])
+    assert got[4] == f"start four\n{block}" and got[5] == "start five\nend five"
+    rows = [(1, "alpha beta gamma\nown text of one"), (2, "delta epsilon zeta\nown text of two")]
+    block = "alpha beta gamma\ndelta epsilon zeta"
+    got = kept_lines(spark, [*rows, (4, f"start four\n{block}"), (5, f"start five\n{block}\nend five")])
+    assert got[5] == "start five\nend five"
+
+
+def test_a_block_of_many_documents_goes_and_a_frequent_line_with_it(spark):
+    """The line alone would tie no two documents; within a pair that the block ties, it is aligned like any other."""
+    line, block = "the common header of many documents", "first line of a block\nsecond line of a block"
+    rows = [(i, f"{prose(i, 15, 400)}\n{line}\n{prose(1000 + i, 15, 400)}\n{block}") for i in range(70)]
+    got = kept_lines(spark, rows)
+    assert got[0] == rows[0][1] and all(got[i] == f"{prose(i, 15, 400)}\n{prose(1000 + i, 15, 400)}" for i in range(1, 70))
+
+
+@pytest.mark.parametrize("rare", [3, 50])
+def test_line_blocks_equal_all_pairs(spark, rare):
+    """Every pair of documents with common evidence, by plain loops over all pairs; the earliest with a piece of evidence owns it."""
+    rnd = random.Random(rare)
+    pool = [" ".join(f"w{rnd.randrange(60)}" for _ in range(rnd.randint(1, 6))) for _ in range(40)]
+    docs = []
+    for i in range(60):
+        text = [rnd.choice(pool) if rnd.random() < 0.5 else f"own {i} {k} words here" for k in range(rnd.randint(0, 12))]
+        if docs and rnd.random() < 0.6:
+            other = rnd.choice(docs)[1].split("\n")
+            at, n = rnd.randrange(len(other)), rnd.randint(1, 5)
+            text[rnd.randint(0, len(text)) : 0] = other[at : at + n]
+        docs.append((i, "\n".join(text)))
+    lines = {i: [(n, x) for n, x in enumerate(t.split("\n")) if x.strip()] for i, t in docs}
+    evidence = {i: {(x,) for _, x in own} | {tuple(x for _, x in own[k : k + n]) for n in (2, 3) for k in range(len(own) - n + 1) if len({x for _, x in own[k : k + n]}) > 1} for i, own in lines.items()}
+    holders = defaultdict(list)
+    for i, found in evidence.items():
+        for e in found:
+            holders[e].append(i)
+    want, firsts = {}, {}
+    for i, text in docs:
+        body = tuple(x.strip() for _, x in lines[i])
+        if body in firsts and body:
+            want[i] = ""
+            continue
+        firsts[body] = i
+    live = [i for i, _ in docs if i not in want]
+    for i in live:
+        gone = set()
+        for j in live:
+            if j < i and any(min(h for h in holders[e] if h in live) == j and (len(e) > 1 or sum(h in live for h in holders[e]) <= rare) for e in evidence[i] & evidence[j]):
+                numbered = lambda own: {(x, sum(y == x for _, y in own[:k])): (k, n) for k, (n, x) in enumerate(own)}
+                a, b = numbered(lines[i]), numbered(lines[j])
+                entries = [(a[k][0], b[k][0], a[k][1], len(k[0].split()), hash(k[0])) for k in a if k in b]
+                gone |= set(line_alignment.blocks(line_alignment.patience(entries), line_alignment.MIN_WORDS))
+        want[i] = "\n".join(x for n, x in enumerate(dict(docs)[i].split("\n")) if n not in gone)
+    assert kept_lines(spark, docs, rare=rare) == want
+
+
 def test_later_document_loses_shared_blocks(spark):
     a, b, c, d = (prose(s, 12) for s in range(4))
     common = "the common header of many documents"
