@@ -1,10 +1,11 @@
 """Line dedup by pairwise alignment: the later of two overlapping documents loses the blocks they share.
 
-Documents are paired by evidence: lines that at most RARE documents have, and runs of two or three adjacent lines, however many documents have
-them. A run has an owner of its own, so a block is found whose single lines all stand in other, earlier documents. Each piece of evidence belongs to
-the earliest document with it and pairs that one with each later one: one pair per document and piece at most, never all pairs. A frequent line
-by itself is no evidence. The pair's lines, frequent ones too, are aligned by patience diff, and aligned blocks are deleted from the later document.
-Equal documents are settled before: all but the earliest are deleted whole, so a group of copies is aligned once.
+Documents are paired by evidence: lines that at most RARE documents have, and runs of adjacent lines, however many documents have them; a line or run
+needs as many words as a block. Every block holds such a run, and the run has an owner of its own, so a block is found whose single lines
+all stand in other, earlier documents. Each piece of evidence belongs to the earliest document with it and pairs that one with each
+later one: one pair per document and piece at most, never all pairs. A frequent line by itself is no evidence. The pair's lines, frequent ones
+too, are aligned by patience diff, and aligned blocks are deleted from the later document. Equal documents are settled before: all but
+the earliest are deleted whole, so a group of copies is aligned once.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from fareway.llm.common import cut_lineage, document_key, keyed_text, map_batche
 
 MIN_WORDS = 5  # words of a block that is deleted
 RARE = 50  # documents that may have a line that is evidence by itself
-RUNS = (2, 3)  # adjacent lines of a run
+SHORT, LINE, RUN = 0, 1, 2  # kinds of evidence: a line of too few words is none, it is only counted
 
 Entry = tuple[int, int, int, int, int]  # place in the later document, place in the earlier, line, words, line hash
 
@@ -79,14 +80,28 @@ def blocks(aligned: list[Entry], min_words: int) -> list[int]:
     return out
 
 
-def _line_table(docs: DataFrame) -> DataFrame:
-    """doc, a digest of all its lines, its lines that have a word (number, order, words, hash, how often it came before), and its distinct evidence."""
+def runs(words: list[int], min_words: int) -> set[tuple[int, int]]:
+    """First and last line of the runs that are evidence: from each line on, and up to each line, the shortest of two lines and more with enough words."""
+    out, n = set(), len(words)
+    for i in range(n):
+        for step, end in ((1, n - 1), (-1, 0)):
+            j, total = i, words[i]
+            while j != end and (j == i or total < min_words):
+                j += step
+                total += words[j]
+            if j != i and total >= min_words:
+                out.add((min(i, j), max(i, j)))
+    return out
+
+
+def _line_table(docs: DataFrame, min_words: int) -> DataFrame:
+    """doc, a digest of all its lines, its lines that have a word (number, order, words, hash, how often it came before), and its distinct runs."""
 
     def make():
         import xxhash
 
         def work(batch):
-            out = {"doc": batch["doc"], "body": [], "lines": [], "evidence": []}
+            out = {"doc": batch["doc"], "body": [], "lines": [], "runs": []}
             for text in batch["text"]:
                 times, lines, body = Counter(), [], xxhash.xxh3_128()
                 for number, line in enumerate(text.encode("utf-8", "surrogatepass").split(b"\n")):
@@ -99,15 +114,14 @@ def _line_table(docs: DataFrame) -> DataFrame:
                 out["body"].append(body.digest() if lines else None)
                 out["lines"].append(lines)
                 hashes = [x["h"] for x in lines]
-                seen = {(h, 1) for h in hashes}
-                for n in RUNS:  # equal neighbours make no run: a line repeated all over a text is no more telling than once
-                    seen |= {(xxhash.xxh3_128_digest(b"".join(run)), n) for run in zip(*(hashes[k:] for k in range(n)), strict=False) if len(set(run)) > 1}
-                out["evidence"].append([{"h": h, "run": n} for h, n in sorted(seen)])
+                # equal neighbours make no run: a line repeated all over a text is no more telling than once
+                ends = [(i, j) for i, j in runs([x["words"] for x in lines], min_words) if len(set(hashes[i : j + 1])) > 1]
+                out["runs"].append(sorted({xxhash.xxh3_128_digest(b"".join(hashes[i : j + 1])) for i, j in ends}))
             yield out
 
         return work
 
-    kind = "doc binary, body binary, lines array<struct<line:int,at:int,words:int,h:binary,again:int>>, evidence array<struct<h:binary,run:int>>"
+    kind = "doc binary, body binary, lines array<struct<line:int,at:int,words:int,h:binary,again:int>>, runs array<binary>"
     return map_batches(docs.select("doc", "text"), make, kind)
 
 
@@ -119,18 +133,21 @@ def shared_lines(
     Rows alike in id and text are one document here. Lines are compared without white space at their ends; lines without words
     take no part. NULL and empty texts lose nothing. An empty table gives an empty result.
     """
-    tables = cut_lineage(_line_table(keyed_text(docs, id_col, text_col)).dropDuplicates(["doc"]))
+    tables = cut_lineage(_line_table(keyed_text(docs, id_col, text_col), min_words).dropDuplicates(["doc"]))
     firsts = tables.where("body is not null").groupBy("body").agg(F.min("doc").alias("first"), F.count("*").alias("n"))
     copies = tables.select("doc", "body").join(firsts.where("n > 1"), "body").where("doc <> first").select("doc")
     single = tables.join(firsts.select(F.col("first").alias("doc")), "doc", "left_semi")
-    seen = single.select("doc", F.explode("evidence").alias("x")).select("doc", "x.h", "x.run")
+    once = F.filter("lines", lambda x: x["again"] == 0)
+    one_line = F.transform(once, lambda x: F.struct(x["h"].alias("h"), F.when(x["words"] >= min_words, LINE).otherwise(SHORT).alias("kind")))
+    more_lines = F.transform("runs", lambda h: F.struct(h.alias("h"), F.lit(RUN).alias("kind")))
+    seen = single.select("doc", F.explode(F.concat(one_line, more_lines)).alias("x")).select("doc", "x.h", "x.kind")
     # written first, so that the joins below read both sides from plain exchanges and very common evidence can be split
-    owners = cut_lineage(seen.groupBy("h", "run").agg(F.min("doc").alias("owner"), F.count("*").alias("n")).where("n > 1"))
-    telling = owners.where((F.col("n") <= rare) | (F.col("run") > 1)).select("h", "run", "owner")
-    pairs = cut_lineage(seen.join(telling, ["h", "run"]).where("doc <> owner").select("owner", "doc").distinct())
+    owners = cut_lineage(seen.groupBy("h", "kind").agg(F.min("doc").alias("owner"), F.count("*").alias("n")).where("n > 1"))
+    telling = owners.where((F.col("kind") == RUN) | ((F.col("kind") == LINE) & (F.col("n") <= rare))).select("h", "kind", "owner")
+    pairs = cut_lineage(seen.where(F.col("kind") != SHORT).join(telling, ["h", "kind"]).where("doc <> owner").select("owner", "doc").distinct())
     # a document goes to its pairs with those lines alone that another document has
     lines = single.select("doc", F.explode("lines").alias("x")).select("doc", "x.line", "x.at", "x.words", "x.h", "x.again")
-    shared = lines.join(owners.where("run = 1").select("h"), "h")
+    shared = lines.join(owners.where(F.col("kind") != RUN).select("h"), "h")
     entry = F.struct("at", "line", "words", F.xxhash64("h").alias("h"), "again")
     shared = cut_lineage(shared.groupBy("doc").agg(F.collect_list(entry).alias("own")))
     met = pairs.join(shared, "doc").join(shared.select(F.col("doc").alias("owner"), F.col("own").alias("theirs")), "owner")

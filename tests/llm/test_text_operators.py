@@ -131,7 +131,13 @@ def test_line_blocks_equal_all_pairs(spark, rare):
             text[rnd.randint(0, len(text)) : 0] = other[at : at + n]
         docs.append((i, "\n".join(text)))
     lines = {i: [(n, x) for n, x in enumerate(t.split("\n")) if x.strip()] for i, t in docs}
-    evidence = {i: {(x,) for _, x in own} | {tuple(x for _, x in own[k : k + n]) for n in (2, 3) for k in range(len(own) - n + 1) if len({x for _, x in own[k : k + n]}) > 1} for i, own in lines.items()}
+    evidence = {}
+    for i, own in lines.items():
+        text, size = [x for _, x in own], [len(x.split()) for _, x in own]
+        runs = [(a, b) for a in range(len(own)) for b in range(a, len(own)) if sum(size[a : b + 1]) >= 5]
+        # single lines, and runs that no run of two lines and more within them with the same first or last line makes needless
+        least = {(a, b) for a, b in runs if a == b} | {(a, b) for a, b in runs if b > a and (b - a == 1 or (a, b - 1) not in runs or (a + 1, b) not in runs)}
+        evidence[i] = {tuple(text[a : b + 1]) for a, b in least if a == b or len(set(text[a : b + 1])) > 1}
     holders = defaultdict(list)
     for i, found in evidence.items():
         for e in found:
