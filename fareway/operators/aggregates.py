@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.scalars import col, safe_ratio
+from ..session import cut_lineage
 from .ordered import Running, Split, running
 from .skew import find_hot, lookup_join
 
@@ -67,14 +68,14 @@ def histogram_of_counts(df: DataFrame, key: str, counted: Column, value_out: str
 def exact_percentile(df: DataFrame, by: str, value: str, p: float, out: str, split: Split = Split()) -> DataFrame:
     """Interpolated percentile per key, exact, without holding a key's values in one task.
 
-    Equal values are counted first; a running count over the sorted values then marks the one or
-    two values that surround the wanted position. NULL values are left out.
+    Equal values are counted first, in the only pass over `df`, and the counts are written once; totals and hot keys come from them. A
+    running count over the sorted values then marks the one or two values that surround the wanted position. NULL values and NULL keys are left out.
     """
     counts = df.filter(F.col(value).isNotNull()).groupBy(by, value).agg(F.count(F.lit(1)).alias("_n"))
-    # the rows bound the number of values from above, so the hot keys of `df` are enough
-    hot = find_hot(df.filter(F.col(value).isNotNull()), by, split.min_rows)
+    counts = cut_lineage(counts)
+    hot = find_hot(counts, by, split.min_rows)  # a key is as heavy as it has different values
     placed = running(counts, by, [value], Running(sums={"_upto": F.col("_n")}), split=split, hot=hot)
-    totals = df.filter(F.col(value).isNotNull()).groupBy(by).agg(F.count(F.lit(1)).alias("_all"))
+    totals = counts.groupBy(by).agg(F.sum("_n").alias("_all"))
     near = lookup_join(placed, totals, by, "inner", hot, spread=[by, value])
     at = F.lit(p) * (F.col("_all") - 1)
     holds = lambda pos: (F.col("_upto") - F.col("_n") <= pos) & (pos < F.col("_upto"))

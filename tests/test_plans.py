@@ -5,6 +5,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from fareway.functions.time import filter_local_day
+from fareway.operators.aggregates import exact_percentile
 from fareway.operators.dedupe import keep_first, keep_max, minmax_score
 from fareway.operators.ordered import Running, running
 from fareway.operators.zones import zone_join_many
@@ -71,3 +72,20 @@ def test_day_partitions_are_pruned(spark, data, tmp_path):
     assert len(pruned.select(F.input_file_name()).distinct().collect()) <= 3
     scan = plan(pruned)
     assert "PartitionFilters: [isnotnull(day" in scan and ">= 2024-01-09" in scan
+
+
+def test_a_percentile_reads_its_input_once(spark, tmp_path):
+    rows = [(f"k{i % 3}" if i % 7 else None, float(i * i % 11) if i % 5 else None) for i in range(200)]
+    spark.createDataFrame(rows, "k string, v double").write.parquet(f"{tmp_path}/values")
+    df, reads = spark.read.parquet(f"{tmp_path}/values"), spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def seen(v):
+        reads.add(1)
+        return v
+
+    out = exact_percentile(df.withColumn("v", seen("v")), "k", "v", 0.7, "p")
+    assert "FileScan" not in plan(out)  # the counts are written, nothing else goes back to the input
+    want = {r.k: r.p for r in df.filter("v is not null and k is not null").groupBy("k").agg(F.expr("percentile(v, 0.7)").alias("p")).collect()}
+    got = {r.k: r.p for r in out.collect()}
+    assert set(got) == set(want) and all(abs(got[k] - want[k]) < 1e-9 for k in want) and reads.value <= 2 * len(rows)
