@@ -134,5 +134,8 @@ def near_duplicates(
 def keep_first(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The first document of each group with all its columns: the least id, then the least text hash; repeated rows go."""
     groups = near_duplicates(docs, id_col=id_col, text_col=text_col, **options)
-    first = groups.select(F.col("first_doc").alias("__doc")).distinct()
-    return docs.withColumn("__doc", document_key(docs[id_col], docs[text_col])).join(first, "__doc", "left_semi").dropDuplicates(["__doc"]).drop("__doc")
+    mark = "doc_key"
+    while mark in docs.columns:  # whatever the columns are called, none is lost
+        mark += "_"
+    first = groups.select(F.col("first_doc").alias(mark)).distinct()
+    return docs.withColumn(mark, document_key(docs[id_col], docs[text_col])).join(first, mark, "left_semi").dropDuplicates([mark]).drop(mark)

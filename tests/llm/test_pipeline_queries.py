@@ -69,3 +69,24 @@ def test_clean_documents_pass_the_quality_stage(spark, data):
     good = [r.doc_id for r in docs.collect() if labels.get(r.doc_id) == 1 and len(r.text.split()) >= 20]
     bad = [i for i, q in labels.items() if q == 0]
     assert sum(i in kept for i in good) >= 0.95 * len(good) and sum(i in kept for i in bad) <= 0.1 * len(bad)
+
+
+ODD = [(None, None), (None, ""), (1, None), (2, ""), (3, " \n\t"), (4, "so it goes " * 30), (4, "so it goes " * 30), (5, "w" * 60_000), (6, "a text of a few plain words. " * 3_000)]
+CLASHING = "doc_id long, text string, lang string, source string, n_chars long, doc string, __doc string, doc_key string, h string, lines string, k1 long, fp long, owner string"
+
+
+@pytest.mark.parametrize("stage", range(len(corpus_pipeline.STAGES)))
+def test_stages_take_odd_rows_and_no_rows(spark, data, stage):
+    """NULL ids and texts, empty and very long texts, repeated rows, clashing names, and a table without rows."""
+    name, run = corpus_pipeline.STAGES[stage]
+    frame = spark.createDataFrame([(i, t, "en", "s", len(t or ""), "d", "dd", "dk", "h", "l", 1, 2, "o") for i, t in ODD], CLASHING)
+    for docs, rows in ((frame, len(ODD)), (frame.limit(0), 0)):
+        out = run(spark, docs, data)
+        got = out.collect()
+        if name == "packing":
+            assert {r.doc_id for r in got} == {i for i, _ in ODD[:rows]}
+        else:
+            assert out.columns == docs.columns and len(got) <= rows
+            assert all((r["doc"], r["__doc"], r["doc_key"], r["h"], r["k1"], r["fp"], r["owner"]) == ("d", "dd", "dk", "h", 1, 2, "o") for r in got)
+            if name == "near_dedup" and rows:  # all texts without words are alike; so are the two rows of document 4
+                assert sorted(r.doc_id for r in got) == [1, 4, 5, 6]
