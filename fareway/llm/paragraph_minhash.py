@@ -5,15 +5,20 @@ MinHash values meet in a bucket: with 16 bands of 4, a pair at Jaccard 0.8 meets
 sets of five-word shingles decides; a bucket of more than `bucket` texts is compared in blocks, each pair of blocks by another
 task, so no bucket is gathered whole. Each bucket yields one link per text that it joins, never all pairs. Components of the links
 are clusters; the earliest paragraph of a cluster stays.
+
+A paragraph that is wrapped elsewhere, or lies inside other text, is no line. For these, `repeated_passages` cuts the words of a document, whatever
+their lines, into windows that the words themselves choose: of each SPACING successive windows of WINDOW words the one with the least
+hash. Two documents that share SPACING + WINDOW - 1 = 50 words choose a window in common, and no window is shared below WINDOW words. A
+window is too short to hold an edit at Jaccard 0.8, so equal windows are one cluster; what an edit splits is found on either side of it.
 """
 
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fareway.llm.common import cut_lineage, keyed_text, map_batches
+from fareway.llm.common import cut_lineage, id_text, keyed_text, map_batches
 from fareway.llm.components import components
 
 BANDS, ROWS = 16, 4
@@ -22,6 +27,8 @@ WIDTH = 5
 SIMILARITY = 0.8
 BUCKET = 2048
 BROADCAST_TEXTS = 1_000_000
+WINDOW, SPACING = 32, 19
+BROADCAST_WINDOWS = 2_000_000
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -187,3 +194,84 @@ def _shingle_sets(keyed: DataFrame, places: DataFrame, wanted: DataFrame, min_wo
     if not few:
         made = made.join(wanted, "p", "left_semi")
     return cut_lineage(made.dropDuplicates(["p"]))
+
+
+class _WordHashes(dict):
+    """64-bit hashes of words, kept for the words seen of late."""
+
+    def __missing__(self, word: bytes) -> int:
+        import xxhash
+
+        if len(self) >= 200_000:
+            self.clear()
+        value = self[word] = xxhash.xxh64_intdigest(word)
+        return value
+
+
+def chosen_windows(words: np.ndarray, window: int = WINDOW, spacing: int = SPACING) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(place, 64-bit hash, 32-bit hash) of the windows that the word hashes choose; the first of equal hashes counts as the least."""
+    n = len(words) - window + 1
+    if n < 1:
+        return np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int32)
+    found = []
+    for salt, base in ((np.uint64(0), GOLDEN), (np.uint64(0x51), np.uint64(0xD6E8FEB86659FD93))):
+        # sum of word * base^place, by differences of running sums; base^-place makes it independent of the place
+        powers = np.cumprod(np.full(len(words), base, np.uint64))
+        inverse = np.cumprod(np.full(n, np.uint64(pow(int(base), -1, 2**64)), np.uint64))
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_mix(words + salt) * powers)])
+        found.append(_mix((sums[window:] - sums[:-window]) * inverse))
+    first, second = found
+    width = min(spacing, n)
+    places = np.unique(np.lib.stride_tricks.sliding_window_view(first, width).argmin(axis=1) + np.arange(n - width + 1))
+    return places.astype(np.int32), first[places].view(np.int64), (second[places] >> np.uint64(32)).astype(np.uint32).view(np.int32)
+
+
+def repeated_passages(
+    docs: DataFrame, *, window: int = WINDOW, spacing: int = SPACING, broadcast_windows: int = BROADCAST_WINDOWS,
+    id_col: str = "doc_id", text_col: str = "text",
+) -> DataFrame:
+    """One row per passage to remove: doc_id, word (the number of its first word), n_words, and the place of the copy of its first window that stays.
+
+    Every run of `window + spacing - 1` words that an earlier place holds too, wrapped or embedded in any way, yields a passage of at least `window` of
+    its words; runs of less than `window` words yield none. Words are parted by white space and compared with A-Z in lower case. The
+    earliest holder of a window, by id (NULL last), text and place, keeps it. A passage that a document repeats goes too, less what overlaps
+    the copy that stays. Rows alike in id and text are one document. NULL, empty and short texts have no passages. Other columns are
+    ignored; an empty table gives an empty result.
+    """
+    def find():
+        hashes = _WordHashes()
+
+        def work(batch):
+            out = {"doc_id": [], "x": [], "h": [], "g": [], "at": []}
+            for doc_id, x, text in zip(batch["doc_id"], batch["x"], batch["text"], strict=True):
+                words = text.encode("utf-8", "surrogatepass").lower().split()
+                if len(words) >= window:
+                    at, h, g = chosen_windows(np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words)), window, spacing)
+                    for name, value in zip(out, (doc_id, x, h, g, at), strict=True):
+                        out[name].append(value)
+            yield out
+
+        return work
+
+    texts = id_text(docs, id_col, text_col).select("doc_id", F.xxhash64("text").alias("x"), "text")
+    chosen = cut_lineage(map_batches(texts, find, "doc_id long, x long, h array<long>, g array<int>, at array<int>"))
+    shared = cut_lineage(chosen.select(F.explode("h").alias("h")).groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"))
+    if shared.count() <= broadcast_windows:
+        shared = F.broadcast(shared)
+    places = chosen.select("doc_id", "x", F.explode(F.arrays_zip("h", "g", "at")).alias("w")).select("doc_id", "x", "w.h", "w.g", "w.at").join(shared, "h", "left_semi")
+    kept = places.groupBy("h", "g").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "x", "at")).alias("kept"))
+    later = places.join(kept, ["h", "g"])
+    same = F.col("doc_id").eqNullSafe(F.col("kept.doc_id")) & (F.col("x") == F.col("kept.x"))
+    begin = F.when(same, F.greatest("at", F.col("kept.at") + window)).otherwise(F.col("at"))
+    later = later.select(
+        "doc_id", "x", begin.alias("word"), (F.col("at") + window).alias("end"), F.col("kept.doc_id").alias("kept_doc_id"),
+        (F.col("kept.at") + F.col("word") - F.col("at")).alias("kept_word"),
+    ).where("word < end").dropDuplicates(["doc_id", "x", "end"])
+    line = Window.partitionBy("doc_id", "x").orderBy("end")
+    # windows of one length come in the order of their ends; one that begins behind all ends before it opens a passage
+    opened = later.withColumn("new", F.coalesce((F.col("word") > F.lag("end").over(line)).cast("int"), F.lit(1)))
+    numbered = opened.withColumn("passage", F.sum("new").over(line))
+    return numbered.groupBy("doc_id", "x", "passage").agg(
+        F.min("word").alias("word"), (F.max("end") - F.min("word")).alias("n_words"),
+        F.min(F.struct("word", "end", "kept_doc_id", "kept_word")).alias("first"),
+    ).select("doc_id", "word", "n_words", "first.kept_doc_id", "first.kept_word")

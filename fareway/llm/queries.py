@@ -54,7 +54,11 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_paragraph_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return paragraph_minhash.repeated_paragraphs(documents(spark, sf_dir)).drop("doc")
+    """Repeated paragraphs by line, and repeated passages by word, whatever their lines."""
+    docs = documents(spark, sf_dir)
+    lines = paragraph_minhash.repeated_paragraphs(docs).drop("doc")
+    passages = paragraph_minhash.repeated_passages(docs)
+    return lines.unionByName(passages, allowMissingColumns=True)
 
 
 def op11_walsh_codes(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -67,6 +67,7 @@ EMPTY = {
     "op6": lambda d: lm_scoring.score_documents(d), "op7": lambda d: covering_simhash.near_duplicates(d),
     "op7 first": lambda d: covering_simhash.keep_first(d), "op8": lambda d: pow2_packing.pack_powers(d),
     "op9": lambda d: bestfit_packing.pack_best_fit(d), "op10": lambda d: paragraph_minhash.repeated_paragraphs(d),
+    "op10 passages": lambda d: paragraph_minhash.repeated_passages(d),
 }
 
 
@@ -551,3 +552,53 @@ def test_paragraphs_against_all_pairs(spark, limits):
     )
     got = paragraph_minhash.repeated_paragraphs(frame(spark, rows), **limits).collect()
     assert sorted(((r.doc_id, r.line, r.kept_doc_id, r.kept_line) for r in got), key=repr) == want
+
+
+@pytest.mark.parametrize("limits", [{}, {"broadcast_windows": 0}])
+def test_passages_against_all_runs(spark, limits):
+    """Every run of 50 words that an earlier place holds is met, nothing under 32 words is, and what goes is in the copy that stays."""
+    rnd, rows = random.Random(4), []
+    wrap = lambda words: "".join(w + rnd.choice((" ", " ", "  ", "\n", "\n\n", "\t")) for w in words)
+    pool = [prose(900 + i, rnd.randint(45, 120), 10**6).split() for i in range(6)]
+    for i in range(70):
+        words = prose(i, rnd.randint(0, 80), 10**6).split()
+        for _ in range(rnd.choice((0, 1, 1, 2))):
+            at, run = rnd.randint(0, len(words)), rnd.choice(pool)
+            cut = rnd.choice((0, 0, rnd.randint(0, len(run) - 20)))
+            words[at:at] = [w.upper() for w in run[cut:]] if rnd.random() < 0.2 else run[cut:]
+        rows.append((i, wrap(words)))
+    rows += [(None, wrap(pool[0] + pool[1])), (80, None), (81, ""), (82, "ha " * 200), (83, " ".join(pool[2] + ["between"] + pool[2])), (84, "x " * 31), (85, "x " * 31), rows[3]]
+    words_of = {i: (t or "").lower().split() for i, t in rows}
+    order = sorted(words_of, key=lambda i: (i is None, i or 0))
+    first = {n: {} for n in (32, 50)}
+    for n, held in first.items():
+        for i in order:
+            for k in range(len(words_of[i]) - n + 1):
+                held.setdefault(tuple(words_of[i][k : k + n]), (i, k))
+    gone = defaultdict(set)
+    got = paragraph_minhash.repeated_passages(frame(spark, rows), **limits).collect()
+    for r in got:
+        span = words_of[r.doc_id][r.word : r.word + r.n_words]
+        assert len(span) == r.n_words and (r.n_words >= 32 or r.doc_id == r.kept_doc_id)
+        assert words_of[r.kept_doc_id][r.kept_word] == span[0] and (order.index(r.kept_doc_id), r.kept_word) < (order.index(r.doc_id), r.word)
+        gone[r.doc_id] |= set(range(r.word, r.word + r.n_words))
+    assert sum(r.n_words for r in got) == sum(map(len, gone.values()))
+    for i in order:
+        old = {n: [first[n][tuple(words_of[i][k : k + n])] != (i, k) for k in range(len(words_of[i]) - n + 1)] for n in (32, 50)}
+        allowed = {x for k, is_old in enumerate(old[32]) if is_old for x in range(k, k + 32)}
+        assert gone[i] <= allowed
+        if i != 82:  # a text that overlaps itself keeps its first window
+            assert all(len(gone[i] & set(range(k, k + 50))) >= 32 for k, is_old in enumerate(old[50]) if is_old)
+    assert gone[82] >= set(range(32, 182)) and not gone[84] and not gone[85]
+
+
+def test_windows_do_not_depend_on_what_is_around():
+    rnd = np.random.default_rng(3)
+    for _ in range(50):
+        run = rnd.integers(0, 2**63, 50).astype(np.uint64)
+        chosen = []
+        for before, after in rnd.integers(0, 90, (2, 2)):
+            at, h, g = paragraph_minhash.chosen_windows(np.concatenate([rnd.integers(0, 2**63, before).astype(np.uint64), run, rnd.integers(0, 2**63, after).astype(np.uint64)]))
+            chosen.append({(x - before, y, z) for x, y, z in zip(at.tolist(), h.tolist(), g.tolist()) if before <= x <= before + 18})
+            assert all(b - a <= 19 for a, b in zip(at.tolist(), at.tolist()[1:]))
+        assert chosen[0] & chosen[1]
