@@ -14,6 +14,8 @@ window is too short to hold an edit at Jaccard 0.8, so equal windows are one clu
 
 from __future__ import annotations
 
+from functools import cache
+
 import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -28,6 +30,7 @@ SIMILARITY = 0.8
 BUCKET = 2048
 BROADCAST_TEXTS = 1_000_000
 WINDOW, SPACING = 32, 19
+BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 BROADCAST_WINDOWS = 2_000_000
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
@@ -196,57 +199,65 @@ def _shingle_sets(keyed: DataFrame, places: DataFrame, wanted: DataFrame, min_wo
     return cut_lineage(made.dropDuplicates(["p"]))
 
 
-class _WordHashes(dict):
-    """64-bit hashes of words, kept for the words seen of late."""
+def _slide(pick: np.ufunc, x: np.ndarray, width: int) -> np.ndarray:
+    """`pick` over each run of `width` neighbours, from runs of half the length."""
+    have = 1
+    while have < width:
+        step = min(have, width - have)
+        x, have = pick(x[:-step], x[step:]), have + step
+    return x
 
-    def __missing__(self, word: bytes) -> int:
-        import xxhash
 
-        if len(self) >= 200_000:
-            self.clear()
-        value = self[word] = xxhash.xxh64_intdigest(word)
-        return value
+@cache
+def _powers(base: int, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """base^1, base^2, ... and their inverses modulo 2^64."""
+    return tuple(np.cumprod(np.full(size, x, np.uint64)) for x in (base, pow(base, -1, 2**64)))
 
 
 def chosen_windows(words: np.ndarray, window: int = WINDOW, spacing: int = SPACING) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(place, 64-bit hash, 32-bit hash) of the windows that the word hashes choose; the first of equal hashes counts as the least."""
+    """(place, 64-bit hash, 32-bit hash) of the windows that the word hashes choose; of equal least hashes all are chosen."""
     n = len(words) - window + 1
     if n < 1:
         return np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int32)
-    found = []
-    for salt, base in ((np.uint64(0), GOLDEN), (np.uint64(0x51), np.uint64(0xD6E8FEB86659FD93))):
+    mixed = _mix(words)
+
+    def hashes(base: int) -> np.ndarray:
         # sum of word * base^place, by differences of running sums; base^-place makes it independent of the place
-        powers = np.cumprod(np.full(len(words), base, np.uint64))
-        inverse = np.cumprod(np.full(n, np.uint64(pow(int(base), -1, 2**64)), np.uint64))
-        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_mix(words + salt) * powers)])
-        found.append(_mix((sums[window:] - sums[:-window]) * inverse))
-    first, second = found
-    width = min(spacing, n)
-    places = np.unique(np.lib.stride_tricks.sliding_window_view(first, width).argmin(axis=1) + np.arange(n - width + 1))
-    return places.astype(np.int32), first[places].view(np.int64), (second[places] >> np.uint64(32)).astype(np.uint32).view(np.int32)
+        powers, inverse = _powers(base, 1 << len(words).bit_length())
+        sums = np.zeros(len(words) + 1, np.uint64)
+        np.cumsum(mixed * powers[: len(words)], out=sums[1:])
+        return _mix((sums[window:] - sums[:-window]) * inverse[:n])
+
+    first, width = hashes(BASES[0]), min(spacing, n)
+    least = _slide(np.minimum, first, width)
+    edge = np.zeros(width - 1, np.uint64)
+    # a window is chosen where it is the least of some run that holds it: the greatest of the least values of those runs
+    places = np.flatnonzero(_slide(np.maximum, np.concatenate([edge, least, edge]), width) == first)
+    second = hashes(BASES[1])[places] >> np.uint64(32)
+    return places.astype(np.int32), first[places].view(np.int64), second.astype(np.uint32).view(np.int32)
 
 
 def repeated_passages(
-    docs: DataFrame, *, window: int = WINDOW, spacing: int = SPACING, broadcast_windows: int = BROADCAST_WINDOWS,
+    docs: DataFrame, *, window: int = WINDOW, spacing: int = SPACING, broadcast_windows: int = BROADCAST_WINDOWS, own_repeats: bool = False,
     id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
     """One row per passage to remove: doc_id, word (the number of its first word), n_words, and the place of the copy of its first window that stays.
 
-    Every run of `window + spacing - 1` words that an earlier place holds too, wrapped or embedded in any way, yields a passage of at least `window` of
+    Every run of `window + spacing - 1` words that an earlier document holds too, wrapped or embedded in any way, yields a passage of at least `window` of
     its words; runs of less than `window` words yield none. Words are parted by white space and compared with A-Z in lower case. The
-    earliest holder of a window, by id (NULL last), text and place, keeps it. A passage that a document repeats goes too, less what overlaps
-    the copy that stays. Rows alike in id and text are one document. NULL, empty and short texts have no passages. Other columns are
+    earliest holder of a window, by id (NULL last), text and place, keeps it. What the earliest holder itself repeats goes only with `own_repeats`,
+    less what overlaps the copy that stays. Rows alike in id and text are one document. NULL, empty and short texts have no passages. Other columns are
     ignored; an empty table gives an empty result.
     """
     def find():
-        hashes = _WordHashes()
+        import xxhash
 
         def work(batch):
             out = {"doc_id": [], "x": [], "h": [], "g": [], "at": []}
             for doc_id, x, text in zip(batch["doc_id"], batch["x"], batch["text"], strict=True):
                 words = text.encode("utf-8", "surrogatepass").lower().split()
                 if len(words) >= window:
-                    at, h, g = chosen_windows(np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words)), window, spacing)
+                    at, h, g = chosen_windows(np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words)), window, spacing)
                     for name, value in zip(out, (doc_id, x, h, g, at), strict=True):
                         out[name].append(value)
             yield out
@@ -263,7 +274,7 @@ def repeated_passages(
     later = places.join(kept, ["h", "g"])
     same = F.col("doc_id").eqNullSafe(F.col("kept.doc_id")) & (F.col("x") == F.col("kept.x"))
     begin = F.when(same, F.greatest("at", F.col("kept.at") + window)).otherwise(F.col("at"))
-    later = later.select(
+    later = (later if own_repeats else later.where(~same)).select(
         "doc_id", "x", begin.alias("word"), (F.col("at") + window).alias("end"), F.col("kept.doc_id").alias("kept_doc_id"),
         (F.col("kept.at") + F.col("word") - F.col("at")).alias("kept_word"),
     ).where("word < end").dropDuplicates(["doc_id", "x", "end"])

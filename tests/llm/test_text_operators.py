@@ -576,7 +576,7 @@ def test_passages_against_all_runs(spark, limits):
             for k in range(len(words_of[i]) - n + 1):
                 held.setdefault(tuple(words_of[i][k : k + n]), (i, k))
     gone = defaultdict(set)
-    got = paragraph_minhash.repeated_passages(frame(spark, rows), **limits).collect()
+    got = paragraph_minhash.repeated_passages(frame(spark, rows), own_repeats=True, **limits).collect()
     for r in got:
         span = words_of[r.doc_id][r.word : r.word + r.n_words]
         assert len(span) == r.n_words and (r.n_words >= 32 or r.doc_id == r.kept_doc_id)
@@ -590,6 +590,9 @@ def test_passages_against_all_runs(spark, limits):
         if i != 82:  # a text that overlaps itself keeps its first window
             assert all(len(gone[i] & set(range(k, k + 50))) >= 32 for k, is_old in enumerate(old[50]) if is_old)
     assert gone[82] >= set(range(32, 182)) and not gone[84] and not gone[85]
+    others = paragraph_minhash.repeated_passages(frame(spark, rows), **limits).collect()
+    assert all(r.kept_doc_id != r.doc_id and set(range(r.word, r.word + r.n_words)) <= gone[r.doc_id] for r in others)
+    assert {r.doc_id for r in others} == {r.doc_id for r in got if r.kept_doc_id != r.doc_id} and 82 not in {r.doc_id for r in others}
 
 
 def test_windows_do_not_depend_on_what_is_around():
