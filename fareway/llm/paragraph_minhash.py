@@ -32,6 +32,7 @@ BROADCAST_TEXTS = 1_000_000
 WINDOW, SPACING = 32, 19
 BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 BROADCAST_WINDOWS = 2_000_000
+TASK_PLACES = 20_000
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -238,8 +239,8 @@ def chosen_windows(words: np.ndarray, window: int = WINDOW, spacing: int = SPACI
 
 
 def repeated_passages(
-    docs: DataFrame, *, window: int = WINDOW, spacing: int = SPACING, broadcast_windows: int = BROADCAST_WINDOWS, own_repeats: bool = False,
-    id_col: str = "doc_id", text_col: str = "text",
+    docs: DataFrame, *, window: int = WINDOW, spacing: int = SPACING, broadcast_windows: int = BROADCAST_WINDOWS, task_places: int = TASK_PLACES,
+    own_repeats: bool = False, id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
     """One row per passage to remove: doc_id, word (the number of its first word), n_words, and the place of the copy of its first window that stays.
 
@@ -266,12 +267,15 @@ def repeated_passages(
 
     texts = id_text(docs, id_col, text_col).select("doc_id", F.xxhash64("text").alias("x"), "text")
     chosen = cut_lineage(map_batches(texts, find, "doc_id long, x long, h array<long>, g array<int>, at array<int>"))
-    shared = cut_lineage(chosen.select(F.explode("h").alias("h")).groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"))
+    shared = cut_lineage(chosen.select(F.explode("h").alias("h")).groupBy("h").agg(F.count("*").alias("n")).where("n > 1"))
     if shared.count() <= broadcast_windows:
         shared = F.broadcast(shared)
-    places = chosen.select("doc_id", "x", F.explode(F.arrays_zip("h", "g", "at")).alias("w")).select("doc_id", "x", "w.h", "w.g", "w.at").join(shared, "h", "left_semi")
-    kept = places.groupBy("h", "g").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "x", "at")).alias("kept"))
-    later = places.join(kept, ["h", "g"])
+    places = chosen.select("doc_id", "x", F.explode(F.arrays_zip("h", "g", "at")).alias("w")).select("doc_id", "x", "w.h", "w.g", "w.at").join(shared, "h")
+    # a window with many places is dealt over as many salts as its places fill tasks; what stays of it is one row, repeated for each salt
+    salts = F.ceil(F.col("n") / task_places).cast("int")
+    kept = places.groupBy("h", "g", "n").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "x", "at")).alias("kept"))
+    kept = kept.withColumn("salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("n")
+    later = places.withColumn("salt", F.pmod(F.xxhash64("doc_id", "x", "at"), salts).cast("int")).join(kept, ["h", "g", "salt"])
     same = F.col("doc_id").eqNullSafe(F.col("kept.doc_id")) & (F.col("x") == F.col("kept.x"))
     begin = F.when(same, F.greatest("at", F.col("kept.at") + window)).otherwise(F.col("at"))
     later = (later if own_repeats else later.where(~same)).select(

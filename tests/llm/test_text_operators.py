@@ -554,7 +554,7 @@ def test_paragraphs_against_all_pairs(spark, limits):
     assert sorted(((r.doc_id, r.line, r.kept_doc_id, r.kept_line) for r in got), key=repr) == want
 
 
-@pytest.mark.parametrize("limits", [{}, {"broadcast_windows": 0}])
+@pytest.mark.parametrize("limits", [{}, {"broadcast_windows": 0, "task_places": 2}])
 def test_passages_against_all_runs(spark, limits):
     """Every run of 50 words that an earlier place holds is met, nothing under 32 words is, and what goes is in the copy that stays."""
     rnd, rows = random.Random(4), []
