@@ -605,3 +605,9 @@ def test_windows_do_not_depend_on_what_is_around():
             chosen.append({(x - before, y, z) for x, y, z in zip(at.tolist(), h.tolist(), g.tolist()) if before <= x <= before + 18})
             assert all(b - a <= 19 for a, b in zip(at.tolist(), at.tolist()[1:]))
         assert chosen[0] & chosen[1]
+
+
+def test_decontamination_runs_no_python(spark):
+    docs, items = frame(spark, [(1, "one two three four five six seven eight nine")]), spark.createDataFrame([(1, "one two three four five six seven eight nine")], "item_id long, text string")
+    plan = template_decontamination.contaminated(docs, items)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
