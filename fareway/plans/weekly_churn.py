@@ -8,9 +8,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions import fixed_values as V
 from ..functions.scalars import safe_ratio, status_flag
-from ..functions.time import filter_local_day, minutes_between, week_start
-from ..operators.reshape import union_distinct
-from ..operators.temporal import active_within, count_before, rolling_weeks
+from ..functions.time import filter_local_day, minutes_between
+from ..operators.digest import over_weeks, week_digest, with_week_after
 from .trips import with_local_time
 
 CUSTOMER = "ref_customer_id"
@@ -31,14 +30,6 @@ def request_facts(journeys: DataFrame, start: dt.date, end: dt.date) -> DataFram
     )
 
 
-def customer_weeks(facts: DataFrame) -> DataFrame:
-    """The weeks in which a customer asked for a trip, and the week after the last one."""
-    keys = [CUSTOMER, "customer_id"]
-    seen = facts.select(week_start("local_date").alias("week_start"), *keys).distinct()
-    after = facts.groupBy(*keys).agg(week_start(F.date_add(F.max("local_date"), 7)).alias("week_start"))
-    return union_distinct(seen, after.select(seen.columns))
-
-
 def weekly_churn_features(journeys: DataFrame, start: dt.date, end: dt.date) -> DataFrame:
     """One row per customer and week. Weeks without trips in the window have counts and shares of 0 and no means."""
     facts = request_facts(journeys, start, end)
@@ -73,10 +64,9 @@ def weekly_churn_features(journeys: DataFrame, start: dt.date, end: dt.date) ->
     aggs |= {n: one(c) for n, c in (counts | shares).items()}
     aggs |= {f"_sum_{n}": e for n, e in means.items()} | {f"_n_{n}": one(e.isNotNull()) for n, e in means.items()}
 
-    grid = customer_weeks(facts)
-    rows = rolling_weeks(grid, facts, CUSTOMER, "week_start", "local_date", aggs)
-    rows = active_within(rows, facts, CUSTOMER, "week_start", "local_date", 30, "y_retained_next_30d")
-    rows = count_before(rows, facts, CUSTOMER, "week_start", "local_date", "prior_requests_all_time")
+    # the weeks in which a customer asked for a trip, and the week after the last one
+    weekly = with_week_after(week_digest(facts, CUSTOMER, "local_date", aggs, also=["customer_id"]), CUSTOMER, ["customer_id"])
+    rows = over_weeks(weekly, CUSTOMER, sums=list(aggs), active={"y_retained_next_30d": 30}, prior="prior_requests_all_time")
     zero = lambda e: F.coalesce(e, F.lit(0))
     order = [
         "total_journeys_14d", *counts, "avg_eta_14d", "avg_estimated_fare_14d", "avg_distance_14d",
@@ -86,7 +76,7 @@ def weekly_churn_features(journeys: DataFrame, start: dt.date, end: dt.date) ->
         safe_ratio(f"_sum_{n}", f"_n_{n}") if n in means
         else F.coalesce(safe_ratio(n, "_rows"), F.lit(0.0)) if n in shares else zero(F.col(n))
     )
-    return rows.filter(F.col(CUSTOMER).isNotNull()).select(
+    return rows.select(
         "week_start", CUSTOMER, "customer_id", *[value(n).alias(n) for n in order],
         "prior_requests_all_time", "y_retained_next_30d",
     )
