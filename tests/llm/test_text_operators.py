@@ -256,6 +256,63 @@ def test_short_names_other_lines_and_other_mentions(spark):
     assert got[100] == ""
 
 
+def plain_disclosures(rows, reach=5):
+    """(document, start, end) -> kind of the terms, by a search over all documents."""
+    docs = {(i, t or "") for i, t in rows}
+    n, of_entity, of_pair, of_term, places = len(docs), defaultdict(set), defaultdict(set), defaultdict(set), defaultdict(set)
+    for doc in docs:
+        text = doc[1]
+        for w in re.findall(r"[^\W\d_]+", text.lower()):
+            of_term[w].add(doc)
+        for s, k, e, _ in base_spans(text):
+            entity = k, text[s:e].lower()
+            of_entity[entity].add(doc)
+            runs = [m.span() for m in re.finditer(r"\S+", text)]
+            before, after = [r for r in runs if r[1] <= s], [r for r in runs if r[0] >= e]
+            own = [r for r in runs if r[0] < e and r[1] > s]
+            begin = min([own[0][0], *(r[0] for r in before[-reach:])])
+            end = max([own[-1][1], *(r[1] for r in after[:reach])])
+            for a, b in ((begin, s), (e, end)):
+                for m in re.finditer(r"[^\W\d_]+", text[a:b]):
+                    if m.group() not in pii_disclosure.FUNCTION_WORDS:
+                        of_pair[entity, m.group().lower()].add(doc)
+                        places[doc, a + m.start(), a + m.end()].add((entity, m.group().lower()))
+    out = {}
+    for (doc, s, e), pairs in places.items():
+        shares = []
+        for entity, term in pairs:
+            content = math.log2(n / len(of_entity[entity]))
+            if len(of_pair[entity, term]) >= pii_disclosure.MIN_SUPPORT and content > 0:
+                shares.append(math.log2(len(of_pair[entity, term]) * n / (len(of_term[term]) * len(of_entity[entity]))) / content)
+        kind = "removed" if any(x >= pii_disclosure.REMOVE for x in shares) else "generalised" if any(x >= pii_disclosure.GENERALISE for x in shares) else None
+        if kind and not any(s < b and e > a for a, _, b, _ in base_spans(doc[1])):
+            out[doc, s, e] = kind
+    return out
+
+
+@pytest.mark.parametrize("times", [1, 2, 5])
+def test_terms_equal_a_search_over_all_documents(spark, times):
+    rnd, pool = random.Random(7), [*"abcdefgh", "Kim", "the", "the", "at", "ö" * 310, "x" * 500, "q,r", "12", "Meier's"]
+    mentions = ["jo@x.org", "+49 30 1234567", "1.2.3.4", "<al@b.co>", "(jo@x.org)", "bo@c.co;"]
+    rows = [(i, rnd.choice((" ", "\n", "  ")).join(rnd.choice(pool if rnd.random() < 0.85 else mentions) for _ in range(rnd.randint(0, 25)))) for i in range(120)]
+    # names that go with a mention nearly always, often or at any distance
+    rows += [(400 + i, " ".join([*rnd.choices(pool, k=rnd.randint(0, 4)), f"name{i % 8}".translate({48 + k: 103 + k for k in range(10)}), *rnd.choices(pool, k=rnd.randint(0, 6)), f"n{i % 8}@x.org"])) for i in range(60)]
+    rows += [(500 + i, f"without name{i % 4}".translate({48 + k: 103 + k for k in range(10)})) for i in range(12)]
+    rows += [(200 + i, "tied %s jo@y.org %s far" % ("w" * 25_000, "-" * 400)) for i in range(3)] + [(300, None), (None, "Kim jo@x.org")]
+    want = {(*d, s, e, kind) for (d, s, e), kind in plain_disclosures(rows).items()}
+    got = pii_disclosure.find_personal_data(frame(spark, rows * times)).collect()
+    text = {i: t or "" for i, t in rows}
+    assert {(r.doc_id, text[r.doc_id], x.s, x.e, pii_disclosure.KINDS[x.kind]) for r in got for x in r.found if x.kind >= len(BASE)} == want
+    assert len(got) == times * len(rows) and any(x[0] == 201 and x[2] == 0 for x in want)
+    assert Counter(x[4] for x in want)["removed"] > 20 and any(x[4] == "generalised" for x in want)
+
+
+def test_mentions_in_one_run_take_linear_space(spark):
+    row = pii_disclosure.base_mentions(frame(spark, [(1, "ann " + ",".join(f"a{i}@b.cd" for i in range(400)) + " bob")])).first()
+    assert len(row.email) == 400 and max(len(m.left) + len(m.right) for m in row.email) < 200
+    assert row.email[0].left == "ann " and row.email[399].right == " bob" and row.email[200].left.startswith(",a195@")
+
+
 def test_personal_data_runs_without_python(spark):
     plan = pii_disclosure.find_personal_data(frame(spark, [(1, "a@b.cd")]))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
