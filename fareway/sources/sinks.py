@@ -1,14 +1,21 @@
-"""Writers: full rebuild, daily snapshot, append with retention."""
+"""Writers: full rebuild, daily snapshot, append with retention.
+
+Rows are computed and written beside a table first and swapped in after that, so a run that fails leaves the table as it was, and the same run
+started again ends alike. How partitions are replaced is an option of the write; no session setting is changed, so different tables
+can be written at the same time. One table has one writer at a time.
+"""
 
 from __future__ import annotations
 
 import datetime as dt
 from urllib.parse import unquote
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.fixed_values import LOCAL_ZONE
 from ..functions.time import days, monday
+from ..session import cut_lineage
 
 NO_VALUE = "__HIVE_DEFAULT_PARTITION__"  # how a partition path names NULL
 
@@ -20,8 +27,21 @@ def with_run_ts(df: DataFrame, run_at: dt.datetime, out: str = "query_run_timest
 
 
 def write_rebuild(df: DataFrame, table: str) -> None:
-    """Replace a table as a whole."""
-    df.write.mode("overwrite").format("parquet").saveAsTable(table)
+    """Replace a table as a whole: the new one is written beside it, then both change names and the old one goes.
+
+    `df` may read the table itself. A run that stopped between the two changes of name is set right by the next one.
+    """
+    # a name of its own for each run: a write that fails leaves an empty folder behind, which would bar a second one of its name
+    spark, new, old = df.sparkSession, f"{table}__new_{uuid4().hex[:12]}", f"{table}__old"
+    exists = spark.catalog.tableExists
+    if not exists(table) and exists(old):
+        spark.sql(f"ALTER TABLE {old} RENAME TO {table}")
+    spark.sql(f"DROP TABLE IF EXISTS {old}")
+    df.write.format("parquet").saveAsTable(new)
+    if exists(table):
+        spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
+    spark.sql(f"ALTER TABLE {new} RENAME TO {table}")
+    spark.sql(f"DROP TABLE IF EXISTS {old}")
 
 
 def write_snapshot(df: DataFrame, path: str, run_date: dt.date) -> None:
@@ -50,22 +70,48 @@ def insert_by_name(df: DataFrame, table: str, columns) -> None:
     df.select(*order).write.mode("append").insertInto(table)
 
 
+def _partitions(spark: SparkSession, table: str) -> list[dict[str, str]]:
+    """Values by partition column, one entry per partition kept."""
+    rows = spark.sql(f"SHOW PARTITIONS {table}").collect()
+    return [{c: unquote(v) for c, v in (part.split("=", 1) for part in row[0].split("/"))} for row in rows]
+
+
+def _spec(parts: dict[str, str]) -> str:
+    text = lambda v: "NULL" if v == NO_VALUE else "'" + v.replace("'", "\\'") + "'"
+    return "PARTITION (" + ", ".join(f"`{c}` = {text(v)}" for c, v in parts.items()) + ")"
+
+
+def _drop(spark: SparkSession, table: str, partitions: list[dict[str, str]]) -> None:
+    for parts in partitions:
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {_spec(parts)}")
+
+
+def _replace_partitions(rows: DataFrame, table: str, by: list[str]) -> None:
+    """Replace the partitions that `rows` have, in the table's own folder; the catalog then learns of the new ones.
+
+    A write to a folder takes the overwrite mode as an option, which an insert into a catalog table does not.
+    """
+    spark = rows.sparkSession
+    folder = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name = 'Location'").collect()[-1]["data_type"]  # a column of that name comes first
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(folder)
+    known = _partitions(spark, table)
+    for row in rows.select(*by).distinct().collect():  # one row per partition written
+        parts = {c: NO_VALUE if v is None else str(v) for c, v in row.asDict().items()}
+        if parts not in known:
+            spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {_spec(parts)}")
+    spark.catalog.refreshTable(table)
+
+
 def purge_before(spark: SparkSession, table: str, date_c: str, bound: dt.date) -> int:
-    """Drop the date partitions before `bound`; the list holds one entry per partition kept, whatever else the table is partitioned by."""
-    expired = []
-    for row in spark.sql(f"SHOW PARTITIONS {table}").collect():
-        parts = {c: unquote(v) for c, v in (part.split("=", 1) for part in row[0].split("/"))}
-        value = parts.pop(date_c)
-        if value[:4].isdigit() and dt.date.fromisoformat(value) < bound:
-            rest = "".join(f", `{c}` = " + ("NULL" if v == NO_VALUE else "'" + v.replace("'", "\\'") + "'") for c, v in parts.items())
-            expired.append(f"`{date_c}` = DATE'{value}'{rest}")
-    for spec in expired:
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")
+    """Drop the date partitions before `bound`, whatever else the table is partitioned by."""
+    is_day = lambda v: v[:4].isdigit()
+    expired = [p for p in _partitions(spark, table) if is_day(p[date_c]) and dt.date.fromisoformat(p[date_c]) < bound]
+    _drop(spark, table, expired)
     return len(expired)
 
 
 def append_with_retention(df: DataFrame, table: str, date_c: str, as_of: dt.date, weeks: int = 55, run_c: str | None = None) -> None:
-    """Purge partitions older than `weeks` before this Monday, then write the new rows by name.
+    """Write the new rows by name, then purge partitions older than `weeks` before this Monday.
 
     With `run_c` the table has a partition column of that name, the Monday of the run: a second run of the same week replaces the rows of the
     first, all of them and no others, whatever their dates. Without it the days in `df` replace those days in the table, which is right
@@ -74,20 +120,16 @@ def append_with_retention(df: DataFrame, table: str, date_c: str, as_of: dt.date
     spark, run = df.sparkSession, monday(as_of)
     if not spark.catalog.tableExists(table):
         first = df.withColumn(run_c, F.lit(run)) if run_c else df
-        first.write.partitionBy(*([run_c] if run_c else []), date_c).format("parquet").saveAsTable(table)
+        cut_lineage(first).write.partitionBy(*([run_c] if run_c else []), date_c).format("parquet").saveAsTable(table)
         return
     order = [c for c in spark.table(table).columns if c != run_c]
     if sorted(order) != sorted(df.columns) or run_c and run_c not in spark.table(table).columns:
         raise ValueError(f"columns {sorted(df.columns)} do not match table columns {sorted(spark.table(table).columns)}")
+    rows = cut_lineage(df.select(*order))  # whatever fails in the making of the rows fails here
+    target = spark.table(table).schema
+    placed = (rows.withColumn(run_c, F.lit(run)) if run_c else rows).select(*(F.col(f"`{f.name}`").cast(f.dataType) for f in target))
+    _replace_partitions(placed, table, [run_c, date_c] if run_c else [date_c])
+    if run_c:
+        written = {NO_VALUE if d is None else str(d) for (d,) in rows.select(date_c).distinct().collect()}  # one value per partition of the run
+        _drop(spark, table, [p for p in _partitions(spark, table) if p[run_c] == str(run) and p[date_c] not in written])
     purge_before(spark, table, date_c, run - days(7 * weeks))
-    mode = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(mode)
-    # static: all of the run's partitions go, also those of days that it no longer has
-    spark.conf.set(mode, "static" if run_c else "dynamic")
-    try:
-        if run_c:
-            spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION (`{run_c}` = DATE'{run}', `{date_c}`) SELECT * FROM {{rows}}", rows=df.select(*order))
-        else:
-            df.select(*order).write.mode("overwrite").insertInto(table)
-    finally:
-        spark.conf.set(mode, before)

@@ -1,4 +1,5 @@
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.sql import functions as F
@@ -56,6 +57,47 @@ def test_a_run_replaces_its_own_week_only(spark):
         sinks.append_with_retention(rows((day, 1)), "by_week", "d", first)
 
 
+@pytest.mark.parametrize("mode", ["static", "dynamic"])
+def test_a_failed_run_changes_nothing(spark, mode):
+    old, day, as_of = dt.date(2020, 1, 1), dt.date(2024, 5, 30), dt.date(2024, 6, 5)
+    rows = spark.createDataFrame([(old, 1), (day, 2), (dt.date(2024, 5, 31), 3)], "d date, v int")
+    bad = rows.withColumn("v", F.when(F.col("v") > 2, F.raise_error("stop").cast("int")).otherwise(F.col("v") * 10))
+    kept = lambda t: sorted((r.d, r.v) for r in spark.table(t).collect())
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", mode)
+    try:
+        for table, run_c in ((f"fails_{mode}", None), (f"fails_run_{mode}", "run_week")):
+            sinks.append_with_retention(rows, table, "d", as_of, run_c=run_c)
+            with pytest.raises(Exception, match="stop"):
+                sinks.append_with_retention(bad, table, "d", as_of, run_c=run_c)
+            assert kept(table) == [(old, 1), (day, 2), (dt.date(2024, 5, 31), 3)]
+            sinks.append_with_retention(rows.filter("v = 2").withColumn("v", F.lit(7)), table, "d", as_of, run_c=run_c)
+            # the old day expires; of a run's own rows nothing else stays
+            assert kept(table) == [(day, 7)] + ([] if run_c else [(dt.date(2024, 5, 31), 3)])
+            assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == mode
+        sinks.write_rebuild(rows, f"whole_{mode}")
+        with pytest.raises(Exception, match="stop"):
+            sinks.write_rebuild(bad, f"whole_{mode}")
+        assert len(kept(f"whole_{mode}")) == 3
+        sinks.write_rebuild(spark.table(f"whole_{mode}").filter("v > 1"), f"whole_{mode}")  # from itself
+        assert [v for _, v in kept(f"whole_{mode}")] == [2, 3]
+        spark.sql(f"ALTER TABLE whole_{mode} RENAME TO whole_{mode}__old")  # a run stopped here
+        with pytest.raises(Exception, match="stop"):
+            sinks.write_rebuild(bad, f"whole_{mode}")
+        assert [v for _, v in kept(f"whole_{mode}")] == [2, 3] and not spark.catalog.tableExists(f"whole_{mode}__old")
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+
+
+def test_two_tables_are_written_at_once(spark):
+    days = [dt.date(2024, 5, 27) + dt.timedelta(days=i) for i in range(4)]
+    rows = lambda k: spark.createDataFrame([(x, k) for x in days], "d date, v int")
+    write = lambda k: sinks.append_with_retention(rows(k), f"side_{k % 2}", "d", dt.date(2024, 6, 5), run_c="run_week" if k % 2 else None)
+    write(0), write(1)
+    with ThreadPoolExecutor(2) as pool:
+        list(pool.map(write, [2, 3]))
+    assert all(sorted((r.d, r.v) for r in spark.table(f"side_{k % 2}").collect()) == [(x, k) for x in days] for k in (2, 3))
+
+
 def test_purge_with_a_second_partition_column(spark):
     old, new = dt.date(2024, 1, 1), dt.date(2024, 2, 1)
     rows = spark.createDataFrame([(1, old, "a"), (2, old, "b"), (3, new, "a")], "v int, d date, k string")
