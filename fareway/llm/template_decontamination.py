@@ -3,7 +3,7 @@
 Numbers, names and units become typed placeholders, other words lose case and edge punctuation; one word stays one word, so a
 place in the template is the same place in the text. Windows of `width` template words of documents meet those of benchmark items by
 their text. A document holds an item when enough of the item's windows are found and the words behind the placeholders change
-consistently: each word of the item stands for one word of the document throughout.
+consistently: each word of the item stands for one word of the document throughout, and no two of them for the same one.
 
 A capitalised word at the start of a sentence may be a name or not, so windows with such words are compared both ways. Item windows of too
 few plain words are compared by their words as they are, so that copies are found and loose templates are not.
@@ -173,7 +173,9 @@ def _stack(frames: list[DataFrame]) -> DataFrame:
 
 
 def _slot_shares(met: DataFrame, keyed: DataFrame, items: DataFrame, item_windows: DataFrame) -> DataFrame:
-    """For windows with placeholders: the share of placeholder words whose most frequent counterpart is the one they have, of the worst kind.
+    """For windows with placeholders: the share of placeholder words whose most frequent counterpart is the one they have, of the worst kind and direction.
+
+    Both directions count: a word of the item stands for one word of the document, and no two words of the item for the same one.
 
     Only places with a placeholder travel; the document's words are looked up in the rows of matched documents alone.
     """
@@ -194,6 +196,8 @@ def _slot_shares(met: DataFrame, keyed: DataFrame, items: DataFrame, item_window
     pairs = places.join(item_words, ["item_id", "at"]).join(doc_words, ["k1", "k2", "place"])
     plain = lambda c: F.lower(F.regexp_replace(c, r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$", ""))
     counts = pairs.groupBy("k1", "k2", "item_id", "word", plain("item_word").alias("mine"), plain("doc_word").alias("theirs")).agg(F.count("*").alias("n"))
-    per_word = counts.groupBy("k1", "k2", "item_id", "word", "mine").agg(F.max("n").alias("most"), F.sum("n").alias("n"))
-    per_kind = per_word.groupBy("k1", "k2", "item_id", "word").agg((F.sum("most") / F.sum("n")).alias("part"))
+    sides = F.explode(F.array(F.struct(F.lit(0).alias("side"), F.col("mine").alias("value")), F.struct(F.lit(1).alias("side"), F.col("theirs").alias("value"))))
+    keys = ["k1", "k2", "item_id", "word", "side"]
+    per_word = counts.select(*keys[:4], "n", sides.alias("x")).select(*keys[:4], "n", "x.*").groupBy(*keys, "value").agg(F.max("n").alias("most"), F.sum("n").alias("n"))
+    per_kind = per_word.groupBy(*keys).agg((F.sum("most") / F.sum("n")).alias("part"))
     return per_kind.groupBy("k1", "k2", "item_id").agg(F.min("part").alias("consistent"))

@@ -372,6 +372,19 @@ def test_items_of_few_plain_words_are_found_as_they_are(spark):
     assert held(spark, docs, items) == {(i, i) for i in range(4)}
 
 
+def test_no_two_words_of_an_item_stand_for_one(spark):
+    item = "the boxes of Alice weigh 3 kg less than those of Bobby while Carol keeps 4 of them and gives the rest of her own to Alice again"
+    texts = [
+        item.replace("Alice", "Xenia").replace("Bobby", "Yusuf").replace("Carol", "Zelda").replace("3", "8").replace("4", "9"),
+        item.replace("Alice", "Zelda").replace("Bobby", "Zelda").replace("Carol", "Zelda"),  # all names alike
+        item.replace("3", "7").replace("4", "7"),  # all numbers alike
+        item.replace("to Alice", "to Bobby"),  # one name for two
+        item,
+    ]
+    got = template_decontamination.contaminated(frame(spark, list(enumerate(texts))), spark.createDataFrame([(9, item)], "item_id long, text string")).collect()
+    assert {r.doc_id: r.consistent for r in got} == {0: 1.0, 4: 1.0}
+
+
 def test_templates_keep_the_number_of_words(spark, rows):
     from pyspark.sql import functions as F
 
