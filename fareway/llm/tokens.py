@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import os
 import re
+import string
+from array import array
 from collections.abc import Callable, Iterable
 from itertools import compress, repeat
 from operator import is_
@@ -17,7 +19,10 @@ import numpy as np
 
 CACHE_KEYS = 400_000
 WHITE_RUN = re.compile(r"\s\s")
-PLAIN = re.compile(r"\n?\S+")
+# The byte-level alphabet by its rule: a byte that prints stands for itself, the others for the characters from 256 on.
+PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
+LETTERS = {b: 256 + i for i, b in enumerate(sorted({*range(256)} - {*PRINTED}))}
+BLANK = chr(LETTERS[32])
 
 
 def vocabulary_path(name: str) -> str:
@@ -43,17 +48,20 @@ class Generations:
     def values(self, wanted: list[str], make: Callable[[list[str]], Iterable]) -> list:
         """The value of each wanted key; `make` gives those of keys that neither part has."""
         found = list(map(self.young.get, wanted))
-        new = set(compress(wanted, map(is_, found, repeat(None))))
-        if not new:
+        places = list(compress(range(len(found)), map(is_, found, repeat(None))))
+        if not places:
             return found
+        new = {wanted[i] for i in places}
         if len(self.young) + len(new) > self.keys:
             self.old, self.young = self.young, {}
-            new = set(wanted)
+            places, new = range(len(found)), set(wanted)
         kept = {x: self.old[x] for x in new if x in self.old}
         fresh = [x for x in new if x not in kept]
         self.young.update(kept)
         self.young.update(zip(fresh, make(fresh), strict=True))
-        return list(map(self.young.__getitem__, wanted))
+        for i in places:
+            found[i] = self.young[wanted[i]]
+        return found
 
 
 class Encoder:
@@ -68,13 +76,18 @@ class Encoder:
         import public_tokenizers
         import regex
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.split = regex.compile(public_tokenizers.PATTERN).findall
+        self.model = self.tokenizer.model
+        self.by_word = isinstance(self.tokenizer.pre_tokenizer, ByteLevel) and self.tokenizer.normalizer is None
+        self.signs: dict[str, bytes] = {}
         self.usual, self.other = Generations(cache_keys), Generations(cache_keys // 4)
         feed = self._direct(["\n"])[0]
         self.feed = feed[0] if len(feed) == 1 else None
+        self.feed_bytes = array("I", feed).tobytes()
 
     def _direct(self, pieces: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
@@ -82,20 +95,34 @@ class Encoder:
     def _other_ids(self, pieces: list[str]) -> list[bytes]:
         return [np.array(ids, "<u4").tobytes() for ids in self._direct(pieces)]
 
+    def _word_ids(self, word: str, blank: bool = False) -> bytes:
+        """Ids of one piece of the vocabulary's pattern, by the tokenizer's model alone; `blank` stands before the word."""
+        if not word.isascii():
+            word = word.encode().decode("latin-1").translate(LETTERS)
+        return array("I", [x.id for x in self.model.tokenize(BLANK + word if blank else word)]).tobytes()
+
     def _usual_ids(self, keys: list[str]) -> list[bytes]:
-        """Plain words go to the tokenizer as the lines of one text: a lone line feed is an id of its own."""
+        """A word and the signs behind it are looked up as two pieces, so a word is merged once whatever follows it."""
         out: list = [None] * len(keys)
-        plain = [i for i, x in enumerate(keys) if PLAIN.fullmatch(x)]
-        for at in range(0, len(plain), 2000):
-            some = plain[at : at + 2000]
-            text = "\n".join([x[1:] if x[0] == "\n" else " " + x for x in (keys[i] for i in some)])
-            ids = np.array(self._direct([text])[0] + [self.feed], "<u4")
-            ends = np.flatnonzero(ids == self.feed).tolist()
-            raw, start, feed = ids.tobytes(), 0, ids[-1:].tobytes()
-            for i, end in zip(some, ends, strict=True):
-                own = raw[4 * start : 4 * end]
-                out[i] = feed + own if keys[i][0] == "\n" else own
-                start = end + 1
+        made: dict[str, bytes] = {}
+        for i, key in enumerate(keys):
+            feed, word, signs = key[:1] == "\n", key[1:] if key[:1] == "\n" else key, ""
+            if not word.isalpha():  # letters alone are one piece
+                word, whole = word.rstrip(string.punctuation), word
+                signs = whole[len(word) :]
+            if not self.by_word or not word.isalpha():
+                continue
+            if feed:
+                ids = self.feed_bytes + self._word_ids(word)
+            elif (ids := made.get(word) or self.usual.young.get(word)) is None:
+                ids = made[word] = self._word_ids(word, blank=True)
+            if signs:
+                if (tail := self.signs.get(signs)) is None:
+                    tail = self._word_ids(signs)
+                    if len(self.signs) < CACHE_KEYS // 10:
+                        self.signs[signs] = tail
+                ids += tail
+            out[i] = ids
         rest = [i for i, ids in enumerate(out) if ids is None]
         for i, ids in zip(rest, self._other_ids([keys[i] if keys[i][:1] == "\n" else " " + keys[i] for i in rest]), strict=True):
             out[i] = ids
