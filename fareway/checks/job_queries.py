@@ -86,19 +86,19 @@ def _scores(s, r, variant, offers=False):
 
 
 def _own_share(s, r):
-    meter = kpi.meter_trips(A.meter_events(s, r), A.journeys(s, r), AS_OF)
-    return kpi.own_share(kpi.by_period(meter, "eventdatetime", AS_OF), "period")
+    meter = kpi.meter_days(A.meter_events(s, r), A.journeys(s, r), AS_OF)
+    return kpi.own_share(kpi.by_period(meter, "day", AS_OF), "period")
 
 
 def _user_rollup(s, r):
-    trips = kpi.by_period(kpi.kpi_base(A.journeys(s, r), AS_OF), "local_date", AS_OF)
-    return kpi.user_rollup(trips, kpi.first_completed_day(A.journeys(s, r), AS_OF))
+    state = kpi.by_period(kpi.trip_state(_kpi_trips(s, r)), "local_date", AS_OF)
+    return kpi.user_rollup(state, kpi.first_completed_day(A.journeys(s, r), AS_OF))
 
 
 JOBS = {
     "kpi_sheet": lambda s, r: kpi.kpi_sheet(
         A.journeys(s, r), A.ratings(s, r), A.badges(s, r), A.meter_events(s, r), A.session_daily(s, r), AS_OF),
-    "kpi_weekly_funnel": lambda s, r: kpi.funnel(_kpi_trips(s, r), "booking_week"),
+    "kpi_weekly_funnel": lambda s, r: kpi.funnel(kpi.partial_sums(_kpi_trips(s, r), "booking_week"), "booking_week"),
     "kpi_own_platform_share": _own_share,
     "kpi_user_rollup": _user_rollup,
     "kpi_session_conversion": lambda s, r: kpi.session_conversion(A.session_daily(s, r), AS_OF),

@@ -20,7 +20,7 @@ from ..operators.chains import expand_chains
 from ..operators.reshape import literal_rows, union_all, union_distinct, unpivot_metrics
 from ..operators.skew import lookup_join
 from ..operators.zones import zone_join
-from ..plans import dispatch, settlement
+from ..plans import dispatch, kpi, settlement
 from ..plans.trips import completed, complaints, with_local_time, with_trip_times
 from ..session import shared_dir
 from ..sources import adapters as A
@@ -141,6 +141,19 @@ def _(s, root):
     return s.table(table).drop("run_week")
 
 
+@op("kpi_sheet_from_state", "", JOB_ORACLES["kpi_sheet"])
+def _(s, root):
+    """The sheet from stored days: sixty days up to yesterday are written, then the last day is added, and first days are carried on."""
+    path, journeys = scratch(s), A.journeys(s, root)
+    yesterday = AS_OF - dt.timedelta(days=1)
+    for as_of, n_days in ((yesterday, kpi.WINDOW_DAYS), (AS_OF, 1), (AS_OF, 1)):
+        trips = kpi.rated_trips(kpi.kpi_base(journeys, as_of, n_days), A.ratings(s, root), A.badges(s, root))
+        sinks.write_days(kpi.trip_state(trips), path, "local_date")
+    state = s.read.parquet(path)
+    first_days = kpi.merge_first_days(kpi.first_completed_day(journeys, yesterday - dt.timedelta(days=1)), state)
+    return kpi.sheet_from_state(state, first_days, journeys, A.meter_events(s, root), A.session_daily(s, root), AS_OF)
+
+
 @op("dispatch_from_stored_scores", "offers offer_journeys", f""", driver_scores AS (
   SELECT ref_driver_id, final_score, DATE '2024-01-29' AS run_date FROM ({JOB_ORACLES['driver_score_acceptance']})){BLENDED}
 SELECT {d('dat')} AS dat, {n('dr')} AS dispatch_rank, count(DISTINCT journey_id) AS jrny_cnt FROM given GROUP BY 1, 2""")

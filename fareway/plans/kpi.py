@@ -1,4 +1,8 @@
-"""Operations KPI sheet: weekly, month-to-date and target rows in long format."""
+"""Operations KPI sheet: weekly, month-to-date and target rows in long format.
+
+Trips are read once and reduced to a state: sums per local day, customer and outcome. Funnel, rates and users are sums over the state, so days can be
+stored and a daily run adds one day (`sinks.write_days`) instead of reading sixty.
+"""
 
 from __future__ import annotations
 
@@ -10,10 +14,11 @@ from ..functions import fixed_values as V
 from ..functions.geo import cosine_distance_km
 from ..functions.scalars import composite_id, in_codes, no_bad_badges, safe_ratio, trip_revenue
 from ..functions.time import days, filter_day_column, filter_local_day, local_date, week_start
-from ..operators.aggregates import avg_if, count_if, distinct_sums
+from ..operators.aggregates import avg_if, count_if
 from ..operators.joins import classify_member
-from ..operators.skew import find_hot
+from ..operators.skew import Hot
 from ..operators.reshape import literal_rows, union_all, unpivot_metrics
+from ..session import cut_lineage
 from .trips import completed, rating_per_journey, with_local_time, with_trip_times
 
 WINDOW_DAYS = 60
@@ -23,9 +28,9 @@ USERS = ("new_users", "existing_users", "trip_frequency")
 SESSIONS = ("sessions", "session_conversion")
 
 
-def kpi_base(journeys: DataFrame, as_of: dt.date) -> DataFrame:
-    """Trips of the last 60 local days with times and revenue."""
-    base = filter_local_day(journeys, "journey_created_at", as_of - days(WINDOW_DAYS), as_of)
+def kpi_base(journeys: DataFrame, as_of: dt.date, n_days: int = WINDOW_DAYS) -> DataFrame:
+    """Trips of the last `n_days` local days before `as_of` with times and revenue."""
+    base = filter_local_day(journeys, "journey_created_at", as_of - days(n_days), as_of)
     base = with_local_time(base).withColumn("eta_sec", F.coalesce("dispatch_eta_sec", "first_eta"))
     fees = ("actual_base_fee", "actual_total_distance_fee", "actual_total_time_fee")
     return with_trip_times(base).withColumns({
@@ -67,28 +72,58 @@ def by_period(df: DataFrame, day: str, as_of: dt.date) -> DataFrame:
     return df.withColumn("_period", F.explode(lines)).select(*df.columns, "_period.*")
 
 
-def funnel(trips: DataFrame, *keys) -> DataFrame:
-    """Requests, outcome, waiting and rating figures per key, in one pass; percentages are 0..100."""
-    done, eta, ata = completed(), F.col("eta_sec"), F.col("ata")
-    rated = done & F.col("rating").isNotNull()
+def outcome() -> Column:
+    """What became of a request; NULL without a status."""
+    of = lambda codes: in_codes("journey_status", codes)
+    return (
+        F.when(completed(), "completed").when(of(V.DRIVER_CANCELLED), "driver").when(of(V.CUSTOMER_CANCELLED), "customer")
+        .when(of(V.ADMIN_CANCELLED), "admin").when(F.col("journey_status").isNotNull(), "other")
+    )
+
+
+def partial_sums(trips: DataFrame, *keys) -> DataFrame:
+    """Sums and counts per key and outcome that can be added up further; `trips` come from `rated_trips`."""
+    eta, ata = F.col("eta_sec"), F.col("ata")
+    rated = completed() & F.col("rating").isNotNull()
     n = lambda c: count_if(c & F.col("journey_id").isNotNull())
-    minutes = lambda c: F.avg(F.round(c / 60.0, 2))
-    sums = trips.groupBy(*keys).agg(
-        F.count("journey_id").alias("requests"), n(done).alias("completed"), n(~done).alias("cancelled"),
-        n(in_codes("journey_status", V.DRIVER_CANCELLED)).alias("driver_cancelled"),
-        n(in_codes("journey_status", V.CUSTOMER_CANCELLED)).alias("customer_cancelled"),
-        n(in_codes("journey_status", V.ADMIN_CANCELLED)).alias("admin_cancelled"),
-        n(F.col("ref_driver_id").isNull()).alias("driver_not_found"),
-        F.count("ref_customer_id").alias("requests_with_customer"),
-        minutes(eta).alias("avg_eta"), minutes(ata).alias("avg_ata"), F.avg("pickup_km").alias("avg_pickup_km"),
-        n(F.col("ref_promo_applied").isNotNull()).alias("promo_requests"),
+    minutes = lambda c: F.round(c / 60.0, 2)
+    return trips.withColumn("outcome", outcome()).groupBy(*keys, "outcome").agg(
+        F.count("journey_id").alias("requests"), n(F.col("ref_driver_id").isNull()).alias("driver_not_found"),
+        F.count("ref_customer_id").alias("requests_with_customer"), n(F.col("ref_promo_applied").isNotNull()).alias("promo_requests"),
         F.sum(F.coalesce("revenue", F.lit(0.0))).alias("revenue"),
+        F.sum(minutes(eta)).alias("eta_minutes"), F.count(eta).alias("eta_trips"),
+        F.sum(minutes(ata)).alias("ata_minutes"), F.count(ata).alias("ata_trips"),
+        F.sum("pickup_km").alias("pickup_km"), F.count("pickup_km").alias("pickup_trips"),
         n(eta <= V.SHORT_WAIT_SECONDS).alias("short_eta_trips"), n(ata <= V.SHORT_WAIT_SECONDS).alias("short_ata_trips"),
         n(F.abs(ata - eta) <= 120).alias("accurate_eta_trips"),
         n(rated & (F.col("rating") >= 4)).alias("well_rated"), n(rated & F.col("clean_badges")).alias("cleanly_rated"),
     )
+
+
+def trip_state(trips: DataFrame) -> DataFrame:
+    """`partial_sums` per local day and customer: what is stored of trips, and all that the sheet needs of them.
+
+    Days add up, so a new day is a new set of rows. A day whose trips or ratings changed later is computed again as a whole.
+    """
+    return partial_sums(trips, "local_date", "ref_customer_id")
+
+
+def funnel(sums: DataFrame, *keys) -> DataFrame:
+    """Requests, outcome, waiting and rating figures per key from `partial_sums` of the same or finer keys; percentages are 0..100."""
+    of = lambda c: F.sum(F.when(c, F.col("requests")).otherwise(0))
+    is_a = lambda name: of(F.col("outcome") == name)
+    added = ("requests", "driver_not_found", "requests_with_customer", "promo_requests", "revenue", "short_eta_trips",
+             "short_ata_trips", "accurate_eta_trips", "well_rated", "cleanly_rated")
+    mean = lambda total, number: safe_ratio(F.sum(total), F.sum(number))
+    figures = sums.groupBy(*keys).agg(
+        *[F.sum(c).alias(c) for c in added],
+        is_a("completed").alias("completed"), of(F.col("outcome") != "completed").alias("cancelled"),
+        is_a("driver").alias("driver_cancelled"), is_a("customer").alias("customer_cancelled"), is_a("admin").alias("admin_cancelled"),
+        mean("eta_minutes", "eta_trips").alias("avg_eta"), mean("ata_minutes", "ata_trips").alias("avg_ata"),
+        mean("pickup_km", "pickup_trips").alias("avg_pickup_km"),
+    )
     pct = lambda num, den="requests": safe_ratio(num, den, 100.0)
-    return sums.withColumns({
+    return figures.withColumns({
         "completion_rate": pct("completed"), "cancellation_rate": pct("cancelled"),
         "driver_cancel_rate": pct("driver_cancelled"), "customer_cancel_rate": pct("customer_cancelled"),
         "driver_not_found_share": safe_ratio("driver_not_found", "requests"),
@@ -100,31 +135,29 @@ def funnel(trips: DataFrame, *keys) -> DataFrame:
     })
 
 
-def meter_trips(meter_events: DataFrame, trips: DataFrame, as_of: dt.date) -> DataFrame:
-    """Distinct taxi meter trips of the last 60 days: street hail, own platform, or others.
+def meter_days(meter_events: DataFrame, trips: DataFrame, as_of: dt.date) -> DataFrame:
+    """Different taxi meter trips of the last 60 days per day and type: street hail, own platform, or others.
 
-    The meter's time column already is local time.
+    The meter's time column already is local time. Trips are counted per day and job number before the job is looked up, so the number 0 of all
+    street trips is one row a day, and the meter log is read once.
     """
+    day = F.to_date("eventdatetime")
     vacant = filter_day_column(
         meter_events.filter(F.col("eventname") == "METER_VACANT"), "eventdatetime", as_of - days(WINDOW_DAYS), as_of
-    ).select("eventdatetime", "driverid", "jobnumber", "fareamount").distinct()
+    )
+    known = vacant.filter(composite_id("driverid", "jobnumber", "eventdatetime").isNotNull())
+    different = known.select("eventdatetime", "driverid", "jobnumber").distinct()
+    per_job = different.groupBy(day.alias("day"), "jobnumber").agg(F.count(F.lit(1)).alias("trips"))
     own = trips.filter(in_codes("journey_status", V.METER_JOB))
-    # street trips share the number 0, which is hot
-    hot = find_hot(meter_events, "jobnumber")
-    member = classify_member(vacant, "jobnumber", own, "transport_authority_job_id", "_own", hot)
-    street = F.col("jobnumber").isNull() | (F.col("jobnumber") == "0")
-    return member.withColumns({
-        "uid": composite_id("driverid", "jobnumber", "eventdatetime"),
-        "trip_type": F.when(street, "Street").when(F.col("_own"), "Own").otherwise("Others"),
-        "booking_week": week_start(F.col("eventdatetime")),
-    }).drop("_own")
+    member = classify_member(per_job, "jobnumber", own, "transport_authority_job_id", "_own", Hot(("jobnumber",), None))
+    kind = F.when(F.col("jobnumber") == "0", "Street").when(F.col("_own"), "Own").otherwise("Others")
+    return member.groupBy("day", kind.alias("trip_type")).agg(F.sum("trips").alias("trips"))
 
 
 def own_share(meter: DataFrame, *keys) -> DataFrame:
-    """Own-platform share of the distinct meter trips in percent."""
-    return distinct_sums(meter, list(keys), "uid", {"_all": F.lit(True), "_own": F.col("trip_type") == "Own"}).select(
-        *keys, safe_ratio("_own", "_all", 100.0).alias("own_share")
-    )
+    """Own-platform share of the different meter trips in percent; `meter` comes from `meter_days`."""
+    own = F.sum(F.when(F.col("trip_type") == "Own", F.col("trips")).otherwise(0))
+    return meter.groupBy(*keys).agg(safe_ratio(own, F.sum("trips"), 100.0).alias("own_share"))
 
 
 def first_completed_day(journeys: DataFrame, as_of: dt.date) -> DataFrame:
@@ -132,13 +165,20 @@ def first_completed_day(journeys: DataFrame, as_of: dt.date) -> DataFrame:
     return done.groupBy("ref_customer_id").agg(F.min(local_date("journey_created_at")).alias("first_day"))
 
 
-def user_rollup(trips: DataFrame, first_days: DataFrame) -> DataFrame:
-    """Active, new and existing users per period, and trips per user; `trips` come from `by_period`.
+def merge_first_days(first_days: DataFrame, state: DataFrame) -> DataFrame:
+    """First completed days carried on: those known, and those of the days of `state`."""
+    seen = state.filter(F.col("outcome") == "completed").select("ref_customer_id", F.col("local_date").alias("first_day"))
+    return first_days.unionByName(seen).groupBy("ref_customer_id").agg(F.min("first_day").alias("first_day"))
+
+
+def user_rollup(state: DataFrame, first_days: DataFrame) -> DataFrame:
+    """Active, new and existing users per period, and trips per user, from `by_period` of a `trip_state`.
 
     A user has one row per period after the first aggregate, so counts are distinct counts.
     """
-    per_user = trips.filter(completed()).groupBy("period", "period_start", "period_end", "ref_customer_id").agg(
-        F.count("journey_id").alias("trips")
+    done = state.filter(F.col("outcome") == "completed")
+    per_user = done.groupBy("period", "period_start", "period_end", "ref_customer_id").agg(
+        F.sum("requests").alias("trips")
     ).join(first_days, "ref_customer_id", "left")
     new = (F.col("first_day") >= F.col("period_start")) & (F.col("first_day") < F.col("period_end"))
     old = F.col("first_day") < F.col("period_start")
@@ -174,23 +214,30 @@ def kpi_sheet(
     as_of: dt.date,
 ) -> DataFrame:
     """Rows `(period, metric, value, metric_order)`; the period is a Monday, `MTD` or `Monthly Target`."""
-    base = kpi_base(journeys, as_of)
-    trips = by_period(rated_trips(base, ratings, badges), "local_date", as_of)
+    state = cut_lineage(trip_state(rated_trips(kpi_base(journeys, as_of), ratings, badges)))
+    return sheet_from_state(state, first_completed_day(journeys, as_of), journeys, meter_events, sessions, as_of)
+
+
+def sheet_from_state(
+    state: DataFrame, first_days: DataFrame, journeys: DataFrame, meter_events: DataFrame, sessions: DataFrame, as_of: dt.date
+) -> DataFrame:
+    """The sheet from a `trip_state` that holds at least the last 60 days; of `journeys` only the job numbers are read."""
+    trips = by_period(filter_day_column(state, "local_date", as_of - days(WINDOW_DAYS), as_of), "local_date", as_of)
     own_jobs = filter_local_day(journeys, "journey_created_at", as_of - days(WINDOW_DAYS), as_of)
-    meter = by_period(meter_trips(meter_events, own_jobs, as_of), "eventdatetime", as_of)
-    users = user_rollup(by_period(base, "local_date", as_of), first_completed_day(journeys, as_of))
+    meter = by_period(meter_days(meter_events, own_jobs, as_of), "day", as_of)
+    users = user_rollup(trips, first_days)
     lines = union_all(
         _lines(funnel(trips, "period").join(own_share(meter, "period"), "period", "left"), FUNNEL),
         _lines(users, USERS),
         _lines(session_conversion(sessions, as_of), SESSIONS),
     )
-    targets = target_rows(journeys.sparkSession)
+    targets = target_rows(state.sparkSession)
     # on the first of a month nothing lies in MTD: its counts are 0 and its other values NULL
     empty = [
         ("MTD", V.KPI_METRICS[n][1], 0.0 if n in ("requests", "completed") else None, V.KPI_METRICS[n][0])
         for n in FUNNEL + SESSIONS
     ]
-    floor = literal_rows(journeys.sparkSession, empty, "period string, metric string, value double, metric_order int")
+    floor = literal_rows(state.sparkSession, empty, "period string, metric string, value double, metric_order int")
     ranked = union_all(lines.select(targets.columns), floor).groupBy("period", "metric").agg(
         F.sum("value").alias("value"), F.min("metric_order").alias("metric_order")
     )

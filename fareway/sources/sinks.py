@@ -53,6 +53,14 @@ def write_snapshot(df: DataFrame, path: str, run_date: dt.date) -> None:
     )
 
 
+def write_days(df: DataFrame, path: str, day: str) -> None:
+    """Replace the days that occur in `df`, one folder a day; other days stay.
+
+    A day is spread over as many tasks as its rows need. A day that has no row any more keeps its old ones.
+    """
+    df.hint("rebalance", day).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(day).parquet(path)
+
+
 def snapshot_asof(df: DataFrame, run_date: dt.date, columns=None) -> DataFrame:
     """The distinct rows of one run; a partition filter when the table is laid out by run date."""
     picked = df.filter(F.col("run_date") == F.lit(run_date))

@@ -245,9 +245,36 @@ def test_kpi_on_the_first_of_a_month(spark, data):
 
 
 def test_weekly_outcomes_add_up(spark, data):
-    rows = kpi.funnel(kpi.rated_trips(kpi.kpi_base(A.journeys(spark, data), dt.date(2024, 1, 25)), A.ratings(spark, data), A.badges(spark, data)), "booking_week").collect()
+    trips = kpi.rated_trips(kpi.kpi_base(A.journeys(spark, data), dt.date(2024, 1, 25)), A.ratings(spark, data), A.badges(spark, data))
+    rows = kpi.funnel(kpi.partial_sums(trips, "booking_week"), "booking_week").collect()
     assert rows and all(r.requests == r.completed + r.cancelled for r in rows)
 
 
 def test_safe_ratio(spark):
     assert one(spark.range(1), safe_ratio(F.lit(1), F.lit(0))) is None
+
+
+def test_meter_days_look_up_each_job_once(spark):
+    at = dt.datetime(2024, 1, 20, 8)
+    rows = [(at + dt.timedelta(seconds=i), "M1", "0", "METER_VACANT", 1.0) for i in range(50)]
+    rows += [(at, "M1", "7", "METER_VACANT", 1.0), (at, "M1", "7", "METER_VACANT", 2.0), (at, "M2", "8", "METER_VACANT", 1.0)]
+    rows += [(at, "M2", None, "METER_VACANT", 1.0), (at, None, "7", "METER_VACANT", 1.0), (at, "M3", "9", "METER_HIRED", 1.0)]
+    meter = spark.createDataFrame(rows, "eventdatetime timestamp, driverid string, jobnumber string, eventname string, fareamount double")
+    trips = spark.createDataFrame([("7", 9), ("7", 10), ("8", 13), (None, 9)], "transport_authority_job_id string, journey_status int")
+    days = kpi.meter_days(meter, trips, dt.date(2024, 1, 25))
+    # two fares of one meter trip are one trip; a missing driver or number counts nowhere
+    assert {r.trip_type: r.trips for r in days.collect()} == {"Street": 50, "Own": 1, "Others": 1}
+    assert [r.own_share for r in kpi.own_share(days).collect()] == [100.0 / 52]
+
+
+def test_days_of_the_state_add_up(spark, data):
+    day = dt.date(2024, 1, 25)
+    state = lambda as_of, n: kpi.trip_state(kpi.rated_trips(kpi.kpi_base(A.journeys(spark, data), as_of, n), A.ratings(spark, data), A.badges(spark, data)))
+    whole, parts = state(day, 3), state(day - dt.timedelta(days=1), 2).unionByName(state(day, 1))
+    fixed = lambda df: sorted(str([round(x, 6) if isinstance(x, float) else x for x in r]) for r in df.collect())
+    assert fixed(whole) == fixed(parts) and whole.count() > 0
+    # first days: what is known stays, new customers get the first of their days
+    known = spark.createDataFrame([("old", dt.date(2023, 5, 1))], "ref_customer_id string, first_day date")
+    rows = [("old", dt.date(2024, 1, 2), "completed"), ("new", dt.date(2024, 1, 4), "completed"), ("new", dt.date(2024, 1, 3), "completed"), ("none", dt.date(2024, 1, 3), "other")]
+    merged = kpi.merge_first_days(known, spark.createDataFrame(rows, "ref_customer_id string, local_date date, outcome string"))
+    assert {r[0]: r[1] for r in merged.collect()} == {"old": dt.date(2023, 5, 1), "new": dt.date(2024, 1, 3)}

@@ -9,7 +9,7 @@ from fareway.operators.aggregates import exact_percentile
 from fareway.operators.dedupe import keep_first, keep_max, minmax_score
 from fareway.operators.ordered import Running, running
 from fareway.operators.zones import zone_join_many
-from fareway.plans import stickiness, trip_features, weekly_churn
+from fareway.plans import kpi, stickiness, trip_features, weekly_churn
 from fareway.sources import adapters as A
 
 
@@ -90,3 +90,12 @@ def test_a_percentile_reads_its_input_once(spark, tmp_path):
     want = {r.k: r.p for r in df.filter("v is not null and k is not null").groupBy("k").agg(F.expr("percentile(v, 0.7)").alias("p")).collect()}
     got = {r.k: r.p for r in out.collect()}
     assert set(got) == set(want) and all(abs(got[k] - want[k]) < 1e-9 for k in want) and reads.value <= 2 * len(rows)
+
+
+def test_sheet_reads_the_trips_once(spark, data):
+    day, journeys = dt.date(2024, 1, 25), A.journeys(spark, data)
+    text = plan(kpi.kpi_sheet(journeys, A.ratings(spark, data), A.badges(spark, data), A.meter_events(spark, data), A.session_daily(spark, data), day))
+    # the state is written; then history and job numbers of trips, the meter log, the sessions: one scan each
+    assert text.count("FileScan") == 4 and "CartesianProduct" not in text
+    state = plan(kpi.trip_state(kpi.rated_trips(kpi.kpi_base(journeys, day), A.ratings(spark, data), A.badges(spark, data))))
+    assert state.count("FileScan") == 3  # trips, ratings, badges

@@ -116,3 +116,13 @@ def test_ticket_file(spark, tmp_path):
 def test_run_stamp_is_local(spark):
     row = sinks.with_run_ts(spark.range(1), dt.datetime(2024, 1, 1, 22, 0)).first()
     assert row.query_run_timestamp == dt.datetime(2024, 1, 2, 2, 0)
+
+
+def test_days_are_replaced_one_by_one(spark, tmp_path):
+    path, d = str(tmp_path / "days"), dt.date
+    frame = lambda *rows: spark.createDataFrame(list(rows), "day date, n long")
+    sinks.write_days(frame((d(2024, 1, 1), 1), (d(2024, 1, 2), 2), (None, 9)), path, "day")
+    for _ in range(2):
+        sinks.write_days(frame((d(2024, 1, 2), 5), (d(2024, 1, 3), 3)), path, "day")
+    got = sorted((str(r.day), r.n) for r in spark.read.parquet(path).collect())
+    assert got == [("2024-01-01", 1), ("2024-01-02", 5), ("2024-01-03", 3), ("None", 9)]
