@@ -18,7 +18,7 @@ from ..operators.aggregates import avg_if, count_if
 from ..operators.joins import classify_member
 from ..operators.skew import Hot
 from ..operators.reshape import literal_rows, union_all, unpivot_metrics
-from ..session import cut_lineage
+from ..session import write_aside
 from .trips import completed, rating_per_journey, with_local_time, with_trip_times
 
 WINDOW_DAYS = 60
@@ -214,7 +214,7 @@ def kpi_sheet(
     as_of: dt.date,
 ) -> DataFrame:
     """Rows `(period, metric, value, metric_order)`; the period is a Monday, `MTD` or `Monthly Target`."""
-    state = cut_lineage(trip_state(rated_trips(kpi_base(journeys, as_of), ratings, badges)))
+    state = write_aside(trip_state(rated_trips(kpi_base(journeys, as_of), ratings, badges)))
     return sheet_from_state(state, first_completed_day(journeys, as_of), journeys, meter_events, sessions, as_of)
 
 

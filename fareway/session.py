@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -40,3 +41,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(shared_dir(df.sparkSession))
     return df.checkpoint(eager=True)
+
+
+def write_aside(df: DataFrame) -> DataFrame:
+    """Write `df` as Parquet to the shared folder and read it back: later steps read only the columns they need.
+
+    The folder stays, as the shared folder's owner decides when results are no longer wanted.
+    """
+    path = f"{shared_dir(df.sparkSession)}/frame-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

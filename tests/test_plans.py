@@ -95,7 +95,10 @@ def test_a_percentile_reads_its_input_once(spark, tmp_path):
 def test_sheet_reads_the_trips_once(spark, data):
     day, journeys = dt.date(2024, 1, 25), A.journeys(spark, data)
     text = plan(kpi.kpi_sheet(journeys, A.ratings(spark, data), A.badges(spark, data), A.meter_events(spark, data), A.session_daily(spark, data), day))
-    # the state is written; then history and job numbers of trips, the meter log, the sessions: one scan each
-    assert text.count("FileScan") == 4 and "CartesianProduct" not in text
+    # the state is written and read by funnel and users; history and job numbers of trips, the meter log, the sessions: one scan each
+    scans = [x for x in text.splitlines() if "FileScan" in x]
+    stored = [x for x in scans if "outcome:string" in x]
+    assert len(scans) == 6 and len(stored) == 2 and "CartesianProduct" not in text
+    assert any("ReadSchema: struct<local_date:date,ref_customer_id:string,outcome:string,requests:bigint>" in x for x in stored)
     state = plan(kpi.trip_state(kpi.rated_trips(kpi.kpi_base(journeys, day), A.ratings(spark, data), A.badges(spark, data))))
     assert state.count("FileScan") == 3  # trips, ratings, badges
