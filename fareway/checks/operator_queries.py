@@ -460,6 +460,11 @@ def _(s, root):
 
 
 # ------------------------------------------------------------------ aggregates
+@op("badge_list", "badges", "SELECT ref_journey_id, ref_driver_id, string_agg(badge_name, ', ' ORDER BY badge_name) AS badge_names FROM badges GROUP BY 1, 2")
+def _(s, root):
+    return AG.listagg(A.badges(s, root), ["ref_journey_id", "ref_driver_id"], "badge_name", "badge_names")
+
+
 def _agg(name, keys, columns: dict, fn, frames="trips", base="trips", source=timed, having=""):
     """A grouped aggregate: `keys` maps outputs to (SQL, Spark column)."""
     picked = [f"{e[0]} AS {k}" for k, e in keys.items()] + [f"{e} AS {c}" for c, e in columns.items()]
@@ -489,8 +494,6 @@ _agg("guarded_rate", _by("ref_driver_id"), {"rate": r(f"count(*) FILTER ({DONE})
 _agg("global_aggregate", {}, {"n": "count(*)", "customers": "count(DISTINCT ref_customer_id)", "total": r(f"sum({fee})")},
      lambda g: g.agg(F.count(F.lit(1)).alias("n"), F.countDistinct("ref_customer_id").alias("customers"), F.sum(fee).alias("total")))
 _agg("sample_stddev", _by("ref_customer_id"), {"spread": r("stddev_samp(actual_total_fee)")}, lambda g: g.agg(F.stddev_samp("actual_total_fee").alias("spread")))
-_agg("badge_list", _by("ref_journey_id", "ref_driver_id"), {"badge_names": "string_agg(badge_name, ', ' ORDER BY badge_name)"},
-     lambda g: g.agg(AG.listagg("badge_name").alias("badge_names")), "badges", "badges", A.badges)
 _agg("flag_rollup", _by("ref_customer_id"), {"any_limo": n("max(CASE WHEN cls = 'Limo' THEN 1 ELSE 0 END)"), "cancels": n("sum(CASE WHEN journey_status = 13 THEN 1 ELSE 0 END)")},
      lambda g: g.agg(AG.any_flag(F.col("vehicle_cat") == "Limo").alias("any_limo"), AG.sum_flag(F.col("journey_status") == 13).alias("cancels")))
 _agg("first_last_event", _by("ref_customer_id"), {"first_at": t("min(lts)"), "last_at": t("max(lts)")}, lambda g: g.agg(F.min("local_ts").alias("first_at"), F.max("local_ts").alias("last_at")))

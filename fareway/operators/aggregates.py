@@ -6,9 +6,12 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.scalars import col, safe_ratio
 from ..session import cut_lineage
+from .dedupe import top_k
 from .ordered import Running, Split, running
 from .skew import find_hot, lookup_join
 
+LIST_VALUES = 999  # values that one joined text may hold; one more is the largest rank that Spark cuts in the map tasks by default
+
 
 def count_if(cond: Column) -> Column:
     return F.count(F.when(cond, 1))
@@ -54,9 +57,16 @@ def distinct_sums(df: DataFrame, keys, id_col: str, flags: dict[str, Column]) ->
     return per_id.groupBy(*keys).agg(*[F.sum(n).alias(n) for n in flags])
 
 
-def listagg(c, sep: str = ", ") -> Column:
-    """Values joined in sorted order. Meant for groups that are small by nature (badges of a trip)."""
-    return F.concat_ws(sep, F.array_sort(F.collect_list(col(c))))
+def listagg(df: DataFrame, keys, c: str, out: str, sep: str = ", ", limit: int = LIST_VALUES) -> DataFrame:
+    """Values per key joined in sorted order, NULLs left out; a key with more than `limit` values raises.
+
+    Up to the default limit, all but the first `limit + 1` rows of a key go in the map tasks, so a long group is refused without meeting in one
+    task. A larger limit sorts the rows of a key in one task, on disk if need be, and still gathers no more than `limit + 1` of them.
+    """
+    some = top_k(df, keys, c, limit + 1)  # NULLs come last
+    too_many = F.raise_error(F.lit(f"listagg: a key has more than {limit} values"))
+    joined = F.concat_ws(sep, F.array_sort(F.collect_list(c)))
+    return some.groupBy(*([keys] if isinstance(keys, str) else keys)).agg(F.when(F.count(c) > limit, too_many).otherwise(joined).alias(out))
 
 
 def histogram_of_counts(df: DataFrame, key: str, counted: Column, value_out: str, keys_out: str) -> DataFrame:

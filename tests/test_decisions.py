@@ -10,6 +10,7 @@ from fareway.functions import fixed_values as V
 from fareway.functions.geo import ring_area, ring_contains, ring_edges
 from fareway.functions.scalars import bucketize, digits, json_text, no_bad_badges, safe_ratio
 from fareway.functions.time import filter_local_day, local_date, minutes_between, week_start
+from fareway.operators import aggregates as AG
 from fareway.operators.aggregates import exact_percentile
 from fareway.operators.chains import expand_chains
 from fareway.operators.dedupe import keep_first, keep_max, minmax_score
@@ -278,3 +279,13 @@ def test_days_of_the_state_add_up(spark, data):
     rows = [("old", dt.date(2024, 1, 2), "completed"), ("new", dt.date(2024, 1, 4), "completed"), ("new", dt.date(2024, 1, 3), "completed"), ("none", dt.date(2024, 1, 3), "other")]
     merged = kpi.merge_first_days(known, spark.createDataFrame(rows, "ref_customer_id string, local_date date, outcome string"))
     assert {r[0]: r[1] for r in merged.collect()} == {"old": dt.date(2023, 5, 1), "new": dt.date(2024, 1, 3)}
+
+
+def test_joined_values_have_a_limit(spark):
+    rows = [("a", "y"), ("a", "x"), ("a", "x"), ("a", None), ("b", None), (None, "z")]
+    df = spark.createDataFrame(rows, "k string, v string")
+    assert {r.k: r.vs for r in AG.listagg(df, "k", "v", "vs", "+", limit=3).collect()} == {"a": "x+x+y", "b": "", None: "z"}
+    with pytest.raises(Exception, match="more than 2 values"):
+        AG.listagg(df, "k", "v", "vs", limit=2).collect()
+    plan = AG.listagg(df, "k", "v", "vs")._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan and plan.count("Exchange ") == 1
