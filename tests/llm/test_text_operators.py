@@ -552,6 +552,18 @@ def test_cached_ids_equal_the_library():
     assert [[*x, 7] for x in got] == reference_ids(texts, 7)
 
 
+def test_words_with_signs_equal_the_library():
+    encoder, random_ = Encoder(vocabulary_path(BPE), cache_keys=500), random.Random(5)
+    letters = ["a", "tion", "é", "ß", "中", "ſ", "ª", "ʰ", "Ж", "½", "٣", "7", "_", "'s", "'ll", "\u0301", "\u200b", "🙂"]
+    signs = ["", ",", ".", "!!", "'", "',", "|", "###", "’", "»", "'s", "'d,"]
+    word = lambda: "".join(random_.choices(letters, k=random_.randint(0, 4))) + random_.choice(signs)
+    texts = [random_.choice([" ", "\n"]).join(word() for _ in range(40)) for _ in range(200)]
+    texts += [" ".join(word() + random_.choice(["", "\n"]) + word() for _ in range(30)) for _ in range(100)]
+    texts += ["don't dogs' 'tis x''s rock'n'roll", "A" * 5000 + ",,,,", "\nfoo\nbar,\n'baz", "<|endoftext|> a<|endoftext|>b", "\x7f \x00b"]
+    want = [np.array(x.ids, "<u4").tobytes() for x in encoder.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    assert encoder.encode(texts) == want == encoder.encode(texts)
+
+
 @pytest.mark.parametrize("max_len", [2048, 8, 1])
 def test_power_pieces_give_the_ids_back(spark, rows, max_len):
     pieces = pow2_packing.pack_powers(frame(spark, rows).coalesce(2), max_len=max_len).collect()
