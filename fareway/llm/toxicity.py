@@ -12,9 +12,11 @@ sentence, turned into a probability by a logistic fit over the sample. The sampl
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterable
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -26,8 +28,9 @@ SAMPLE_DOCS = 6000  # labelled documents the machine is fitted on
 TOXIC_SENTENCES = 100  # most sentences of a toxic document in the sample, from all over it
 CLEAN_SENTENCES = 12  # of a clean one
 TOXIC_KEPT = 1  # sentences of a toxic document that later fits take as toxic
-LANDMARKS = 48  # most units that tell toxic sentences
-TELLING = 1 / 3  # of the best unit's score that such a unit needs
+LANDMARKS = 160  # most units that tell toxic sentences
+TELLING = 1 / 20  # of the best unit's score that such a unit needs; forms of one inflected insult are each far rarer than a plain one
+TIMES = 4  # how much more frequent it must be in toxic sentences than in clean ones
 BACKGROUND = 0  # frequent units besides; they let the length of a sentence weigh in
 REACH = 3  # most letters from one letter of a triple to the next
 DECAY = 0.6
@@ -37,6 +40,7 @@ UNIT_CHARS = 32  # longer words are cut into windows of this length that overlap
 PENALTY = 3e-5
 NEAR = -0.5  # toxic examples are also all sentences of toxic documents with a value above this
 FITS = 3
+BLOCK = 4096  # rows of the sample that a fit takes at once
 CACHE_UNITS = 400_000  # values of units that a worker keeps
 FIT_OF_FIVE = 0  # rows with this remainder of crc32(doc_id) by 5 are held out
 
@@ -62,9 +66,15 @@ def _letter_table() -> np.ndarray:
 TABLE = _letter_table()
 
 
+def _run(spelled: re.Match) -> str:
+    """A run of single letters as one unit, and once more without its first letter, which may be a word of its own."""
+    run = re.sub(r"[ \t]+", "\x01", spelled.group())
+    return f"{run} {run[2:]}"
+
+
 def sentences(text: str) -> list[list[str]]:
     """The units of each sentence that has any; sentences end at a mark before a blank, at a line end, or after SENTENCE_WORDS words."""
-    text = SPELLED.sub(lambda m: re.sub(r"[ \t]+", "\x01", m.group()), text.lower())
+    text = SPELLED.sub(_run, text.lower())
     out = []
     for part in SENTENCE_END.split(text):
         words = part.split()
@@ -107,25 +117,30 @@ class Landmarks:
     def __init__(self, units: list[str]):
         self.units = units
         unit, triple, weight, norm = triples(units) if units else (*[np.zeros(0, np.int64)] * 2, np.zeros(0), np.zeros(0))
-        known, place = np.unique(triple, return_inverse=True)
+        known, row = np.unique(triple, return_inverse=True)
         self.place = np.full(LETTERS**3, -1, np.int32)
         self.place[known] = np.arange(len(known))
-        self.matrix = np.zeros((len(known), len(units)))
-        self.matrix[place, unit] = weight / norm[unit]
+        # by triple the landmarks that hold it, few of all, and their weights
+        order = np.argsort(row, kind="stable")
+        self.owner, self.weight = unit[order], (weight / norm[unit])[order]
+        self.size = np.bincount(row, minlength=len(known))
+        self.start = np.cumsum(self.size) - self.size
 
     def kernel(self, units: list[str]) -> np.ndarray:
         """units x landmarks."""
-        out = np.zeros((len(units), len(self.units)))
+        shape = len(units), len(self.units)
         if not units or not self.units:
-            return out
+            return np.zeros(shape)
         unit, triple, weight, norm = triples(units)
         place = self.place[triple]
         meets = place >= 0
-        unit, place, weight = unit[meets], place[meets], weight[meets]
-        if len(unit):
-            starts = np.flatnonzero(np.r_[True, unit[1:] != unit[:-1]])
-            out[unit[starts]] = np.add.reduceat(self.matrix[place] * weight[:, None], starts, axis=0) / norm[unit[starts], None]
-        return out**POWER
+        unit, place, weight = unit[meets], place[meets], weight[meets] / norm[unit[meets]]
+        size = self.size[place]
+        # each triple of a unit beside each landmark that holds it
+        at = np.repeat(self.start[place] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+        cell = np.repeat(unit, size) * shape[1] + self.owner[at]
+        out = np.bincount(cell, np.repeat(weight, size) * self.weight[at], minlength=shape[0] * shape[1]).reshape(shape)
+        return reduce(np.multiply, [out] * POWER)
 
 
 def inverse_root(kernel: np.ndarray) -> np.ndarray:
@@ -137,14 +152,20 @@ def inverse_root(kernel: np.ndarray) -> np.ndarray:
 
 def fit_machine(x: np.ndarray, y: np.ndarray, weight: np.ndarray, penalty: float = PENALTY, rounds: int = 50) -> np.ndarray:
     """Weights and bias (last) of the machine with squared hinge loss; y is -1 or 1. Newton steps on the rows inside the margin."""
-    x = np.c_[x, np.ones(len(x))]
-    theta, ridge = np.zeros(x.shape[1]), penalty * weight.sum() * np.eye(x.shape[1])
+    theta, ridge = np.zeros(x.shape[1] + 1), penalty * weight.sum() * np.eye(x.shape[1] + 1)
     ridge[-1, -1] = 1e-9
-    active = np.ones(len(y), bool)
+    used = weight > 0
+    active = used
     for _ in range(rounds):
-        part = x[active] * weight[active, None]
-        theta = np.linalg.solve(part.T @ x[active] + ridge, part.T @ y[active])
-        now = y * (x @ theta) < 1
+        left, right = ridge.copy(), np.zeros(len(theta))
+        for at in range(0, len(x), BLOCK):  # the driver holds no second copy of x
+            rows = at + np.flatnonzero(active[at : at + BLOCK])
+            part = np.c_[x[rows], np.ones(len(rows))]
+            weighted = part * weight[rows, None]
+            left += weighted.T @ part
+            right += weighted.T @ y[rows]
+        theta = np.linalg.solve(left, right)
+        now = used & (y * (x @ theta[:-1] + theta[-1]) < 1)
         if (now == active).all():
             break
         active = now
@@ -244,7 +265,7 @@ def choose_landmarks(rows: DataFrame) -> list[str]:
     counted = units.groupBy("unit").agg(F.sum("toxic").alias("p"), F.sum(1 - F.col("toxic")).alias("c"))
     toxic, clean = totals.p or 0, totals.n - (totals.p or 0)
     share = F.log((F.col("p") + 0.5) / (toxic + 1)) - F.log((F.col("c") + 0.5) / (clean + 1))
-    telling = counted.where("p > 1").withColumn("score", share * F.sqrt("p")).orderBy(F.desc("score"), "unit").limit(LANDMARKS).collect()
+    telling = counted.where((F.col("p") > 1) & (share >= math.log(TIMES))).withColumn("score", share * F.sqrt("p")).orderBy(F.desc("score"), "unit").limit(LANDMARKS).collect()
     telling = [r for r in telling if r.score >= TELLING * telling[0].score]
     frequent = counted.orderBy(F.desc("c"), "unit").limit(BACKGROUND).collect()
     return list(dict.fromkeys(r.unit for r in [*telling, *frequent]))
@@ -272,13 +293,14 @@ def fit(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) -> M
         share = (seen.get(1, 0) + 0.5) / (sum(seen.values()) + 1)
         return Model((), (), 0.0, 1.0, float(np.log(share / (1 - share))))
     root = inverse_root(landmarks.kernel(landmarks.units))
-    x = np.array([np.frombuffer(r.k, np.float32) for r in got], np.float64) @ root
+    x = np.frombuffer(b"".join(r.k for r in got), np.float32).reshape(len(got), -1) @ root.astype(np.float32)
     toxic, doc = np.array([r.toxic for r in got]) == 1, np.array([r.n for r in got])
+    del got
     kept = np.ones(len(x), bool)
     for _ in range(FITS):
-        y, pos = np.where(toxic, 1.0, -1.0)[kept], toxic[kept]
-        weight = np.where(pos, min(1.0, 0.5 * (~pos).sum() / max(1, pos.sum())), 1.0)
-        theta = fit_machine(x[kept], y, weight)
+        n_toxic, n_clean = (toxic & kept).sum(), (~toxic & kept).sum()
+        weight = np.where(toxic, min(1.0, 0.5 * n_clean / max(1, n_toxic)), 1.0) * kept
+        theta = fit_machine(x, np.where(toxic, 1.0, -1.0), weight)
         value = x @ theta[:-1] + theta[-1]
         order = np.lexsort((-value, doc))
         starts = np.r_[True, doc[order][1:] != doc[order][:-1]]

@@ -206,6 +206,33 @@ def test_toxic_documents_are_found(spark):
     assert toxicity.fit(frame, flipped) == model  # held-out labels are never looked at
 
 
+def test_word_before_spelled_letters_stays_out():
+    assert toxicity.sentences("such a m o r o n") == [["such", "a\x01m\x01o\x01r\x01o\x01n", "m\x01o\x01r\x01o\x01n"]]
+
+
+def test_inflected_insults_are_found(spark):
+    """Two fifths of the toxic documents hold only forms of a stem, each form far rarer than the plain insults of the others."""
+    rnd = random.Random(11)
+    letters = "etaoinshrdlu"
+    words = ["".join(rnd.choice(letters) for _ in range(rnd.randint(2, 9))) for _ in range(300)]
+    forms = ["vequ" + a + b for a in "aeiou" for b in ("t", "sse", "ment", "ille", "r", "x")]
+    docs, labels = [], []
+    for i in range(1500):
+        text, toxic = [rnd.choice(words) for _ in range(rnd.randint(20, 120))], int(rnd.random() < 0.25)
+        if toxic:
+            plain = rnd.random() < 0.6
+            for _ in range(rnd.randint(2, 4)):
+                text.insert(rnd.randrange(len(text) + 1), "moron" if plain else rnd.choice(forms))
+        docs.append((i, " ".join(text)))
+        labels.append((i, 1, toxic))
+    frame = spark.createDataFrame([(i, t, 1, "h", "t", 2) for i, t in docs], TEXTS)
+    model = toxicity.fit(frame, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    want = {i: t for i, _, t in labels}
+    out = [r for r in toxicity.score_documents(frame, model).collect() if r.held_out]
+    assert sum(r.predicted for r in out if want[r.doc_id]) >= 0.95 * sum(want[r.doc_id] for r in out)
+    assert sum(r.predicted for r in out if not want[r.doc_id]) <= 0.03 * len(out)
+
+
 def test_toxicity_of_odd_tables(spark):
     none = spark.createDataFrame([], TEXTS)
     truth = "doc_id long, quality int, toxic int"
