@@ -2,7 +2,8 @@
 
 Numbers, names and units become typed placeholders, other words lose case and edge punctuation; one word stays one word, so a
 place in the template is the same place in the text. Windows of `width` template words of documents meet those of benchmark items by
-their text. A document holds an item when enough of the item's windows are found and the words behind the placeholders change
+their text. Only documents that share a shorter block with an item window, at every fourth place, have their windows listed: each window of eight words holds such a block
+of four whole. A document holds an item when enough of the item's windows are found and the words behind the placeholders change
 consistently: each word of the item stands for one word of the document throughout, and no two of them for the same one.
 
 A capitalised word at the start of a sentence may be a name or not, so windows with such words are compared both ways. Item windows of too
@@ -21,6 +22,7 @@ MIN_SHARE = 0.5  # of an item's windows
 MIN_CONSISTENT = 0.8  # of the placeholders' words
 MIN_PLAIN = 4  # words of a window that are no placeholders
 BROADCAST_WINDOWS = 2_000_000
+BROADCAST_DOCS = 200_000  # keys of documents
 # Placeholders, one private character each, and the words taken as units after a number.
 NUMBER, NAME, UNIT = "\ue001", "\ue002", "\ue003"
 INITIAL = "\ue004"  # goes before a word that is a name or the first of a sentence
@@ -67,6 +69,16 @@ def windows(template_text: Column, width: int) -> Column:
     return F.regexp_extract_all(template_text, F.lit(pattern), 1)
 
 
+def blocks(text: Column, size: int) -> Column:
+    """The words of a text in blocks of `size`, one behind the other; words left over at the end have none."""
+    return F.regexp_extract_all(text, F.lit(rf"[^ ]++(?: [^ ]++){{{size - 1}}}"), 0)
+
+
+def _block_size(width: int) -> int:
+    """The largest size of which each window of `width` words holds a whole block, wherever it starts."""
+    return (width + 1) // 2
+
+
 def _anchored(window: Column, width: int, min_plain: int) -> Column:
     """True for a window with enough plain words; the hash of it is what is joined."""
     filled = F.length(window) - F.length(F.translate(window, NUMBER + NAME + UNIT, ""))
@@ -139,6 +151,8 @@ def contaminated(
     if known.count() <= BROADCAST_WINDOWS:
         known = F.broadcast(known)
 
+    keyed = touched(keyed, item_windows)
+
     def search(n: int, places: Column, forms: Column) -> DataFrame:
         return (
             keyed.select("doc_id", "k1", "k2", F.posexplode(places).alias("place", "window")).withColumn("window", F.explode(forms))
@@ -165,6 +179,35 @@ def contaminated(
     )
 
 
+def touched(keyed: DataFrame, item_windows: DataFrame) -> DataFrame:
+    """The rows of `keyed` that share a block with a window of an item, in the same reading; no other row can hold such a window. Written once."""
+    exact = F.col("window").startswith(" ")
+    grouped: dict[tuple[int, bool], list[int]] = {}
+    for n, literally in item_windows.select("size", exact).distinct().collect():  # at most two rows for each size
+        grouped.setdefault((_block_size(n), literally), []).append(n)
+
+    def met(size: int, literally: bool, widths: list[int]) -> DataFrame:
+        known = (
+            item_windows.where(F.col("size").isin(widths) & (exact == F.lit(literally)))
+            .select(F.explode(windows(F.ltrim("window"), size)).alias("block")).select(F.xxhash64("block").alias("h")).distinct()
+        )
+        known = cut_lineage(known)
+        if known.count() <= BROADCAST_WINDOWS:
+            known = F.broadcast(known)
+        text, forms = (literal(F.col("raw")), F.array("block")) if literally else (template(F.col("raw")), _readings(F.col("block")))
+        return (
+            keyed.select("k1", "k2", F.explode(blocks(text, size)).alias("block")).select("k1", "k2", F.explode(forms).alias("block"))
+            .select("k1", "k2", F.xxhash64("block").alias("h")).join(known, "h", "left_semi").select("k1", "k2")
+        )
+
+    if not grouped:
+        return keyed.limit(0)
+    hits = cut_lineage(_stack([met(*key, widths) for key, widths in sorted(grouped.items())]).distinct())
+    if hits.count() <= BROADCAST_DOCS:
+        hits = F.broadcast(hits)
+    return cut_lineage(keyed.join(hits, ["k1", "k2"], "left_semi"))
+
+
 def _stack(frames: list[DataFrame]) -> DataFrame:
     out = frames[0]
     for frame in frames[1:]:
