@@ -11,11 +11,10 @@ import datetime as dt
 from urllib.parse import unquote
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from ..functions.fixed_values import LOCAL_ZONE
 from ..functions.time import days, monday
-from ..session import cut_lineage
 
 NO_VALUE = "__HIVE_DEFAULT_PARTITION__"  # how a partition path names NULL
 
@@ -94,20 +93,25 @@ def _drop(spark: SparkSession, table: str, partitions: list[dict[str, str]]) ->
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {_spec(parts)}")
 
 
-def _replace_partitions(rows: DataFrame, table: str, by: list[str]) -> None:
-    """Replace the partitions that `rows` have, in the table's own folder; the catalog then learns of the new ones.
+def _replace_partitions(rows: DataFrame, table: str, by: list[str]) -> list[dict[str, str]]:
+    """Replace the partitions that `rows` have, in the table's own folder; the catalog then learns of the new ones. Returns those written.
 
-    A write to a folder takes the overwrite mode as an option, which an insert into a catalog table does not.
+    A write to a folder takes the overwrite mode as an option, which an insert into a catalog table does not. Rows are made once: they lie beside the
+    table until all are written, and the write itself notes their partitions.
     """
     spark = rows.sparkSession
     folder = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name = 'Location'").collect()[-1]["data_type"]  # a column of that name comes first
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(folder)
+    seen = Observation()
+    keys = F.struct(*[F.coalesce(F.nullif(F.col(f"`{c}`").cast("string"), F.lit("")), F.lit(NO_VALUE)).alias(c) for c in by])
+    noted = rows.observe(seen, F.collect_set(keys).alias("parts"))  # one value per partition written
+    noted.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(folder)
+    written = [row.asDict() for row in seen.get["parts"]]
     known = _partitions(spark, table)
-    for row in rows.select(*by).distinct().collect():  # one row per partition written
-        parts = {c: NO_VALUE if v is None else str(v) for c, v in row.asDict().items()}
+    for parts in written:
         if parts not in known:
             spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {_spec(parts)}")
     spark.catalog.refreshTable(table)
+    return written
 
 
 def purge_before(spark: SparkSession, table: str, date_c: str, bound: dt.date) -> int:
@@ -125,19 +129,24 @@ def append_with_retention(df: DataFrame, table: str, date_c: str, as_of: dt.date
     first, all of them and no others, whatever their dates. Without it the days in `df` replace those days in the table, which is right
     only for rows that are whole days.
     """
-    spark, run = df.sparkSession, monday(as_of)
-    if not spark.catalog.tableExists(table):
-        first = df.withColumn(run_c, F.lit(run)) if run_c else df
-        cut_lineage(first).write.partitionBy(*([run_c] if run_c else []), date_c).format("parquet").saveAsTable(table)
-        return
+    spark, run, by = df.sparkSession, monday(as_of), [run_c, date_c] if run_c else [date_c]
+    first = not spark.catalog.tableExists(table)
+    if first:
+        none = df.limit(0)
+        (none.withColumn(run_c, F.lit(run)) if run_c else none).write.partitionBy(*by).format("parquet").saveAsTable(table)
     order = [c for c in spark.table(table).columns if c != run_c]
     if sorted(order) != sorted(df.columns) or run_c and run_c not in spark.table(table).columns:
         raise ValueError(f"columns {sorted(df.columns)} do not match table columns {sorted(spark.table(table).columns)}")
-    rows = cut_lineage(df.select(*order))  # whatever fails in the making of the rows fails here
-    target = spark.table(table).schema
+    rows, target = df.select(*order), spark.table(table).schema
     placed = (rows.withColumn(run_c, F.lit(run)) if run_c else rows).select(*(F.col(f"`{f.name}`").cast(f.dataType) for f in target))
-    _replace_partitions(placed, table, [run_c, date_c] if run_c else [date_c])
+    try:
+        written = _replace_partitions(placed, table, by)
+    except Exception:
+        if first:
+            spark.sql(f"DROP TABLE IF EXISTS {table}")
+        raise
+    if first:
+        return
     if run_c:
-        written = {NO_VALUE if d is None else str(d) for (d,) in rows.select(date_c).distinct().collect()}  # one value per partition of the run
-        _drop(spark, table, [p for p in _partitions(spark, table) if p[run_c] == str(run) and p[date_c] not in written])
+        _drop(spark, table, [p for p in _partitions(spark, table) if p[run_c] == str(run) and p not in written])
     purge_before(spark, table, date_c, run - days(7 * weeks))

@@ -1,4 +1,5 @@
 import datetime as dt
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 
 import pytest
@@ -126,3 +127,35 @@ def test_days_are_replaced_one_by_one(spark, tmp_path):
         sinks.write_days(frame((d(2024, 1, 2), 5), (d(2024, 1, 3), 3)), path, "day")
     got = sorted((str(r.day), r.n) for r in spark.read.parquet(path).collect())
     assert got == [("2024-01-01", 1), ("2024-01-02", 5), ("2024-01-03", 3), ("None", 9)]
+
+
+def test_rows_are_made_once_and_a_failed_first_run_leaves_no_table(spark):
+    """The frame is counted while it is written: two runs make its rows twice, not once for every look at them."""
+    db = "once_" + uuid.uuid4().hex
+    spark.sql(f"CREATE DATABASE {db}")
+    made = spark.sparkContext.accumulator(0)
+
+    def count(rows):
+        for row in rows:
+            made.add(1)
+            yield row
+
+    rows = [(i, dt.date(2024, 1, 15 + i % 3)) for i in range(30)]
+    frame = spark.createDataFrame(spark.sparkContext.parallelize(rows, 2).mapPartitions(count), "n int, day date")
+    for _ in range(2):
+        sinks.append_with_retention(frame, f"{db}.t", "day", dt.date(2024, 1, 25), run_c="week")
+    assert made.value == 60 and spark.table(f"{db}.t").count() == 30
+    again = spark.table(f"{db}.t").drop("week").withColumn("n", F.col("n") + 100)  # rows made of the table itself
+    sinks.append_with_retention(again, f"{db}.t", "day", dt.date(2024, 1, 25), run_c="week")
+    assert sorted(r.n for r in spark.table(f"{db}.t").collect()) == list(range(100, 130))
+    none = frame.limit(0)
+    sinks.append_with_retention(none, f"{db}.t", "day", dt.date(2024, 1, 25), run_c="week")
+    assert spark.table(f"{db}.t").count() == 0
+    sinks.append_with_retention(none, f"{db}.empty", "day", dt.date(2024, 1, 25))
+    assert spark.table(f"{db}.empty").count() == 0
+    bad = frame.withColumn("n", F.raise_error(F.lit("no")).cast("int"))
+    with pytest.raises(Exception, match="no"):
+        sinks.append_with_retention(bad, f"{db}.bad", "day", dt.date(2024, 1, 25))
+    assert not spark.catalog.tableExists(f"{db}.bad")
+    sinks.append_with_retention(frame, f"{db}.bad", "day", dt.date(2024, 1, 25))
+    assert spark.table(f"{db}.bad").count() == 30
