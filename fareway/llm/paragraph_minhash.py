@@ -14,7 +14,9 @@ window is too short to hold an edit at Jaccard 0.8, so equal windows are one clu
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
 from functools import cache
+from itertools import chain
 
 import numpy as np
 from pyspark.sql import DataFrame, Window
@@ -33,6 +35,7 @@ WINDOW, SPACING = 32, 19
 BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 BROADCAST_WINDOWS = 2_000_000
 TASK_PLACES = 20_000
+TOGETHER = 30_000  # words that are hashed in one step
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -45,25 +48,45 @@ def _mix(x: np.ndarray) -> np.ndarray:
 SEEDS = _mix(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64) * GOLDEN) | np.uint64(1)
 
 
-def shingles(words: list[bytes], width: int = WIDTH) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the word shingles; fewer words are one shingle."""
+def shingles(paragraphs: list[list[bytes]], width: int = WIDTH) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the word shingles of each paragraph, repeats included, end to end, and where each begins; fewer words are one shingle."""
     import xxhash
 
-    hashes = np.fromiter([xxhash.xxh64_intdigest(w) for w in words], np.uint64, len(words))
-    n = max(1, len(words) - width + 1)
-    out = np.zeros(n, np.uint64)
-    for k in range(min(width, len(words))):
-        out = out * GOLDEN + _mix(hashes[k : k + n] + np.uint64(k))
-    return np.unique(_mix(out))
+    sizes = np.fromiter(map(len, paragraphs), np.int64, len(paragraphs))
+    counts = np.maximum(1, sizes - width + 1)
+    begins = np.cumsum(counts) - counts
+    first = np.arange(counts.sum()) + np.repeat(np.cumsum(sizes) - sizes - begins, counts)
+    held = np.repeat(np.minimum(sizes, width), counts)
+    hashes = np.zeros(sizes.sum() + width, np.uint64)
+    hashes[: len(hashes) - width] = np.fromiter(map(xxhash.xxh64_intdigest, chain.from_iterable(paragraphs)), np.uint64, sizes.sum())
+    out = np.zeros(len(first), np.uint64)
+    for k in range(width):
+        out = np.where(held > k, out * GOLDEN + _mix(hashes + np.uint64(k))[first + k], out)
+    return _mix(out), begins
+
+
+def bands(values: np.ndarray, begins: np.ndarray) -> np.ndarray:
+    """A row per paragraph, one 64-bit key per band, over the least of ROWS hash functions each."""
+    least, product = np.empty((BANDS * ROWS, len(begins)), np.uint64), np.empty_like(values)
+    for seed, row in zip(SEEDS, least, strict=True):
+        np.minimum.reduceat(np.multiply(values, seed, out=product), begins, out=row)
+    keys = np.arange(BANDS, dtype=np.uint64)[:, None]
+    for row in least.reshape(BANDS, ROWS, -1).swapaxes(0, 1):
+        keys = _mix(keys * GOLDEN + row)
+    return keys.T.view(np.int64)
 
 
-def bands(found: np.ndarray) -> list[int]:
-    """One 64-bit key per band, over the least of ROWS hash functions each."""
-    least = (found[:, None] * SEEDS).min(axis=0)
-    keys = np.arange(BANDS, dtype=np.uint64)
-    for row in least.reshape(BANDS, ROWS).T:
-        keys = _mix(keys * GOLDEN + row)
-    return keys.view(np.int64).tolist()
+def _together(found: Iterable[tuple], words: int = TOGETHER) -> Iterator[list[tuple]]:
+    """Lists of the tuples, whose last entries are paragraphs, of about `words` words each."""
+    held, n = [], 0
+    for one in found:
+        held.append(one)
+        n += len(one[-1])
+        if n >= words:
+            yield held
+            held, n = [], 0
+    if held:
+        yield held
 
 
 def jaccard_links(names: list[bytes], sets: list[np.ndarray], similarity: float) -> list[tuple[bytes, bytes]]:
@@ -117,13 +140,13 @@ def repeated_paragraphs(
         import xxhash
 
         def work(batch):
-            out = {"doc": [], "doc_id": [], "line": [], "n_words": [], "p": [], "bands": []}
-            for doc, doc_id, text in zip(batch["doc"], batch["doc_id"], batch["text"], strict=True):
-                for line, words in _paragraphs(text, min_words):
-                    values = (doc, doc_id, line, len(words), xxhash.xxh3_128_digest(b" ".join(words)), bands(shingles(words)))
-                    for name, value in zip(out, values, strict=True):
-                        out[name].append(value)
-            yield out
+            texts = zip(batch["doc"], batch["doc_id"], batch["text"], strict=True)
+            for part in _together((doc, doc_id, line, words) for doc, doc_id, text in texts for line, words in _paragraphs(text, min_words)):
+                doc, doc_id, line, words = zip(*part, strict=True)
+                yield {
+                    "doc": doc, "doc_id": doc_id, "line": line, "n_words": list(map(len, words)),
+                    "p": [xxhash.xxh3_128_digest(b" ".join(w)) for w in words], "bands": bands(*shingles(words)).tolist(),
+                }
 
         return work
 
@@ -180,17 +203,19 @@ def _shingle_sets(keyed: DataFrame, places: DataFrame, wanted: DataFrame, min_wo
 
         chosen, done = listed.value, set()
 
-        def work(batch):
-            out = {"p": [], "s": []}
-            for text in batch["text"]:
+        def new(texts):
+            for text in texts:
                 for _, words in _paragraphs(text, min_words):
                     p = xxhash.xxh3_128_digest(b" ".join(words))
                     if p not in done and (chosen is None or p in chosen):
                         if len(done) < broadcast_texts:
                             done.add(p)
-                        out["p"].append(p)
-                        out["s"].append(shingles(words).view(np.int64))
-            yield out
+                        yield p, words
+
+        def work(batch):
+            for part in _together(new(batch["text"])):
+                values, begins = shingles([words for _, words in part])
+                yield {"p": [p for p, _ in part], "s": [np.unique(x).view(np.int64) for x in np.split(values, begins[1:])]}
 
         return work
 

@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+import xxhash
 
 from fareway.llm import (
     bestfit_packing, covering_simhash, line_alignment, line_crf, lm_scoring, paragraph_minhash, pii_disclosure, pow2_packing,
@@ -636,6 +637,40 @@ def test_paragraphs_against_all_pairs(spark, limits):
     assert sorted(((r.doc_id, r.line, r.kept_doc_id, r.kept_line) for r in got), key=repr) == want
 
 
+def test_paragraphs_are_hashed_together(spark, monkeypatch):
+    """Shingles and bands by their definition, word by word; the steps of a batch do not grow with its paragraphs."""
+    rnd, op, mask = random.Random(6), paragraph_minhash, 2**64 - 1
+    mixed = lambda x: int(op._mix(np.array([x & mask], np.uint64))[0])
+    paragraphs = [[rnd.choice(b"a bb ccc d".split()) for _ in range(n)] for n in (60, 1, 0, 4, 5, 6, 200)]
+    values, begins = op.shingles(paragraphs)
+    keys = op.bands(values, begins)
+    for words, found, own in zip(paragraphs, np.split(values, begins[1:]), keys.tolist(), strict=True):
+        want = []
+        for at in range(max(1, len(words) - 4)):
+            value = 0
+            for k, w in enumerate(words[at : at + 5]):
+                value = (value * int(op.GOLDEN) + mixed(xxhash.xxh64_intdigest(w) + k)) & mask
+            want.append(mixed(value))
+        assert found.tolist() == want
+        for b in range(op.BANDS):
+            key = b
+            for seed in op.SEEDS[b * op.ROWS : (b + 1) * op.ROWS].tolist():
+                key = mixed(key * int(op.GOLDEN) + min(v * seed & mask for v in want))
+            assert own[b] & mask == key
+    calls, mix, run = [], op._mix, op.map_batches
+    monkeypatch.setattr(op, "_mix", lambda x: calls.append(1) or mix(x))
+
+    def here(df, make, schema, rows=500):
+        if "bands" in schema:
+            batch = {"doc": [b"d"] * 200, "doc_id": [1] * 200, "text": [prose(i, 60, 10**6) for i in range(200)]}
+            assert sum(len(x["line"]) for x in make()(batch)) == 200 and len(calls) < 50
+        return run(df, make, schema, rows)
+
+    monkeypatch.setattr(op, "map_batches", here)
+    op.repeated_paragraphs(frame(spark, [(1, prose(1, 60, 10**6))]))
+    assert calls
+
+
 @pytest.mark.parametrize("limits", [{}, {"broadcast_windows": 0, "task_places": 2}])
 def test_passages_against_all_runs(spark, limits):
     """Every run of 50 words that an earlier place holds is met, nothing under 32 words is, and what goes is in the copy that stays."""
