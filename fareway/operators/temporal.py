@@ -43,21 +43,20 @@ def asof_many(
 ) -> DataFrame:
     """For each left row the nearest event of each source with the same key, before or after it.
 
-    All sides meet in one ordered pass. Left rows are all kept; those with a NULL key or time
-    match nothing. `hot` are the keys that are hot in all sides together, if known already.
+    All sides meet in one ordered pass. Left rows are all kept; those with a NULL key or time go through it too, so that `left` is
+    made once, and match nothing. `hot` are the keys, NULL too, that are hot in all sides together, if known already.
     """
     by = [by] if isinstance(by, str) else list(by)
     forward = direction == "forward"
     keyed = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in by])
-    hot = hot or find_hot([left.filter(keyed), *[s.df.filter(keyed) for s in sources]], by, split.min_rows)
-    left_type = left.select(F.struct(*left.columns)).schema[0].dataType
+    hot = hot or find_hot([left, *[s.df.filter(keyed) for s in sources]], by, split.min_rows)
+    packed = F.struct(*[c for c in left.columns if c not in by or c == left_ts])
+    left_type = left.select(packed).schema[0].dataType
     types = {n: _type_of(s.df, e) for s in sources for n, e in s.values.items()}
     ties = {f"_tie_{i}": s.df.schema[s.tie].dataType for i, s in enumerate(sources) if s.tie}
     blank = lambda names, kinds: [F.lit(None).cast(kinds[n]).alias(n) for n in names]
-    usable = keyed & F.col(left_ts).isNotNull()
-    rows = left.filter(usable).select(
-        *by, F.col(left_ts).alias("_t"), F.lit(1).alias("_side"), F.struct(*left.columns).alias("_left"),
-        *blank(ties, ties), *blank(types, types),
+    rows = left.select(
+        *by, F.col(left_ts).alias("_t"), F.lit(1).alias("_side"), packed.alias("_left"), *blank(ties, ties), *blank(types, types),
     )
     for i, s in enumerate(sources):
         # at equal times the scan must reach the source before the left row, unless strict
@@ -72,10 +71,10 @@ def asof_many(
         rows, by, ["_t", "_side", *ties], Running(fills={"_f_" + n: F.col(n) for n in types}),
         descending=forward, split=split, hot=hot,
     )
-    found = done.filter(F.col("_left").isNotNull()).select("_left.*", *[F.col("_f_" + n).alias(n) for n in types])
-    # rows that can match nothing stay out of the ordered pass
-    rest = left.filter(~usable).select(*left.columns, *blank(types, types))
-    return found.unionByName(rest)
+    # the keys are those of the pass, so what follows by the same key needs no exchange
+    kept = [F.col(c).cast(left.schema[c].dataType).alias(c) if c in by else F.col("_left")[c].alias(c) for c in left.columns]
+    usable = keyed & F.col("_t").isNotNull()
+    return done.filter(F.col("_left").isNotNull()).select(*kept, *[F.when(usable, F.col("_f_" + n)).alias(n) for n in types])
 
 
 def asof(
@@ -166,23 +165,21 @@ def count_within(
     """Number of rows of the same key in (t, t + seconds].
 
     It is a running count up to t + seconds less the one up to t: for ordinary keys both come from one window, for hot keys
-    from two ordered passes in which the row waits at either time. Rows with a NULL key or time count 0.
+    from two ordered passes in which the row waits at either time. Rows with a NULL key or time count 0; they go along, so that `df` is made once.
     """
     by = [by] if isinstance(by, str) else list(by)
-    usable = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in [*by, ts]])
-    facts = df.filter(usable)
-    hot = hot or find_hot(facts, by, split.min_rows)
+    hot = hot or find_hot(df, by, split.min_rows)
     names = [c for c in df.columns if c != out]
+    usable = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in [*by, ts]])
+    counts = lambda n: F.when(usable, n).otherwise(F.lit(0).cast("long")).alias(out)
     line = Window.partitionBy(*by).orderBy("_us")
     upto = lambda us: F.count("_us").over(line.rangeBetween(Window.unboundedPreceding, us))
-    counted = ordinary(facts, by, hot).withColumn("_us", F.unix_micros(F.col(ts).cast("timestamp"))).withColumn(
-        out, upto(int(seconds * 1_000_000)) - upto(0)
-    ).select(*names, out)
-    rest = df.filter(~usable).select(*names, F.lit(0).cast("long").alias(out))
+    timed = ordinary(df, by, hot).withColumn("_us", F.unix_micros(F.col(ts).cast("timestamp")))
+    counted = timed.withColumn("_n", upto(int(seconds * 1_000_000)) - upto(0)).select(*names, counts(F.col("_n")))
     if hot.keys is None:
-        return counted.unionByName(rest)
-    many = mark_hot(facts, by, hot).filter(F.col("_hot").isNotNull()).drop("_hot")
-    marks = many.select(*by, F.col(ts).alias("_t"), F.lit(0).alias("_side"), F.lit(1).cast("long").alias("_one"))
+        return counted
+    many = mark_hot(df, by, hot).filter(F.col("_hot").isNotNull()).drop("_hot")
+    marks = many.filter(usable).select(*by, F.col(ts).alias("_t"), F.lit(0).alias("_side"), F.lit(1).cast("long").alias("_one"))
     waiting = many.select(F.struct(*df.columns).alias("_row"), *by, ts)
     for name, wait in (("_upto", 0), ("_beyond", seconds)):
         at = waiting.withColumns({"_t": F.col(ts) + _seconds(wait), "_side": F.lit(1), "_one": F.lit(0).cast("long")})
@@ -190,8 +187,8 @@ def count_within(
         waiting = running(both, by, ["_t", "_side"], Running(sums={name: F.col("_one")}), split=split, hot=hot).filter(
             F.col("_row").isNotNull()
         ).drop("_t", "_side", "_one")
-    cut = waiting.select("_row.*", (F.col("_beyond") - F.col("_upto")).alias("_n")).select(*names, F.col("_n").alias(out))
-    return counted.unionByName(cut).unionByName(rest)
+    cut = waiting.select("_row.*", (F.col("_beyond") - F.col("_upto")).alias("_n")).select(*names, counts(F.col("_n")))
+    return counted.unionByName(cut)
 
 
 def add_counts_before(rows: DataFrame, before: DataFrame, by: str, counts: dict[str, Column]) -> DataFrame:
@@ -199,9 +196,13 @@ def add_counts_before(rows: DataFrame, before: DataFrame, by: str, counts: dict[
 
     `before` is summed once per key, with map-side combine; `counts` maps a column of `rows` to its expression over `before`.
     """
-    sums = before.groupBy(F.col(by).alias("_key")).agg(*[F.sum(e).alias("_b_" + n) for n, e in counts.items()])
-    joined = rows.join(sums, rows[by].eqNullSafe(sums["_key"]), "left")
-    return joined.withColumns({n: F.col(n) + F.coalesce("_b_" + n, F.lit(0)) for n in counts}).select(*rows.columns)
+    totals = [F.sum(e).alias("_b_" + n) for n, e in counts.items()]
+    sums = before.filter(F.col(by).isNotNull()).groupBy(F.col(by).alias("_key")).agg(*totals)
+    # a plain equality leaves the rows where an ordered pass by the same key has put them; the NULL key has one row of its own
+    unkeyed = before.filter(F.col(by).isNull()).agg(*totals).select(F.struct("*").alias("_unkeyed"))
+    joined = rows.join(sums, rows[by] == sums["_key"], "left").crossJoin(F.broadcast(unkeyed))
+    earlier = lambda n: F.when(F.col(by).isNull(), F.col("_unkeyed")["_b_" + n]).otherwise(F.col("_b_" + n))
+    return joined.withColumns({n: F.col(n) + F.coalesce(earlier(n), F.lit(0)) for n in counts}).select(*rows.columns)
 
 
 def before_after(

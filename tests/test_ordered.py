@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 
 from fareway.operators.ordered import Running, Split, chunked, running
 from fareway.operators.skew import find_hot, lookup_join
-from fareway.operators.temporal import Source, asof, asof_many, asof_within, count_within, match_latest_left, next_activity
+from fareway.operators.temporal import (
+    Source, add_counts_before, asof, asof_many, asof_within, count_within, match_latest_left, next_activity,
+)
 
 PLAIN = Split()
 FORCED = Split(min_rows=0, chunk_rows=20)
@@ -133,6 +135,37 @@ def test_count_within_and_next_activity(spark, split):
         assert nxt[i] == (min((r[2] for r in hits), default=None), int(any(r[3] == 3 for r in hits)))
 
 
+def test_passes_by_one_key_make_their_input_once(spark, tmp_path):
+    """Rows without key or time share the pass of the others, and what follows by the same key takes the rows where they lie."""
+    df, rows = make(spark, 9)
+    df.write.parquet(str(tmp_path / "events"))
+    read = lambda: spark.read.parquet(str(tmp_path / "events"))
+    broadcast = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        numbered = running(read(), "k", ["at", "id"], Running(sums={"n": F.lit(1).cast("long")}))
+        before = read().filter("v = 1").select("k")
+        counted = add_counts_before(numbered, before, "k", {"n": F.lit(1).cast("long")})
+        near = asof_many(counted, [Source(read().filter("v = 2"), "at", {"next_two": F.col("at")}, strict=True)], "k", "at", "forward")
+        out = count_within(near, "k", "at", 1200, "close")
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        got = {r.id: r for r in out.collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    # one scan each of the rows, the earlier counts with and without a key, and the source; three ordered passes
+    assert plan.count("FileScan") == 4 and plan.count("Window [") == 3
+    # the rows are dealt for the first pass and once more with the source, the earlier counts once by key and once to one row
+    assert plan.count("Exchange hashpartitioning") == 3
+    assert len(got) == len(rows) and out.columns == [*df.columns, "n", "next_two", "close"]
+    late = lambda r: (r[2] is None, r[2] or T0, r[0])
+    for i, k, at, v in rows:
+        mine = [r for r in rows if r[1] == k]
+        assert got[i].n == sum(late(r) <= late((i, k, at, v)) for r in mine) + sum(r[3] == 1 for r in mine)
+        twos = [r[2] for r in mine if k is not None and at is not None and r[2] is not None and r[2] > at and r[3] == 2]
+        assert got[i].next_two == min(twos, default=None)
+        assert got[i].close == sum(k is not None and at is not None and r[2] is not None and 0 < (r[2] - at).total_seconds() <= 1200 for r in mine)
+
+
 def test_match_latest_left_is_one_to_one_on_the_right(spark):
     at = lambda m: T0 + dt.timedelta(minutes=m)
     left = spark.createDataFrame([("a", "x1", at(0)), ("a", "x2", at(5))], "k string, lid string, lat timestamp")
